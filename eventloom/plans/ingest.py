@@ -38,7 +38,7 @@ from ..sources.ledger import (
     append_hashes, read_hash_ledger, read_hour_ledger, read_watermark, replace_hour_cells,
     write_watermark,
 )
-from ..sources.listing import list_files, list_hours
+from ..sources.listing import list_files, list_hours, raw_directory
 from ..sources.packets import packet_fields, parse_packets, read_lines
 
 
@@ -48,10 +48,21 @@ class UnresolvedIds(RuntimeError):
 
 @dataclass(frozen=True)
 class Layout:
-    """Where one game's inputs, outputs and progress records live."""
+    """Where one game's inputs, outputs and progress records live.
+
+    ``partitioned`` says that raw hours are ``date=/hour=`` directories.
+    """
 
     raw: str
     base: str
+    partitioned: bool = False
+
+    def raw_hours(self, hours: list[str]) -> list[str]:
+        root = self.raw.rstrip("/")
+        return [f"{root}/{raw_directory(hour, self.partitioned)}" for hour in hours]
+
+    def listing(self, spark: SparkSession, parts: list[str]) -> DataFrame:
+        return list_files(spark, self.raw, parts, self.partitioned)
 
     def __getattr__(self, name: str) -> str:
         if name in (
@@ -176,7 +187,7 @@ def watermark_run(
 
     def work() -> DataFrame:
         days = [mark[:10], following_day(mark[:10])]
-        listed = list_hours(list_files(spark, layout.raw, days))
+        listed = list_hours(layout.listing(spark, days))
         # two days hold at most 48 hours: listed once, then planned from memory
         hours = spark.createDataFrame(listed.collect(), "date_hour string")
         waiting = hours_after(next_day_hours(hours, mark), mark)
@@ -188,7 +199,7 @@ def watermark_run(
             write_rows(lag, layout.alerts, f"{run}-lag")
             raise LagAlert(f"too few hours wait behind {mark}")
         pending = sorted(r.date_hour for r in due.collect())
-        paths = [f"{layout.raw.rstrip('/')}/{h}" for h in pending]
+        paths = layout.raw_hours(pending)
         routed = transform(
             _parsed(spark, paths, profile, types, separator),
             profile, types, read_identity(spark, layout.forward),
@@ -226,9 +237,9 @@ def backfill_run(
     def work() -> DataFrame:
         wanted = backfill_hours(spark, first_day, last_day, watermark)
         hours = [r.date_hour for r in wanted.collect()]
-        listing = list_files(spark, layout.raw, hours)
+        listing = layout.listing(spark, hours)
         present = sorted(r.date_hour for r in list_hours(listing).collect())
-        paths = [f"{layout.raw.rstrip('/')}/{h}" for h in present]
+        paths = layout.raw_hours(present)
         if not paths:
             raise LagAlert(f"no hour of {first_day} to {last_day} has files")
         parsed = _parsed(spark, paths, profile, types, separator)
@@ -261,16 +272,20 @@ def hash_ledger_run(
     types: Mapping[str, str],
     now: str | None = None,
     horizon_hours: int = HASH_LEDGER_HORIZON_HOURS,
+    until: str | None = None,
     publish: Callable[[DataFrame, str], None] | None = None,
     separator: str = PACKET_SEPARATOR,
     run: str | None = None,
 ) -> list[str]:
-    """Read the files of the last hours whose path hash is not in the ledger."""
-    now = now or now_text()
+    """Read the files of the last hours whose path hash is not in the ledger.
+
+    The hours end with ``until`` ("yyyy/MM/dd/HH"), by default with the present one.
+    """
+    until = until or _current_hour(now or now_text())
     planned = f"{layout.planned}/by_hash"
 
     def plan() -> DataFrame:
-        listing = list_files(spark, layout.raw, horizon(_current_hour(now), horizon_hours))
+        listing = layout.listing(spark, horizon(until, horizon_hours))
         files = unseen(listing, read_hash_ledger(spark, layout.hash_ledger))
         return files.withColumn("processed", F.lit(False))
 
@@ -292,18 +307,23 @@ def hour_ledger_run(
     types: Mapping[str, str],
     now: str | None = None,
     horizon_hours: int = HOUR_LEDGER_HORIZON_HOURS,
+    until: str | None = None,
     publish: Callable[[DataFrame, str], None] | None = None,
     separator: str = PACKET_SEPARATOR,
     run: str | None = None,
 ) -> list[str]:
-    """Read the settled files of the last hours that their hour's cell lacks."""
+    """Read the settled files of the last hours that their hour's cell lacks.
+
+    The hours end with ``until`` ("yyyy/MM/dd/HH"), by default with the present one.
+    """
     now = now or now_text()
+    until = until or _current_hour(now)
     planned = f"{layout.planned}/by_hour"
 
     def plan() -> DataFrame:
-        hours = horizon(_current_hour(now), horizon_hours)
+        hours = horizon(until, horizon_hours)
         listing = settled(
-            list_files(spark, layout.raw, hours), F.to_timestamp(F.lit(now))
+            layout.listing(spark, hours), F.to_timestamp(F.lit(now))
         )
         cells = read_hour_ledger(
             spark, layout.hour_ledger, sorted({h[:10] for h in hours})

@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small shuffles keep all cores busy: writing many hour directories from one
+    # task costs far more than scheduling a few tasks.  Large ones are unaffected.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 

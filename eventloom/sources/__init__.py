@@ -4,7 +4,7 @@ from .ledger import (
     append_hashes, bootstrap_hashes, read_hash_ledger, read_hour_ledger, read_watermark,
     replace_hour_cells, write_watermark,
 )
-from .listing import list_files, list_hours
+from .listing import list_files, list_hours, raw_directory
 from .packets import (
     packet_fields, parse_packets, read_json_events, read_lines, read_records,
 )

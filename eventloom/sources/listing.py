@@ -15,26 +15,39 @@ LISTING_SCHEMA = (
 )
 
 
+def raw_directory(part: str, partitioned: bool = False) -> str:
+    """Directory of a day ``yyyy/MM/dd`` or hour ``yyyy/MM/dd/HH`` below the root.
+
+    Partitioned roots name it ``date=yyyy-MM-dd`` or ``date=yyyy-MM-dd/hour=HH``.
+    """
+    if not partitioned:
+        return part
+    day = f"date={part[:10].replace('/', '-')}"
+    return day if len(part) == 10 else f"{day}/hour={part[-2:]}"
+
+
 def list_files(
     spark: SparkSession,
     root: str,
-    hours: Sequence[str] | None = None,
+    parts: Sequence[str] | None = None,
+    partitioned: bool = False,
     tasks: int = 64,
 ) -> DataFrame:
-    """Files below ``root``, or only below the given ``yyyy/MM/dd/HH`` directories.
+    """Files below ``root``, or only below the directories of the given days or hours.
 
-    Hours without a directory add nothing; if none exists the listing is empty.
+    Days and hours without a directory add nothing; if none exists the listing is empty.
     Only names and times are selected, so the file contents are pruned from the
     scan.  ``tasks`` bounds the scan's task count: the scan is packed by file size
     as if it read the data, but each task only walks file names.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if hours is None:
+    if parts is None:
         target = root
-    elif len(hours) == 0:
+    elif len(parts) == 0:
         return spark.createDataFrame([], LISTING_SCHEMA)
     else:
-        target = f"{root.rstrip('/')}/{{{','.join(hours)}}}"
+        names = ",".join(raw_directory(part, partitioned) for part in parts)
+        target = f"{root.rstrip('/')}/{{{names}}}"
     try:
         files = reader.load(target)
     except AnalysisException as error:

@@ -33,23 +33,33 @@ def _ddl(fields: Mapping[str, str]) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``(value, date_hour)`` for each text line of directories, globs or files."""
-    return _read_text(spark.read, paths)
+def read_lines(
+    spark: SparkSession, paths: str | Sequence[str], partitions: int | None = None
+) -> DataFrame:
+    """``(value, date_hour)`` for each text line of directories, globs or files.
+
+    Plain text is split between tasks as it is.  ``partitions`` deals the lines out
+    anew, for files that one task must read whole, as compressed ones.
+    """
+    return _read_text(spark.read, paths, partitions)
 
 
 def read_records(
-    spark: SparkSession, paths: str | Sequence[str], separator: str = RECORD_SEPARATOR
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    separator: str = RECORD_SEPARATOR,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Like ``read_lines`` with a record separator, so newlines are ordinary data."""
-    return _read_text(spark.read.option("lineSep", separator), paths)
+    return _read_text(spark.read.option("lineSep", separator), paths, partitions)
 
 
-def _read_text(reader, paths: str | Sequence[str]) -> DataFrame:
+def _read_text(reader, paths: str | Sequence[str], partitions: int | None) -> DataFrame:
     # Hour directories may be hive-style; the hour comes from the path in both
     # layouts, so partition discovery is switched off.
     text = reader.option("recursiveFileLookup", "true").text(paths)
-    return text.select("value", date_hour_of_path("_metadata.file_path").alias("date_hour"))
+    lines = text.select("value", date_hour_of_path("_metadata.file_path").alias("date_hour"))
+    return lines if partitions is None else lines.repartition(partitions)
 
 
 def parse_packets(

@@ -1,0 +1,82 @@
+"""Run queries against their SQL: python tests/compare.py <sf_dir> [name ...]"""
+
+import os
+import sys
+import time
+
+import duckdb
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def differences(spark, con, name, query, sql, sf_dir):
+    """Empty when both sides hold the same columns, types and rows."""
+    df = query(spark, sf_dir)
+    want = con.execute(sql)
+    columns = [d[0] for d in want.description]
+    expected = want.fetchall()
+    if sorted(columns) != sorted(df.columns):
+        return f"columns {sorted(df.columns)} vs {sorted(columns)}"
+    order = sorted(columns)
+    got = sorted((tuple(r[c] for c in order) for r in df.collect()), key=repr)
+    expected = sorted((tuple(r[columns.index(c)] for c in order) for r in expected), key=repr)
+    if len(got) != len(expected):
+        return f"{len(got)} rows vs {len(expected)}"
+    if got != expected:
+        pair = next((g, e) for g, e in zip(got, expected) if g != e)
+        return f"first difference {pair}"
+    kinds = {n: t for n, t in zip(columns, [str(d[1]) for d in want.description])}
+    for field in df.schema:
+        same = {"bigint": ("BIGINT",), "int": ("INTEGER",), "string": ("VARCHAR", "STRING"),
+                "double": ("DOUBLE",), "boolean": ("BOOLEAN", "bool")}
+        spark_type = field.dataType.simpleString()
+        if not any(k.lower() in kinds[field.name].lower() or kinds[field.name] == "NUMBER"
+                   for k in same.get(spark_type, ())):
+            return f"type of {field.name}: {spark_type} vs {kinds[field.name]}"
+    return "" if got else "no rows"
+
+
+def main():
+    import __spark_entry__ as entry
+    from pyspark.sql import SparkSession
+
+    sf_dir, names = sys.argv[1], sys.argv[2:]
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    sql = entry.oracle_sql()
+    bad = 0
+    for name, query in entry.queries().items():
+        if names and name not in names:
+            continue
+        start = time.time()
+        try:
+            text = differences(spark, con, name, query, sql[name], sf_dir)
+        except Exception as error:
+            text = f"{type(error).__name__}: {str(error)[:600]}"
+        bad += bool(text)
+        print(f"{'BAD' if text else 'ok '} {name} {time.time() - start:.1f}s {text}", flush=True)
+    print(f"{bad} bad")
+
+
+if __name__ == "__main__":
+    main()
