@@ -8,6 +8,8 @@ from eventloom.operators.counts import (
     alert_rows, first_per_event_type, hit_alerts, hour_counts, registration_hits, top_rows,
 )
 
+from eventloom.plans.ingest import stage
+
 from . import standins as st
 from .routing import routed
 
@@ -41,7 +43,8 @@ def newest_events(spark, sf_dir):
 
 
 def trouble_alerts(spark, sf_dir):
-    alerts = alert_rows(routed(spark, sf_dir), "ingest")
+    # read twice, once to count and once to pick, so written once as a run does
+    alerts = alert_rows(stage(routed(spark, sf_dir), "routed", "route"), "ingest")
     return alerts.select(
         "stage", "date_hour", "kind", "n", F.concat_ws(" | ", "samples").alias("samples")
     )

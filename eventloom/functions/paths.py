@@ -17,19 +17,20 @@ def file_hash(path: Column | str) -> Column:
 
 def date_hour_after_prod(path: Column | str) -> Column:
     """The ``yyyy/MM/dd/HH`` part behind ``/prod/``, or an empty string."""
-    return F.regexp_extract(_col(path), r".*/prod/(\d{4}/\d{2}/\d{2}/\d{2}).*", 1)
+    # anchored, so that a path without a match is scanned once and not from each place
+    return F.regexp_extract(_col(path), r"^.*/prod/(\d{4}/\d{2}/\d{2}/\d{2})", 1)
 
 
 def date_hour_of_path(path: Column | str) -> Column:
-    """``yyyy/MM/dd/HH`` of a file, or an empty string.
+    """``yyyy/MM/dd/HH`` of a file's own directory, or an empty string.
 
     Reads both the plain layout ``2024/01/05/13/`` and the partitioned one
     ``date=2024-01-05/hour=13/``.
     """
     part = F.regexp_extract(
-        _col(path), r".*/(?:date=)?(\d{4}[/-]\d{2}[/-]\d{2}/(?:hour=)?\d{2})/", 1
+        _col(path), r"/(?:date=)?(\d{4}[/-]\d{2}[/-]\d{2}/(?:hour=)?\d{2})/[^/]*$", 1
     )
-    return F.translate(F.regexp_replace(part, "hour=", ""), "-", "/")
+    return F.translate(F.replace(part, F.lit("hour="), F.lit("")), "-", "/")
 
 
 def path_tail(path: Column | str, length: int = 13) -> Column:

@@ -20,9 +20,12 @@ def brace_slice(text: Column | str) -> Column:
     return F.regexp_extract(_col(text), r"(?s)\{.*\}", 0)
 
 
-def packets_of(line: Column | str, separator: str = PACKET_SEPARATOR) -> Column:
-    """The non-empty packets of one line as an array."""
-    sliced = F.transform(F.split(_col(line), separator), brace_slice)
+def packets_of(line: Column | str, separator: str | None = PACKET_SEPARATOR) -> Column:
+    """The non-empty packets of one line, or the line as one packet, as an array."""
+    if separator is None:
+        sliced = F.array(brace_slice(line))
+    else:
+        sliced = F.transform(F.split(_col(line), separator), brace_slice)
     return F.filter(sliced, lambda packet: packet != "")
 
 

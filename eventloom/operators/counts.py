@@ -31,7 +31,8 @@ def registration_hits(unresolved: DataFrame) -> DataFrame:
 
     Counted from the rows, so a retried task does not count twice.
     """
-    first = unresolved.groupBy("player_key").agg(F.min("date_hour").alias("date_hour"))
+    seen = unresolved.select("player_key", "date_hour").distinct()
+    first = seen.groupBy("player_key").agg(F.min("date_hour").alias("date_hour"))
     return first.groupBy("date_hour").agg(F.count("*").alias("hits"))
 
 

@@ -77,7 +77,8 @@ def resolve_by_distinct_keys(
     dealt out over several salts.  A player is hot above ``1 / max_hot_keys`` of all
     events, so no more than ``max_hot_keys`` can be.
 
-    ``events`` is read more than once: hand in a written or persisted frame.
+    ``events`` is read more than once, so it must give the same rows each time, as
+    files do.  Its first reading needs nothing but the keys.
     """
     if broadcast_rows < 0 or max_hot_keys < 1:
         raise ValueError("broadcast_rows must not be negative and max_hot_keys must be positive")
@@ -114,14 +115,16 @@ def resolve_by_distinct_keys(
 
 def unresolved_keys(unresolved: DataFrame, identity: DataFrame | None = None) -> DataFrame:
     """The worklist of players to register: one row per key, with its event count."""
-    keys = (
+    # Counting by all three ids hashes; only the few rows left are sorted for max.
+    counted = (
         unresolved.where("player_key <> ''")
-        .groupBy(F.col("player_key").alias("player_id"))
-        .agg(
-            F.max("user_id").alias("hashed_id"),
-            F.max("numeric_user_id").alias("numeric_id"),
-            F.count("*").alias("events"),
-        )
+        .groupBy("player_key", "user_id", "numeric_user_id")
+        .agg(F.count("*").alias("n"))
+    )
+    keys = counted.groupBy(F.col("player_key").alias("player_id")).agg(
+        F.max("user_id").alias("hashed_id"),
+        F.max("numeric_user_id").alias("numeric_id"),
+        F.sum("n").alias("events"),
     )
     if identity is None:
         return keys

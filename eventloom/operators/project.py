@@ -80,14 +80,13 @@ def interpret(parsed: DataFrame, profile: GameProfile, types: Mapping[str, str])
 
 
 def splice(head: Column, key: str, value: Column) -> Column:
-    """Add ``"key": value`` at the end of a non-empty JSON object, both as text.
+    """Add ``"key": value`` to a JSON object whose last value is a string, as text.
 
     The event value is rendered once and reused here, not rendered a second time
-    as part of the envelope.
+    as part of the envelope.  The closing quote before the brace stops the trim
+    after that one brace.
     """
-    return F.concat(
-        F.left(head, F.length(head) - 1), F.lit(f',"{key}":'), value, F.lit("}")
-    )
+    return F.concat(F.rtrim(head, F.lit("}")), F.lit(f',"{key}":'), value, F.lit("}"))
 
 
 def envelope_json(game_id: Column | str, user_id: str = "goc_id") -> Column:

@@ -1,5 +1,5 @@
 from .ingest import (
-    Layout, UnresolvedIds, backfill_run, finish_run, hash_ledger_run, hour_ledger_run,
+    LINES, RECORDS, Framing, Layout, UnresolvedIds, backfill_run, finish_run, hash_ledger_run, hour_ledger_run,
     register, replay, transform, watermark_run,
 )
 

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import PACKET_SEPARATOR
+from ..functions.text import PACKET_SEPARATOR, RECORD_SEPARATOR
 from ..operators.backlog import (
     FEWEST_HOURS_AFTER_WATERMARK, FEWEST_PENDING_HOURS, HASH_LEDGER_HORIZON_HOURS,
     HOUR_LEDGER_HORIZON_HOURS, LagAlert, backfill_hours, flag_unread, following_day, horizon,
@@ -39,7 +39,10 @@ from ..sources.ledger import (
     write_watermark,
 )
 from ..sources.listing import list_files, list_hours, raw_directory
-from ..sources.packets import packet_fields, parse_packets, read_lines
+from ..sources.packets import packet_fields, parse_packets, read_lines, read_records
+
+
+Resolver = Callable[[DataFrame, DataFrame], DataFrame]
 
 
 class UnresolvedIds(RuntimeError):
@@ -78,9 +81,14 @@ def transform(
     profile: GameProfile,
     types: Mapping[str, str],
     identity: DataFrame,
+    resolve: Resolver = resolve_ids,
 ) -> DataFrame:
-    """Parsed packets to routed rows with their envelopes.  One lazy plan."""
-    return _routed(resolve_ids(interpret(parsed, profile, types), identity), profile)
+    """Parsed packets to routed rows with their envelopes.
+
+    ``resolve`` is ``resolve_ids``, one lazy plan, or ``resolve_by_distinct_keys``,
+    which reads the packets twice but need not shuffle them.
+    """
+    return _routed(resolve(interpret(parsed, profile, types), identity), profile)
 
 
 def _routed(resolved: DataFrame, profile: GameProfile) -> DataFrame:
@@ -160,8 +168,23 @@ def finish_run(
     return spark.read.parquet(counts_path)
 
 
-def _parsed(spark: SparkSession, paths, profile: GameProfile, types, separator: str) -> DataFrame:
-    return parse_packets(read_lines(spark, paths), packet_fields(profile, types), separator)
+@dataclass(frozen=True)
+class Framing:
+    """How packets lie in the files: by lines, or by records where ``record`` is set."""
+
+    separator: str | None = PACKET_SEPARATOR
+    record: str | None = None
+
+    def parse(self, spark: SparkSession, paths: list[str], fields: Mapping[str, str]) -> DataFrame:
+        lines = (
+            read_lines(spark, paths) if self.record is None
+            else read_records(spark, paths, self.record)
+        )
+        return parse_packets(lines, fields, self.separator)
+
+
+LINES = Framing()
+RECORDS = Framing(separator=None, record=RECORD_SEPARATOR)
 
 
 # -- runs by watermark -------------------------------------------------------
@@ -174,7 +197,8 @@ def watermark_run(
     types: Mapping[str, str],
     now: str | None = None,
     publish: Callable[[DataFrame], None] | None = None,
-    separator: str = PACKET_SEPARATOR,
+    framing: Framing = LINES,
+    resolve: Resolver = resolve_ids,
 ) -> DataFrame:
     """Read the whole hours behind the watermark, then advance it.
 
@@ -201,8 +225,8 @@ def watermark_run(
         pending = sorted(r.date_hour for r in due.collect())
         paths = layout.raw_hours(pending)
         routed = transform(
-            _parsed(spark, paths, profile, types, separator),
-            profile, types, read_identity(spark, layout.forward),
+            framing.parse(spark, paths, packet_fields(profile, types)),
+            profile, types, read_identity(spark, layout.forward), resolve,
         )
         counts = finish_run(
             routed, layout, profile, run,
@@ -224,7 +248,8 @@ def backfill_run(
     watermark: str | None = None,
     users: DataFrame | None = None,
     publish: Callable[[DataFrame], None] | None = None,
-    separator: str = PACKET_SEPARATOR,
+    framing: Framing = LINES,
+    resolve: Resolver = resolve_by_distinct_keys,
     run: str | None = None,
 ) -> DataFrame:
     """Read days again, for all users or for those in a list.
@@ -242,12 +267,11 @@ def backfill_run(
         paths = layout.raw_hours(present)
         if not paths:
             raise LagAlert(f"no hour of {first_day} to {last_day} has files")
-        parsed = _parsed(spark, paths, profile, types, separator)
+        parsed = framing.parse(spark, paths, packet_fields(profile, types))
         if users is not None:
             parsed = allow_users(parsed, users)
-        rows = stage(interpret(parsed, profile, types), "typed")
-        routed = _routed(
-            resolve_by_distinct_keys(rows, read_identity(spark, layout.forward)), profile
+        routed = transform(
+            parsed, profile, types, read_identity(spark, layout.forward), resolve
         )
         return finish_run(
             routed, layout, profile, run,
@@ -274,7 +298,8 @@ def hash_ledger_run(
     horizon_hours: int = HASH_LEDGER_HORIZON_HOURS,
     until: str | None = None,
     publish: Callable[[DataFrame, str], None] | None = None,
-    separator: str = PACKET_SEPARATOR,
+    framing: Framing = LINES,
+    resolve: Resolver = resolve_ids,
     run: str | None = None,
 ) -> list[str]:
     """Read the files of the last hours whose path hash is not in the ledger.
@@ -296,7 +321,7 @@ def hash_ledger_run(
         append_hashes(left(files), layout.hash_ledger)
 
     return _ledger_run(
-        spark, layout, profile, types, planned, plan, left, record, publish, separator, run
+        spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run
     )
 
 
@@ -309,7 +334,8 @@ def hour_ledger_run(
     horizon_hours: int = HOUR_LEDGER_HORIZON_HOURS,
     until: str | None = None,
     publish: Callable[[DataFrame, str], None] | None = None,
-    separator: str = PACKET_SEPARATOR,
+    framing: Framing = LINES,
+    resolve: Resolver = resolve_ids,
     run: str | None = None,
 ) -> list[str]:
     """Read the settled files of the last hours that their hour's cell lacks.
@@ -338,12 +364,12 @@ def hour_ledger_run(
         replace_hour_cells(files, layout.hour_ledger)
 
     return _ledger_run(
-        spark, layout, profile, types, planned, plan, left, record, publish, separator, run
+        spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run
     )
 
 
 def _ledger_run(
-    spark, layout, profile, types, planned, plan, left, record, publish, separator, run
+    spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run
 ) -> list[str]:
     finished = []
 
@@ -353,8 +379,8 @@ def _ledger_run(
         paths = [r.path for r in files.where("NOT processed").select("path").collect()]
         if paths:
             routed = transform(
-                _parsed(spark, paths, profile, types, separator),
-                profile, types, read_identity(spark, layout.forward),
+                framing.parse(spark, paths, packet_fields(profile, types)),
+                profile, types, read_identity(spark, layout.forward), resolve,
             )
             finish_run(
                 routed, layout, profile, name,

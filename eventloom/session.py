@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     # task costs far more than scheduling a few tasks.  Large ones are unaffected.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A task with rows for few directories keeps one file open for each instead of
+    # sorting all its rows by directory first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 

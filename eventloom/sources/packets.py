@@ -69,6 +69,8 @@ def parse_packets(
 ) -> DataFrame:
     """Unframe ``lines.value`` and parse each packet once.
 
+    Without a ``separator`` each value is one packet.
+
     Parsing sits inside the generator on purpose.  Were it a plain projection,
     Catalyst would copy ``from_json`` into every filter pushed below it and each
     packet would be parsed twice.
@@ -81,7 +83,7 @@ def parse_packets(
             packet.alias("packet"), F.from_json(packet, schema, options).alias("fields")
         )
 
-    packets = packets_of("value", separator) if separator else packets_of("value", r"\z")
+    packets = packets_of("value", separator)
     kept = [c for c in lines.columns if c != "value"]
     return lines.select(*kept, F.inline(F.transform(packets, parsed))).select(
         *kept, "packet", "fields.*"

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.paths import date_hour_of_path
-from ..functions.text import PACKET_SEPARATOR
-from ..plans.ingest import Layout, finish_run, transform
+from ..operators.identity import resolve_ids
+from ..plans.ingest import LINES, Framing, Layout, Resolver, finish_run, transform
 from ..profiles import GameProfile
 from ..sinks.publish import write_by_run
 from ..sources.identity import read_identity
@@ -25,7 +25,7 @@ def stream_lines(
     root: str,
     max_files: int | None = None,
     max_age: str | None = None,
-    line_separator: str | None = None,
+    record_separator: str | None = None,
 ) -> DataFrame:
     """A streaming ``(value, date_hour)`` frame of the text files below ``root``.
 
@@ -36,8 +36,8 @@ def stream_lines(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_age is not None:
         reader = reader.option("maxFileAge", max_age)
-    if line_separator is not None:
-        reader = reader.option("lineSep", line_separator)
+    if record_separator is not None:
+        reader = reader.option("lineSep", record_separator)
     text = reader.text(root)
     return text.select("value", date_hour_of_path("_metadata.file_path").alias("date_hour"))
 
@@ -50,8 +50,8 @@ def run_incremental(
     checkpoint: str,
     max_files: int | None = None,
     max_age: str | None = None,
-    separator: str = PACKET_SEPARATOR,
-    line_separator: str | None = None,
+    framing: Framing = LINES,
+    resolve: Resolver = resolve_ids,
     publish: Callable[[DataFrame, str], None] | None = None,
 ) -> StreamingQuery:
     """Start a query that reads everything unread in bounded batches, then stops.
@@ -60,13 +60,13 @@ def run_incremental(
     directories, so a batch that Spark repeats after a failure is not duplicated.
     The identity table is read again in every batch.
     """
-    lines = stream_lines(spark, layout.raw, max_files, max_age, line_separator)
-    parsed = parse_packets(lines, packet_fields(profile, types), separator)
+    lines = stream_lines(spark, layout.raw, max_files, max_age, framing.record)
+    parsed = parse_packets(lines, packet_fields(profile, types), framing.separator)
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         run = f"batch-{batch_id}"
-        routed = transform(batch, profile, types, read_identity(session, layout.forward))
+        routed = transform(batch, profile, types, read_identity(session, layout.forward), resolve)
         finish_run(
             routed, layout, profile, run,
             (lambda rows: publish(rows, run)) if publish
