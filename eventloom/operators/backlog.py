@@ -159,7 +159,8 @@ def flag_unread(listing: DataFrame, cells: DataFrame) -> DataFrame:
 def with_unread_hours(flagged: DataFrame) -> DataFrame:
     """Every file, read or not, of the hours that have an unread one."""
     unread = flagged.where("NOT processed").select("date_hour").distinct()
-    return flagged.join(unread, "date_hour", "left_semi")
+    # one row per listed hour: 8,784 in a year
+    return flagged.join(F.broadcast(unread), "date_hour", "left_semi")
 
 
 def group_paths(
@@ -176,8 +177,9 @@ def group_paths(
     keys = list(by)
     sizes = listing.groupBy(*keys).agg(F.ceil(F.count("*") / per_row).alias("parts"))
     part = F.pmod(F.xxhash64(path), F.col("parts")).cast("int")
+    # one row per listed hour: 8,784 in a year
     return (
-        listing.join(sizes, keys)
+        listing.join(F.broadcast(sizes), keys)
         .groupBy(*keys, part.alias("part"))
         .agg(F.sort_array(F.collect_list(path)).alias("paths"))
     )

@@ -44,7 +44,9 @@ def first_per_event_type(events: DataFrame, order: Sequence[str] = ("ts", "event
     """
     rest = [c for c in events.columns if c != "event_type"]
     lead = order[0]
-    floor = events.groupBy("event_type").agg(F.min(lead).alias("_floor"))
+    # the second key makes the join shuffle again, which lets AQE split hot types
+    groups = events.groupBy("event_type", F.xxhash64("event_type"))
+    floor = groups.agg(F.min(lead).alias("_floor")).select("event_type", "_floor")
     tied = events.alias("e").join(
         floor.alias("f"),
         (F.col("e.event_type") == F.col("f.event_type"))

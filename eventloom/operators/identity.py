@@ -26,10 +26,14 @@ def _lookup(identity: DataFrame, key: str, value: str) -> DataFrame:
     pairs = identity.select(
         trimmed(key).alias("player_key"), F.col(value).alias("goc_id"), *order
     ).where("player_key <> '' AND goc_id <> ''")
+    # Grouped by the key and its hash, the pairs are not laid out by the key alone, so
+    # a join shuffles them again.  AQE splits hot join partitions only where a shuffle
+    # feeds the join directly; straight from the aggregate it could not.
+    groups = pairs.groupBy("player_key", F.xxhash64("player_key"))
     if not order:
-        return pairs.groupBy("player_key").agg(F.max("goc_id").alias("goc_id"))
-    newest = F.max(F.struct("seq", "goc_id"))
-    return pairs.groupBy("player_key").agg(newest["goc_id"].alias("goc_id"))
+        return groups.agg(F.max("goc_id").alias("goc_id")).select("player_key", "goc_id")
+    newest = groups.agg(F.max(F.struct("seq", "goc_id")).alias("newest"))
+    return newest.select("player_key", "newest.goc_id")
 
 
 def _join_key() -> Column:

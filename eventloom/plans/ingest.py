@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.paths import day_of
 from ..functions.text import PACKET_SEPARATOR, RECORD_SEPARATOR
 from ..operators.backlog import (
     FEWEST_HOURS_AFTER_WATERMARK, FEWEST_PENDING_HOURS, HASH_LEDGER_HORIZON_HOURS,
@@ -31,7 +32,7 @@ from ..operators.identity import (
 from ..operators.project import envelope_json, interpret
 from ..operators.route import PUBLISHED, QUARANTINE, UNRESOLVED, allow_users, route
 from ..profiles import GameProfile
-from ..session import scratch_path
+from ..session import discard, scratch_path
 from ..sinks.publish import write_by_hour, write_by_run, write_rows
 from ..sources.identity import append_identity, read_identity
 from ..sources.ledger import (
@@ -145,27 +146,34 @@ def finish_run(
     run: str,
     publish: Callable[[DataFrame], None],
 ) -> DataFrame:
-    """Stage, check, publish, set aside, count.  Returns the counts per hour."""
+    """Stage, check, publish, set aside, count.  Returns the counts per hour.
+
+    The staging table is dropped at the end, also when a step fails.
+    """
     spark = routed.sparkSession
-    staged = stage(routed, "routed", "route")
-    unresolved = staged.where(F.col("route") == UNRESOLVED)
-    counts_path = f"{layout.counts}/run={run}"
-    write_rows(hour_counts(staged), layout.counts, run)
-    _write_alerts(
-        layout, run, alert_rows(staged, "ingest"), hit_alerts(unresolved, "ingest")
-    )
-    if profile.on_unresolved == "fail" and not unresolved.isEmpty():
-        raise UnresolvedIds(f"rows without an id, see {layout.alerts}/run={run}")
-    publish(staged.where(F.col("route") == PUBLISHED))
-    write_rows(unresolved.drop("route", "envelope", "goc_id"), layout.unresolved, run)
-    write_rows(
-        staged.where(F.col("route") == QUARANTINE).select(
-            "date_hour", "event_name", "ts", "reason", "packet"
-        ),
-        layout.quarantine,
-        run,
-    )
-    return spark.read.parquet(counts_path)
+    path = scratch_path(spark, "routed")
+    try:
+        routed.write.partitionBy("route").parquet(path)
+        staged = spark.read.schema(routed.schema).parquet(path)
+        unresolved = staged.where(F.col("route") == UNRESOLVED)
+        write_rows(hour_counts(staged), layout.counts, run)
+        _write_alerts(
+            layout, run, alert_rows(staged, "ingest"), hit_alerts(unresolved, "ingest")
+        )
+        if profile.on_unresolved == "fail" and not unresolved.isEmpty():
+            raise UnresolvedIds(f"rows without an id, see {layout.alerts}/run={run}")
+        publish(staged.where(F.col("route") == PUBLISHED))
+        write_rows(unresolved.drop("route", "envelope", "goc_id"), layout.unresolved, run)
+        write_rows(
+            staged.where(F.col("route") == QUARANTINE).select(
+                "date_hour", "event_name", "ts", "reason", "packet"
+            ),
+            layout.quarantine,
+            run,
+        )
+    finally:
+        discard(spark, path)
+    return spark.read.parquet(f"{layout.counts}/run={run}")
 
 
 @dataclass(frozen=True)
@@ -283,10 +291,10 @@ def backfill_run(
 
 # -- runs by ledger ------------------------------------------------------------
 #
-# The files of a run are written down before the run starts (``planned``) and the
-# ledger is written after its output.  A run found planned but not in the ledger
-# is repeated first, under its own name and with its own files, which replaces
-# whatever it had already written.
+# The files of a run are written down before the run starts (``planned``), with a
+# note of the run's name, and the ledger is written after its output.  If the noted
+# run is not all in the ledger it is repeated first, under its own name and with
+# its own files, which replaces whatever it had already written.
 
 
 def hash_ledger_run(
@@ -357,7 +365,9 @@ def hour_ledger_run(
         return with_unread_hours(flag_unread(listing, cells))
 
     def left(files: DataFrame) -> DataFrame:
-        cells = read_hour_ledger(spark, layout.hour_ledger)
+        # a run's files span at most its horizon's days
+        days = [r.day for r in files.select(day_of("date_hour").alias("day")).distinct().collect()]
+        cells = read_hour_ledger(spark, layout.hour_ledger, days)
         return flag_unread(files.drop("processed"), cells).where("NOT processed")
 
     def record(files: DataFrame) -> None:
@@ -390,26 +400,27 @@ def _ledger_run(
             record(files)
             finished.append(name)
 
-    for name in _unfinished(spark, planned, left):
+    note = f"{planned}_current"
+    for name in _unfinished(spark, planned, note, left):
         _guarded(spark, layout, name, lambda name=name: complete(name))
     name = run or run_stamp()
     if name not in finished:
         write_rows(plan(), planned, name)
+        write_watermark(spark, name, note)
         _guarded(spark, layout, name, lambda: complete(name))
     return finished
 
 
-def _unfinished(spark: SparkSession, planned: str, left) -> list[str]:
-    """Runs with a planned file that the ledger does not know."""
+def _unfinished(spark: SparkSession, planned: str, note: str, left) -> list[str]:
+    """The noted run, if the ledger lacks any of its files."""
     try:
-        files = spark.read.parquet(planned)
+        name = read_watermark(spark, note)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return []
         raise
-    open_files = left(files.where("NOT processed"))
-    names = open_files.select(F.col("run").cast("string")).distinct()
-    return sorted(r.run for r in names.collect())
+    files = spark.read.parquet(f"{planned}/run={name}")
+    return [] if left(files.where("NOT processed")).isEmpty() else [name]
 
 
 # -- registration and replay -----------------------------------------------------
@@ -443,22 +454,19 @@ def replay(
 
     Repeat a replay that stopped half-way under the same ``run``.
     """
-    done = read_replayed(spark, layout.replayed)
-    parked = (
-        spark.read.parquet(layout.unresolved)
-        .withColumn("run", F.col("run").cast("string"))
-        .where(F.col("run") != run)
-        .join(done, "run", "left_anti")
-    )
-    runs = parked.select("run").distinct()
-    taken = scratch_path(spark, "replayed")
-    runs.write.parquet(taken)
-    routed = _routed(resolve_ids(parked.drop("run"), read_identity(spark, layout.forward)), profile)
+    parked = spark.read.parquet(layout.unresolved).withColumn("run", F.col("run").cast("string"))
+    runs = parked.select("run").where(F.col("run") != run).distinct()
+    open_runs = runs.join(read_replayed(spark, layout.replayed), "run", "left_anti")
+    # names of runs, not rows: as a literal filter they prune the other directories
+    names = sorted(r.run for r in open_runs.collect())
+    rows = parked.where(F.col("run").isin(names)).drop("run")
+    routed = _routed(resolve_ids(rows, read_identity(spark, layout.forward)), profile)
     counts = finish_run(
         routed, layout, profile, run,
-        publish or (lambda rows: write_by_run(rows, layout.published, run)),
+        publish or (lambda out: write_by_run(out, layout.published, run)),
     )
-    spark.read.parquet(taken).write.mode("append").parquet(layout.replayed)
+    taken = spark.createDataFrame([(name,) for name in names], "run string")
+    taken.coalesce(1).write.mode("append").parquet(layout.replayed)
     return counts
 
 

@@ -20,21 +20,25 @@ def hour_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def _by_hour(envelopes: DataFrame) -> DataFrame:
-    # Rebalancing gathers each hour's rows so that hours do not shatter into one
-    # file per task, and splits an hour that is too big for one task.
+def _by_hour(envelopes: DataFrame, gather: bool) -> DataFrame:
     rows = hour_columns(envelopes).select("date", "hour", F.col("envelope").alias("value"))
-    return rows.hint("rebalance", "date", "hour")
+    return rows.hint("rebalance", "date", "hour") if gather else rows
 
 
-def write_by_hour(envelopes: DataFrame, path: str, if_exists: str = "replace") -> None:
+def write_by_hour(
+    envelopes: DataFrame, path: str, if_exists: str = "replace", gather: bool = True
+) -> None:
     """Envelope text under ``date=/hour=``.
 
+    ``gather`` shuffles the rows so that hours do not shatter into one file per
+    task; it splits an hour that is too big for one task.  Without it every task
+    writes the hours it has, which saves the shuffle where a run covers few hours.
+
     "replace" swaps exactly the hours at hand, so repeating a run changes nothing.
     Use it only where a run holds whole hours.  "error" refuses to write where
     anything exists.
     """
-    writer = _by_hour(envelopes).write.partitionBy("date", "hour")
+    writer = _by_hour(envelopes, gather).write.partitionBy("date", "hour")
     if if_exists == "replace":
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").text(path)
     elif if_exists == "error":
@@ -43,12 +47,12 @@ def write_by_hour(envelopes: DataFrame, path: str, if_exists: str = "replace") -
         raise ValueError(f"if_exists must be 'replace' or 'error', not {if_exists!r}")
 
 
-def write_by_run(envelopes: DataFrame, path: str, run: str) -> None:
+def write_by_run(envelopes: DataFrame, path: str, run: str, gather: bool = True) -> None:
     """Envelope text under ``run=/date=/hour=``: an hour may be added to by later runs.
 
     Repeating a run replaces that run's directory and nothing else.
     """
-    _by_hour(envelopes).write.partitionBy("date", "hour").mode("overwrite").text(
+    _by_hour(envelopes, gather).write.partitionBy("date", "hour").mode("overwrite").text(
         f"{path}/run={run}"
     )
 

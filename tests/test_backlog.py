@@ -80,6 +80,7 @@ def test_listing(spark, tmp_path):
     assert len(rows) == 2 and rows[str(a)].date_hour == DAY[3] and rows[str(a)].length == 1
     assert rows[str(a)].path == f"file:{a}"
     assert rows[str(a)].modification_time == datetime.fromtimestamp(1704423600)
+    assert names(list_files(spark, str(tmp_path), [DAY[0][:10]])) == DAY[3:5]
     part = list_files(spark, str(tmp_path), [DAY[2], DAY[4], DAY[5], NEXT[0]])
     assert [r.date_hour for r in part.collect()] == [DAY[4]]
     assert list_files(spark, str(tmp_path), [NEXT[0]]).count() == 0

@@ -67,7 +67,11 @@ def test_resolve_survives_adaptive_skew_splitting(spark):
     try:
         for k, v in keys.items():
             spark.conf.set(k, v)
-        assert found(resolve_ids(events(spark).repartition(7), identity(spark))) == WANT
+        got = resolve_ids(events(spark).repartition(7), identity(spark))
+        assert found(got) == WANT
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -9,16 +9,17 @@ from conftest import packet, put_file
 from pyspark.sql import functions as F
 
 from eventloom import hashed_id_profile
+from eventloom.session import discard
 from eventloom.plans import ingest
 from eventloom.plans.ingest import (
-    Layout, UnresolvedIds, backfill_run, hash_ledger_run, hour_ledger_run, register, replay,
+    RECORDS, Layout, UnresolvedIds, backfill_run, hash_ledger_run, hour_ledger_run, register, replay,
     transform, watermark_run,
 )
 from eventloom.operators.backlog import LagAlert
 from eventloom.operators.counts import (
     alert_rows, first_per_event_type, hour_counts, registration_hits, top_rows,
 )
-from eventloom.operators.identity import unresolved_keys
+from eventloom.operators.identity import resolve_by_distinct_keys, unresolved_keys
 from eventloom.operators.route import QUARANTINE
 from eventloom.sinks import copy_text, publish_topic, write_by_hour
 from eventloom.sources import append_identity, packet_fields, parse_packets, read_lines, write_watermark
@@ -175,6 +176,34 @@ def test_hour_ledger_run(spark, layout, hashed, types, tmp_path):
     assert cells.count() == 9 and cells.where("hour = 2").count() == 2
 
 
+def test_partitioned_raw_root_and_record_framing(spark, layout, hashed, types, tmp_path):
+    raw = tmp_path / "records"
+    put_file(raw, "date=2024-01-05/hour=03", "a", packet(session_id="x\ny") + "**##**" + packet(user_id="u2", session_id="z"))
+    other = Layout(str(raw), layout.base, partitioned=True)
+    hash_ledger_run(spark, other, hashed, types, now=NOW, run="r", framing=RECORDS)
+    assert published(spark, layout) == [("x\ny", "g1"), ("z", "g2")]
+
+
+def test_runs_agree_whichever_way_ids_are_resolved(spark, layout, hashed, types):
+    hash_ledger_run(spark, layout, hashed, types, now=NOW, run="r", resolve=resolve_by_distinct_keys)
+    assert published(spark, layout) == want(HOURS)
+
+
+def test_staging_tables_are_dropped(spark, layout, types):
+    scratch = spark.conf.get("spark.checkpoint.dir") + "/eventloom"
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    for policy in ("continue", "fail"):
+        profile = hashed_id_profile("g", on_unresolved=policy)
+        other = Layout(layout.raw, f"{layout.base}-{policy}")
+        try:
+            hash_ledger_run(spark, other, profile, types, now=NOW, run="r")
+        except UnresolvedIds:
+            pass
+    assert set(os.listdir(scratch)) == before
+    with pytest.raises(ValueError):
+        discard(spark, layout.raw)
+
+
 def test_backfill_for_a_user_list(spark, layout, hashed, types):
     users = spark.createDataFrame([("u2",), ("new",)], "user_id string")
     counts = backfill_run(
