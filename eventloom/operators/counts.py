@@ -12,6 +12,9 @@ from .route import PUBLISHED, QUARANTINE, UNRESOLVED
 # Rows shown in an alert.
 SAMPLES = 5
 
+MINUTE_MILLIS = 60_000
+FIRST_MINUTE = -(2**63)
+
 ALERT_SCHEMA = "stage string, date_hour string, kind string, n bigint, samples array<string>"
 
 
@@ -64,24 +67,44 @@ def top_rows(df: DataFrame, n: int, *order) -> DataFrame:
 def alert_rows(routed: DataFrame, stage: str, samples: int = SAMPLES) -> DataFrame:
     """One row per hour and kind of trouble, with its count and some examples.
 
-    The examples are the first rows by time.  Spark cuts every task's rows to that
-    many per group before they are shuffled.
+    The examples are the first rows by time.  Counting per minute first shows up to
+    which minute they reach; that pass reads no texts and sorts no rows.  Only rows up
+    to that minute are ranked, and every task cuts its own to ``samples`` per group
+    before they are shuffled.
     """
+    group = ["date_hour", "kind"]
     troubled = routed.where(F.col("route") != PUBLISHED).select(
         "date_hour",
         F.coalesce("reason", F.lit(UNRESOLVED)).alias("kind"),
         "ts",
+        # rows without a time come first
+        F.coalesce(F.floor(F.col("ts") / MINUTE_MILLIS), F.lit(FIRST_MINUTE)).alias("minute"),
         F.coalesce("packet", "envelope").alias("example"),
     )
-    group = ["date_hour", "kind"]
+    minutes = troubled.groupBy(*group, "minute").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(*group).orderBy("minute").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    earlier = F.coalesce(F.sum("n").over(before), F.lit(0))
+    counted = (
+        minutes.withColumn("earlier", earlier)
+        .groupBy(*group)
+        .agg(
+            F.sum("n").alias("n"),
+            F.max(F.when(F.col("earlier") < samples, F.col("minute"))).alias("last_minute"),
+        )
+    )
+    # one row per hour and kind
+    near = troubled.join(F.broadcast(counted.select(*group, "last_minute")), group).where(
+        F.col("minute") <= F.col("last_minute")
+    )
     ranked = Window.partitionBy(*group).orderBy("ts", "example")
     picked = (
-        troubled.withColumn("rank", F.row_number().over(ranked))
+        near.withColumn("rank", F.row_number().over(ranked))
         .where(F.col("rank") <= samples)
         .groupBy(*group)
         .agg(F.sort_array(F.collect_list(F.struct("rank", "example"))).alias("picked"))
     )
-    counted = troubled.groupBy(*group).agg(F.count("*").alias("n"))
     return counted.join(picked, group).select(
         F.lit(stage).alias("stage"), "date_hour", "kind", "n",
         F.col("picked.example").alias("samples"),

@@ -2,7 +2,6 @@
 
 import json
 import os
-import time
 
 import pytest
 from conftest import packet, put_file
@@ -102,6 +101,25 @@ def test_alert_samples_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in alerts._jdf.queryExecution().executedPlan().toString()
 
 
+def test_alert_samples_are_the_first_by_time(spark):
+    """Against a plain ranking, over times that share minutes, span them or are missing."""
+    rows = []
+    for i in range(300):
+        ts = None if i % 23 == 0 else 1704067200000 + (i * 7919) % 400_000 - 100_000 * (i % 4)
+        kind = ("unresolved", None) if i % 3 else ("quarantine", "bad_value")
+        rows.append((f"h{i % 7}", *kind, ts, f"p{i:03d}" if kind[1] else None, f"e{i:03d}"))
+    rows.append(("h0", "published", None, 1, None, "never"))
+    schema = "date_hour string, route string, reason string, ts bigint, packet string, envelope string"
+    got = {(r.date_hour, r.kind): (r.n, r.samples) for r in alert_rows(spark.createDataFrame(rows, schema), "s").collect()}
+    groups = {}
+    for hour, route, reason, ts, text, envelope in rows:
+        if route != "published":
+            groups.setdefault((hour, reason or "unresolved"), []).append(
+                (ts is not None, ts or 0, text or envelope)
+            )
+    assert got == {k: (len(v), [e for *_, e in sorted(v)[:5]]) for k, v in groups.items()}
+
+
 def test_watermark_run(spark, layout, hashed, types):
     write_watermark(spark, HOURS[0], layout.watermark)
     counts = watermark_run(spark, layout, hashed, types, now=NOW)
@@ -241,6 +259,17 @@ def test_stream_equals_batch_and_reads_late_files_once(spark, layout, hashed, ty
     assert counts.agg(F.sum("total")).first()[0] == 7 * len(HOURS) + 1
 
 
+def test_stream_ignores_files_older_than_its_horizon(spark, layout, hashed, types, tmp_path):
+    check = str(tmp_path / "checkpoint")
+    run_incremental(spark, layout, hashed, types, check, max_age="1h").awaitTermination()
+    assert published(spark, layout) == want(HOURS)
+    for name, age in (("too-late", 7200), ("in-time", 1800)):
+        late = put_file(tmp_path / "raw", HOURS[2], name, packet(user_id="u1", session_id=name))
+        os.utime(late, (1704400000 - age, 1704400000 - age))
+    run_incremental(spark, layout, hashed, types, check, max_age="1h").awaitTermination()
+    assert published(spark, layout) == sorted(want(HOURS) + [("in-time", "g1")])
+
+
 def test_publish_by_hour_replaces_only_its_hours(spark, tmp_path):
     schema = "date_hour string, envelope string"
     out = str(tmp_path / "p")
