@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventloom.operators.counts import (
-    alert_rows, first_per_event_type, hit_alerts, hour_counts, registration_hits, top_rows,
+    alert_rows, any_per_event_type, first_per_event_type, hit_alerts, hour_counts, registration_hits, top_rows,
 )
 
 from eventloom.plans.ingest import stage
@@ -18,6 +18,15 @@ def first_events(spark, sf_dir):
     return first_per_event_type(st.raw_events(spark, sf_dir))
 
 
+def some_events(spark, sf_dir):
+    """A row per event type, whichever it is, found again among the events."""
+    events = st.raw_events(spark, sf_dir)
+    some = any_per_event_type(events)
+    return some.join(events, events.columns).groupBy("event_type").agg(
+        F.count("*").alias("found")
+    )
+
+
 def route_counts(spark, sf_dir):
     return hour_counts(routed(spark, sf_dir))
 
@@ -52,6 +61,7 @@ def trouble_alerts(spark, sf_dir):
 
 QUERIES = {
     "first_events": first_events,
+    "some_events": some_events,
     "route_counts": route_counts,
     "new_player_hits": new_player_hits,
     "new_player_alerts": new_player_alerts,
@@ -70,6 +80,7 @@ SQL = {
         "(PARTITION BY event_type ORDER BY ms, event_id) AS r FROM raw) WHERE r = 1",
         st.RAW_SQL,
     ),
+    "some_events": "SELECT event_type, CAST(1 AS BIGINT) AS found FROM events GROUP BY 1",
     "route_counts": st.with_parts(
         "SELECT date_hour, count(*) AS total, count(*) FILTER (route = 'published') AS published, "
         "count(*) FILTER (route = 'unresolved') AS unresolved, "

@@ -2,7 +2,10 @@ from .backlog import (
     LagAlert, flag_unread, group_paths, hours_after, newest_hours, next_day_hours, pending_hours,
     settled, unread_by_hour, unseen,
 )
-from .counts import alert_rows, first_per_event_type, hour_counts, registration_hits
+from .counts import (
+    alert_rows, any_per_event_type, first_per_event_type, hour_counts, observe_routes,
+    registration_hits, top_rows,
+)
 from .identity import (
     forward_entries, latest_per_key, numeric_entries, resolve_by_distinct_keys, resolve_ids,
     reverse_entries, unresolved_keys, upsert,

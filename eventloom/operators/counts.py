@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from .route import PUBLISHED, QUARANTINE, UNRESOLVED
@@ -29,6 +29,20 @@ def hour_counts(routed: DataFrame) -> DataFrame:
     )
 
 
+def observe_routes(routed: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The rows unchanged, with live counts to be read once they were written.
+
+    For progress reports only: repeated stages may be counted again, so alerts use
+    ``hour_counts``.
+    """
+    seen = Observation(name)
+    counts = [
+        F.count_if(F.col("route") == route).alias(route)
+        for route in (PUBLISHED, UNRESOLVED, QUARANTINE)
+    ]
+    return routed.observe(seen, *counts), seen
+
+
 def registration_hits(unresolved: DataFrame) -> DataFrame:
     """Players to register per hour, each counted in the first hour it appears.
 
@@ -60,6 +74,13 @@ def first_per_event_type(events: DataFrame, order: Sequence[str] = ("ts", "event
     return tied.groupBy("event_type").agg(first.alias("first")).select("event_type", "first.*")
 
 
+def any_per_event_type(events: DataFrame) -> DataFrame:
+    """Some whole row of each event type; which one is left to chance."""
+    rest = [c for c in events.columns if c != "event_type"]
+    some = F.first(F.struct(*rest)).alias("some")
+    return events.groupBy("event_type").agg(some).select("event_type", "some.*")
+
+
 def top_rows(df: DataFrame, n: int, *order) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import day_of, hour_of
+from ..sources.listing import list_files, list_hours
 
 
 def hour_columns(df: DataFrame) -> DataFrame:
@@ -35,14 +36,19 @@ def write_by_hour(
     writes the hours it has, which saves the shuffle where a run covers few hours.
 
     "replace" swaps exactly the hours at hand, so repeating a run changes nothing.
-    Use it only where a run holds whole hours.  "error" refuses to write where
-    anything exists.
+    Use it only where a run holds whole hours.  "error" refuses to write when any of
+    the hours at hand is there already.
     """
     writer = _by_hour(envelopes, gather).write.partitionBy("date", "hour")
     if if_exists == "replace":
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").text(path)
     elif if_exists == "error":
-        writer.mode("errorifexists").text(path)
+        written = list_hours(list_files(envelopes.sparkSession, path))
+        clash = envelopes.select("date_hour").distinct().join(written, "date_hour", "left_semi")
+        hour = clash.agg(F.min("date_hour")).first()[0]
+        if hour is not None:
+            raise FileExistsError(f"{path} already holds hour {hour}")
+        writer.mode("append").text(path)
     else:
         raise ValueError(f"if_exists must be 'replace' or 'error', not {if_exists!r}")
 

@@ -4,6 +4,8 @@ import json
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from conftest import packet, put_file
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ from eventloom.plans.ingest import (
 )
 from eventloom.operators.backlog import LagAlert
 from eventloom.operators.counts import (
-    alert_rows, first_per_event_type, hour_counts, registration_hits, top_rows,
+    alert_rows, any_per_event_type, first_per_event_type, hour_counts, observe_routes,
+    registration_hits, top_rows,
 )
 from eventloom.operators.identity import resolve_by_distinct_keys, unresolved_keys
 from eventloom.operators.route import QUARANTINE
@@ -90,6 +93,36 @@ def test_every_input_row_goes_exactly_one_way(spark, layout, hashed, types):
     assert reasons == {"missing_key", "no_user_id", "corrupt", "bad_value"}
 
 
+KINDS = {
+    "published": packet(user_id="u1"),
+    "unresolved": packet("install", user_id="u9"),
+    "no_user_id": packet(user_id="", numeric_user_id=4),
+    "missing_key": packet(ts=None),
+    "bad_value": packet("level_up", level=[1]),
+    "corrupt": "{{}",
+    None: packet("other"),
+}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from(list(KINDS)), max_size=6), max_size=6))
+def test_no_packet_is_lost_or_doubled(spark, hashed, types, lines):
+    text = [("*##*".join(KINDS[k] for k in line), "h") for line in lines]
+    frame = spark.createDataFrame(text, "value string, date_hour string")
+    ids = spark.createDataFrame([("u1", "g1"), ("u1", "g0")], "player_id string, goc_id string")
+    routed = transform(parse_packets(frame, packet_fields(hashed, types)), hashed, types, ids)
+    got = routed.groupBy(F.coalesce("reason", "route").alias("k")).count().collect()
+    sent = [k for line in lines for k in line if k]
+    assert {r.k: r["count"] for r in got} == {k: sent.count(k) for k in set(sent)}
+
+
+def test_live_counts(spark):
+    rows = spark.createDataFrame([("published",), ("published",), ("quarantine",)], "route string")
+    same, seen = observe_routes(rows, "run")
+    assert same.count() == 3
+    assert seen.get == {"published": 2, "unresolved": 0, "quarantine": 1}
+
+
 def test_alert_samples_are_cut_before_the_shuffle(spark):
     rows = spark.createDataFrame(
         [("h", "unresolved", None, i, None, f"e{i:02d}") for i in range(50)],
@@ -277,8 +310,12 @@ def test_publish_by_hour_replaces_only_its_hours(spark, tmp_path):
     write_by_hour(spark.createDataFrame([(HOURS[1], "c")], schema), out)
     rows = spark.read.text(out)
     assert {(r.hour, r.value) for r in rows.collect()} == {(0, "a"), (1, "c")}
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        write_by_hour(spark.createDataFrame([(HOURS[2], "d")], schema), out, "error")
+    write_by_hour(spark.createDataFrame([(HOURS[2], "d")], schema), out, "error")
+    with pytest.raises(FileExistsError, match=HOURS[1]):
+        write_by_hour(spark.createDataFrame([(HOURS[1], "e"), (HOURS[3], "f")], schema), out, "error")
+    assert spark.read.text(out).count() == 3
+    write_by_hour(spark.createDataFrame([(HOURS[4], "g")], schema), f"{out}-new", "error", gather=False)
+    assert spark.read.text(f"{out}-new").first().value == "g"
 
 
 def test_publish_topic_and_copy(spark, tmp_path):
@@ -293,4 +330,6 @@ def test_first_per_event_type(spark):
     df = spark.createDataFrame(rows, "event_type string, ts bigint, event_id string, v string")
     got = {tuple(r) for r in first_per_event_type(df).collect()}
     assert got == {("a", 5, "1", "x"), ("b", None, "8", "w")}
+    some = {tuple(r) for r in any_per_event_type(df).collect()}
+    assert {r[0] for r in some} == {"a", "b"} and some <= set(rows)
     assert [r.v for r in top_rows(df, 2, F.col("event_id").desc()).collect()] == ["z", "w"]
