@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from eventloom import scratch_path
 from eventloom.plans.ingest import (
-    Layout, backfill_run, hash_ledger_run, hour_ledger_run, register, replay, watermark_run,
+    Layout, backfill_run, hash_ledger_run, hour_ledger_run, register, replay, seed_hash_ledger,
+    watermark_run,
 )
-from eventloom.sources import append_identity, bootstrap_hashes, list_files, write_watermark
+from eventloom.sources import append_identity, read_watermark, write_watermark
 from eventloom.streaming import run_incremental
 
 from . import standins as st
@@ -37,17 +38,14 @@ def run_by_watermark(spark, sf_dir):
     )
     write_watermark(spark, hours.agg(F.max("date_hour")).first()[0], layout.watermark)
     watermark_run(spark, layout, st.PROFILE, st.TYPES, now="2024-01-12 05:00:00")
-    mark = spark.read.text(layout.watermark).select(F.col("value").alias("mark"))
-    rows = read_published(spark, layout.published)
-    # the one-row mark joins every row on a constant key
-    return rows.withColumn("one", F.lit(1)).join(mark.withColumn("one", F.lit(1)), "one").drop("one")
+    mark = read_watermark(spark, layout.watermark)
+    return read_published(spark, layout.published).withColumn("mark", F.lit(mark))
 
 
 def run_by_file_ledger(spark, sf_dir):
     """All files but those seeded as read, in one run; a second run adds nothing."""
     layout = layout_for(spark, sf_dir)
-    seeded = list_files(spark, layout.raw).where(F.col("date_hour") < st.CUT_OFF)
-    bootstrap_hashes(seeded, layout.hash_ledger)
+    seed_hash_ledger(spark, layout, st.BEFORE_CUT_OFF, WHOLE_SPAN_HOURS)
     for run in ("one", "two"):
         hash_ledger_run(
             spark, layout, st.PROFILE, st.TYPES, until=LAST_HOUR,

@@ -30,6 +30,7 @@ TYPES = {"k": "long", "value": "double", "event_id": "long"}
 
 UNREGISTERED = "MACHINERY"
 CUT_OFF = "2024/01/15/12"
+BEFORE_CUT_OFF = "2024/01/15/11"
 NOW_HOUR = "2024/01/20/21"
 NOW = "2024-01-20 21:30:00"
 

@@ -1,6 +1,6 @@
 from .ingest import (
     LINES, RECORDS, Framing, Layout, UnresolvedIds, backfill_run, finish_run, hash_ledger_run, hour_ledger_run,
-    register, replay, transform, watermark_run,
+    register, replay, seed_hash_ledger, transform, watermark_run,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

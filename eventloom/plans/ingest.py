@@ -36,7 +36,7 @@ from ..session import discard, scratch_path
 from ..sinks.publish import write_by_hour, write_by_run, write_rows
 from ..sources.identity import append_identity, read_identity
 from ..sources.ledger import (
-    append_hashes, read_hash_ledger, read_hour_ledger, read_watermark, replace_hour_cells,
+    append_hashes, bootstrap_hashes, read_hash_ledger, read_hour_ledger, read_watermark, replace_hour_cells,
     write_watermark,
 )
 from ..sources.listing import list_files, list_hours, raw_directory
@@ -178,15 +178,19 @@ def finish_run(
 
 @dataclass(frozen=True)
 class Framing:
-    """How packets lie in the files: by lines, or by records where ``record`` is set."""
+    """How packets lie in the files: by lines, or by records where ``record`` is set.
+
+    ``partitions`` deals the lines out anew, for files no two tasks can share.
+    """
 
     separator: str | None = PACKET_SEPARATOR
     record: str | None = None
+    partitions: int | None = None
 
     def parse(self, spark: SparkSession, paths: list[str], fields: Mapping[str, str]) -> DataFrame:
         lines = (
-            read_lines(spark, paths) if self.record is None
-            else read_records(spark, paths, self.record)
+            read_lines(spark, paths, self.partitions) if self.record is None
+            else read_records(spark, paths, self.record, self.partitions)
         )
         return parse_packets(lines, fields, self.separator)
 
@@ -297,6 +301,20 @@ def backfill_run(
 # its own files, which replaces whatever it had already written.
 
 
+def seed_hash_ledger(
+    spark: SparkSession,
+    layout: Layout,
+    watermark: str | None = None,
+    horizon_hours: int = HASH_LEDGER_HORIZON_HOURS,
+    mode: str = "overwrite",
+) -> None:
+    """Enter the files of the hours up to the watermark as read, before a first run."""
+    mark = watermark or read_watermark(spark, layout.watermark)
+    bootstrap_hashes(
+        layout.listing(spark, horizon(mark, horizon_hours)), layout.hash_ledger, mode
+    )
+
+
 def hash_ledger_run(
     spark: SparkSession,
     layout: Layout,

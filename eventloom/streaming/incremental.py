@@ -56,16 +56,20 @@ def run_incremental(
 ) -> StreamingQuery:
     """Start a query that reads everything unread in bounded batches, then stops.
 
-    Each batch is a run named by its batch number and replaces only its own
+    Each batch is a run named by query and batch number and replaces only its own
     directories, so a batch that Spark repeats after a failure is not duplicated.
-    The identity table is read again in every batch.
+    The query's id lives in its checkpoint: a new checkpoint reads everything again
+    and adds runs of its own.  The identity table is read again in every batch.
     """
     lines = stream_lines(spark, layout.raw, max_files, max_age, framing.record)
     parsed = parse_packets(lines, packet_fields(profile, types), framing.separator)
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        run = f"batch-{batch_id}"
+        query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query is None:
+            raise RuntimeError("the streaming query has no id")
+        run = f"stream-{query}-{batch_id}"
         routed = transform(batch, profile, types, read_identity(session, layout.forward), resolve)
         finish_run(
             routed, layout, profile, run,

@@ -13,8 +13,8 @@ from eventloom import hashed_id_profile
 from eventloom.session import discard
 from eventloom.plans import ingest
 from eventloom.plans.ingest import (
-    RECORDS, Layout, UnresolvedIds, backfill_run, hash_ledger_run, hour_ledger_run, register, replay,
-    transform, watermark_run,
+    RECORDS, Framing, Layout, UnresolvedIds, backfill_run, hash_ledger_run, hour_ledger_run, register, replay,
+    seed_hash_ledger, transform, watermark_run,
 )
 from eventloom.operators.backlog import LagAlert
 from eventloom.operators.counts import (
@@ -203,6 +203,14 @@ def test_hash_ledger_run(spark, layout, hashed, types, tmp_path):
     assert published(spark, layout) == sorted(want(HOURS) + [("late", "g1")])
 
 
+def test_seeded_files_count_as_read(spark, layout, hashed, types):
+    write_watermark(spark, HOURS[5], layout.watermark)
+    seed_hash_ledger(spark, layout, horizon_hours=3)
+    dealt = Framing(partitions=3)
+    assert hash_ledger_run(spark, layout, hashed, types, now=NOW, run="one", framing=dealt) == ["one"]
+    assert published(spark, layout) == want(HOURS[:2] + HOURS[6:])
+
+
 def test_hash_ledger_run_repeats_an_unfinished_run(spark, layout, hashed, types, tmp_path, monkeypatch):
     real = ingest.append_hashes
     monkeypatch.setattr(ingest, "append_hashes", lambda *a: 1 / 0)
@@ -290,6 +298,7 @@ def test_stream_equals_batch_and_reads_late_files_once(spark, layout, hashed, ty
     assert published(spark, layout) == sorted(want(HOURS) + [("late", "g1")])
     counts = spark.read.parquet(layout.counts)
     assert counts.agg(F.sum("total")).first()[0] == 7 * len(HOURS) + 1
+    assert len({r.run.rsplit("-", 1)[0] for r in counts.select("run").distinct().collect()}) == 1
 
 
 def test_stream_ignores_files_older_than_its_horizon(spark, layout, hashed, types, tmp_path):
