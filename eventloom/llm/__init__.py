@@ -1,8 +1,8 @@
 """Operators for training-data pipelines; nothing else in the library imports them."""
 
-from . import packing
+from . import dedup, mixing, packing
 
-_MODULES = (packing,)
+_MODULES = (dedup, mixing, packing)
 
 
 def queries():
