@@ -1,8 +1,8 @@
 """Operators for training-data pipelines; nothing else in the library imports them."""
 
-from . import dedup, mixing, packing
+from . import chosen_path, dedup, mixing, packing
 
-_MODULES = (dedup, mixing, packing)
+_MODULES = (chosen_path, dedup, mixing, packing)
 
 
 def queries():
