@@ -194,9 +194,11 @@ def exact_dedup(
     # bitwise not turns the order of ids round without overflow
     rank = F.struct("n", F.bitwise_not("doc_id").alias("id"), F.bitwise_not("at").alias("at"))
     candidates = rows.where(F.col("body").isNotNull())
+    # a table of its own, so that the join can split the copies of a large group
     groups = candidates.groupBy("body").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(rank).alias("best")
     )
+    groups = keep_table(groups, "dedup-groups")
     members = candidates.join(groups, "body").select(
         "doc_id",
         F.bitwise_not("best.id").alias("keep_id"),
