@@ -173,7 +173,7 @@ class Mix:
         self.blocks = keep_table(self._drawn(blocks, sized), "mix-blocks")
         n = self.blocks.agg(F.sum("draws")).first()[0] or 0
         self.shards = 1 << max(0, (n // blocks_per_shard).bit_length())
-        self.sized = sized
+        self.sized, self._plan = sized, None
 
     def _sized(self, *more: Column) -> DataFrame:
         doc, text, source = self.columns
@@ -241,24 +241,41 @@ class Mix:
             (F.col("whole") + F.col("last_key").isNotNull().cast("long")).alias("draws"),
         )
 
+    def plan(self) -> DataFrame:
+        """rank, block, whole, last_key, copies: the draws of each block and their shards."""
+        if self._plan is None:
+            shards = self.shard_draws().groupBy("rank", "block").agg(
+                F.array_sort(F.collect_list(F.struct("draw", "shard"))).alias("copies")
+            )
+            self._plan = keep_table(self.blocks.join(shards, ["rank", "block"]), "mix-plan")
+        return self._plan
+
     def taken(self) -> DataFrame:
-        """id, source, size, source_size, target, taken: one row per row of the input."""
-        times = F.coalesce(self._times(), F.lit(0))
-        mixed = self._dealt(self.sized).join(self.blocks, ["rank", "block"])
-        mixed = mixed.select(
-            "id", "source", "size", "source_size", "target", (F.col("size") * times).alias("taken")
+        """id, source, size, source_size, target, taken, shards: a row per row of the input."""
+        columns = ["id", "source", "size", "source_size", "target"]
+        mixed = (
+            self._dealt(self.sized)
+            .join(self.plan(), ["rank", "block"], "left")
+            .withColumn("shards", F.coalesce(self._copies()["shard"], F.array().cast("array<int>")))
+            .select(*columns, (F.col("size") * F.size("shards")).alias("taken"), "shards")
         )
         targets = self.targets.select(F.col("source").alias("of"), "source_size", "target")
         empty = (
             self.sized.where(F.col("size") == 0)
             .join(targets, F.col("source").eqNullSafe(F.col("of")))
-            .select("id", "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+            .select(
+                *columns,
+                F.lit(0).cast("long").alias("taken"),
+                F.array().cast("array<int>").alias("shards"),
+            )
         )
         return mixed.unionByName(empty)
 
     @staticmethod
-    def _times() -> Column:
-        return F.col("whole") + F.when(F.col("key") <= F.col("last_key"), 1).otherwise(0)
+    def _copies() -> Column:
+        """The draws of its block that a row takes part in."""
+        times = F.col("whole") + F.when(F.col("key") <= F.col("last_key"), 1).otherwise(0)
+        return F.slice("copies", F.lit(1), times.cast("int"))
 
     def shard_draws(self) -> DataFrame:
         """rank, block, draw (from 0), shard: which shard gets which draw of a block."""
@@ -285,15 +302,11 @@ class Mix:
 
     def rows(self) -> DataFrame:
         """The mixed rows, as columns of the input: shard by shard, shuffled within."""
-        shards = self.shard_draws().groupBy("rank", "block").agg(
-            F.array_sort(F.collect_list(F.struct("draw", "shard"))).alias("copies")
-        )
-        plan = keep_table(self.blocks.join(shards, ["rank", "block"]), "mix-plan")
         row = F.struct(*[F.col(f"`{c}`") for c in self.docs.columns]).alias("row")
         return (
             self._dealt(self._sized(row))
-            .join(plan, ["rank", "block"])
-            .withColumn("copy", F.explode(F.slice("copies", F.lit(1), self._times().cast("int"))))
+            .join(self.plan(), ["rank", "block"])
+            .withColumn("copy", F.explode(self._copies()))
             .select("row", "key", F.col("copy.draw").alias("draw"), F.col("copy.shard").alias("shard"))
             .repartition("shard")
             .sortWithinPartitions("shard", F.xxhash64("key", "draw"))
@@ -304,7 +317,7 @@ class Mix:
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = Mix(documents(spark, sf_dir)).taken()
     return taken.select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source"
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "shards"
     )
 
 
