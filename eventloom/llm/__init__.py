@@ -1,8 +1,8 @@
 """Operators for training-data pipelines; nothing else in the library imports them."""
 
-from . import chosen_path, dedup, huffman, importance, mixing, packing
+from . import chosen_path, cover_tree, dedup, huffman, importance, mixing, packing, secrets
 
-_MODULES = (chosen_path, dedup, huffman, importance, mixing, packing)
+_MODULES = (chosen_path, cover_tree, dedup, huffman, importance, mixing, packing, secrets)
 
 
 def queries():

@@ -1,0 +1,72 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from eventloom.llm.cover_tree import LEAF, Best, CoverTree, quantised, search, top_k
+
+
+def brute(rows, queries, k):
+    out = []
+    for q, a in set(queries):
+        scores = sorted(
+            (-sum(x * y for x, y in zip(a, b)), i) for i, b in set(rows) if i != q and len(b) == len(a)
+        )
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("kind", ["random", "clustered", "equal"])
+def test_tree_covers_and_search_is_exact(kind):
+    rng = np.random.default_rng(51)
+    points = rng.integers(-100, 100, (600, 5))
+    if kind == "clustered":
+        points = points[rng.integers(0, 12, 600)] * 50 + rng.integers(-3, 4, (600, 5))
+    if kind == "equal":
+        points[:] = points[0]
+    tree = CoverTree(np.arange(600), points)
+    assert sorted(tree.ids) == list(range(600))
+    for n in range(len(tree.begin)):
+        d = np.sqrt(((tree.points[tree.begin[n] : tree.to[n]] - tree.centres[n]) ** 2).sum(1))
+        assert d.max() <= tree.radius[n] + 1e-9
+        if tree.child[n, 1] == tree.child[n, 0]:
+            assert tree.to[n] - tree.begin[n] <= LEAF or tree.radius[n] == 0
+    asked = CoverTree(np.arange(0, 600, 7), points[::7])
+    best = Best(len(asked.ids), 4, np.full(len(asked.ids), -np.inf))
+    search(asked, tree, best)
+    got = {}
+    for row, i, s in zip(best.row, best.id, best.score):
+        got.setdefault(int(asked.ids[row]), []).append((-int(s), int(i)))
+    for q in range(0, 600, 7):
+        scores = points @ points[q]
+        want = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:4]
+        assert got[q] == want
+
+
+def test_top_k_against_brute_force(spark):
+    rng = random.Random(52)
+    rows = [(i, tuple(rng.randint(-9, 9) for _ in range(4))) for i in range(500)]
+    rows += [(1000 + i, (3, 3, 3, 3)) for i in range(300)]  # one very common vector
+    rows += [(2000, (1, 2)), (2001, (5, 5)), (2002, (0, 0)), (7, rows[7][1]), (7, (1, 1, 1, 1))]
+    df = spark.createDataFrame([(i, list(v), "x") for i, v in rows], "vec_id long, v array<long>, rank string")
+    asked = [r for r in rows if r[0] % 10 == 0]
+    nulls = spark.createDataFrame([(None, [1, 1, 1, 1], ""), (5000, None, ""), (5001, [], "")], df.schema)
+    df = df.unionByName(nulls).repartition(3)
+    got = top_k(df, df.where(F.col("vec_id") % 10 == 0), 5, block_size=64, group_size=16, n_pivots=8)
+    assert sorted(map(tuple, got.collect())) == brute(rows, asked, 5)
+
+
+def test_few_rows_and_none(spark):
+    df = spark.createDataFrame([(0, [1, 2]), (1, [3, 4])], "vec_id long, v array<long>")
+    got = top_k(df, df.where("vec_id = 0"), 5).collect()
+    assert [tuple(r) for r in got] == [(0, 1, 1, 11)]
+    assert top_k(df.limit(0), df.limit(0), 5).count() == 0
+
+
+def test_quantised(spark):
+    nan, inf = math.nan, math.inf
+    rows = [(1, [0.5, -0.001]), (2, None), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf]), (6, [1e30]), (7, [])]
+    got = quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert {r["vec_id"]: r["v"] for r in got} == {1: [128, -1], 7: []}
