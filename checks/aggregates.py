@@ -8,6 +8,7 @@ from eventloom.operators.counts import (
     alert_rows, any_per_event_type, first_per_event_type, hit_alerts, hour_counts, registration_hits, top_rows,
 )
 
+from eventloom.operators.identity import distinct_players as players
 from eventloom.plans.ingest import stage
 
 from . import standins as st
@@ -41,7 +42,7 @@ def new_player_alerts(spark, sf_dir):
 
 
 def distinct_players(spark, sf_dir):
-    return st.raw_events(spark, sf_dir).select("user_id").distinct()
+    return players(st.raw_events(spark, sf_dir))
 
 
 def newest_events(spark, sf_dir):

@@ -8,8 +8,8 @@ from eventloom import scratch_path
 from eventloom.functions.times import DAY_PATH
 from eventloom.operators.backlog import (
     FEWEST_HOURS_AFTER_WATERMARK, HASH_LEDGER_HORIZON_HOURS, HOUR_LEDGER_HORIZON_HOURS,
-    backfill_hours, flag_unread, group_paths, hold_back, horizon, hours_after, lag_rows,
-    next_day_hours, not_current, pending_hours, settled, unread_by_hour, unseen,
+    append_listings, backfill_hours, flag_unread, group_paths, hold_back, horizon, hours_after, lag_rows,
+    next_day_hours, not_current, not_read, pending_hours, settled, unread_by_hour, unseen,
 )
 from eventloom.sources import (
     append_hashes, bootstrap_hashes, list_hours, read_hash_ledger, read_hour_ledger,
@@ -119,26 +119,18 @@ def lag_check(spark, sf_dir):
     return lagging.unionByName(fine).select("stage", "kind", "n")
 
 
-def _joined(groups, keys):
-    return groups.select(
-        *keys, F.size("paths").cast("bigint").alias("n"), F.md5(F.concat_ws(",", "paths")).alias("paths")
-    )
-
-
 def files_by_hour(spark, sf_dir):
-    groups = group_paths(st.file_listing(spark, sf_dir)).orderBy("date_hour", "part")
-    return _joined(groups, ["date_hour"])
+    return group_paths(st.file_listing(spark, sf_dir)).orderBy("date_hour", "position")
 
 
 def unread_files_by_hour(spark, sf_dir):
     listing = st.file_listing(spark, sf_dir)
-    return _joined(unread_by_hour(flag_unread(listing, _cells(listing))), ["date", "hour"])
+    return unread_by_hour(flag_unread(listing, _cells(listing)))
 
 
 def joined_path_cells(spark, sf_dir):
-    """The comma-joined text of each hour's cell."""
-    groups = group_paths(st.file_listing(spark, sf_dir), path="clean_path")
-    return groups.select("date_hour", F.concat_ws(",", "paths").alias("cell"))
+    """The cells in the ledger's form: a row per path with its place in the hour's cell."""
+    return group_paths(st.file_listing(spark, sf_dir), path="clean_path")
 
 
 def union_listings(spark, sf_dir):
@@ -149,13 +141,13 @@ def union_listings(spark, sf_dir):
         "event_id",
         F.date_format(F.date_sub(F.col("modification_time"), 1), DAY_PATH).alias("listed_for"),
     )
-    return own.unionByName(before)
+    return append_listings(own, before)
 
 
 def file_set_difference(spark, sf_dir):
     listing = st.file_listing(spark, sf_dir)
     read = listing.where(F.col("date_hour") < st.CUT_OFF)
-    return listing.select("path").exceptAll(read.select("path"))
+    return not_read(listing, read)
 
 
 def appended_file_ledger(spark, sf_dir):
@@ -267,16 +259,17 @@ SQL = {
         _HOURS,
     ),
     "files_by_hour": _raw(
-        f"SELECT date_hour, count(*) AS n, md5(string_agg({_FULL}, ',' ORDER BY {_FULL})) AS paths "
-        "FROM raw GROUP BY 1"
+        f"SELECT date_hour, {_FULL} AS path, "
+        f"row_number() OVER (PARTITION BY date_hour ORDER BY {_FULL}) AS position FROM raw"
     ),
     "unread_files_by_hour": _raw(
-        "SELECT left(date_hour, 10) AS date, right(date_hour, 2) AS hour, count(*) AS n, "
-        "md5(string_agg(clean_path, ',' ORDER BY clean_path)) AS paths "
-        f"FROM raw WHERE date_hour >= '{st.CUT_OFF}' GROUP BY 1, 2"
+        "SELECT left(date_hour, 10) AS date, right(date_hour, 2) AS hour, clean_path AS path, "
+        "row_number() OVER (PARTITION BY date_hour ORDER BY clean_path) AS position "
+        f"FROM raw WHERE date_hour >= '{st.CUT_OFF}'"
     ),
     "joined_path_cells": _raw(
-        "SELECT date_hour, string_agg(clean_path, ',' ORDER BY clean_path) AS cell FROM raw GROUP BY 1"
+        "SELECT date_hour, clean_path AS path, "
+        "row_number() OVER (PARTITION BY date_hour ORDER BY clean_path) AS position FROM raw"
     ),
     "union_listings": _raw(
         "SELECT event_id, strftime(ts, '%Y/%m/%d') AS listed_for FROM raw UNION ALL "

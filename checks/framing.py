@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import (
     brace_slice, clean_path, date_hour_after_prod, date_hour_of_path, day_of, day_sequence,
-    epoch_to_pacific, epoch_to_text, event_type_of, file_hash, format_time, hour_of,
-    hour_sequence, in_zone, packets_of, path_after, path_tail, trimmed,
+    default_empty, epoch_to_pacific, epoch_to_text, event_type_of, file_hash, format_time, hour_of,
+    hour_sequence, in_zone, packets_of, path_after, path_tail, row_json, trimmed,
 )
 from eventloom.functions import times as t
 from eventloom.operators.project import interpret
@@ -63,12 +63,10 @@ def rows_to_json(spark, sf_dir):
     events = st.raw_events(spark, sf_dir)
     return events.select(
         "event_id",
-        F.to_json(
-            F.struct(
-                "event_type",
-                F.when(F.col("event_type") != "click", F.col("value")).alias("value"),
-                F.when(F.col("event_type") != "view", F.col("k")).alias("k"),
-            )
+        row_json(
+            "event_type",
+            F.when(F.col("event_type") != "click", F.col("value")).alias("value"),
+            F.when(F.col("event_type") != "view", F.col("k")).alias("k"),
         ).alias("json"),
     )
 
@@ -153,8 +151,8 @@ def default_empty_ids(spark, sf_dir):
     events = st.raw_events(spark, sf_dir)
     absent = F.when(F.col("event_type") != "error", F.col("numeric_user_id"))
     return events.select(
-        "event_id", F.coalesce("user_id", F.lit("")).alias("user_id"),
-        F.coalesce(absent, F.lit("")).alias("numeric_user_id"),
+        "event_id", default_empty("user_id").alias("user_id"),
+        default_empty(absent).alias("numeric_user_id"),
     )
 
 

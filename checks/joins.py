@@ -35,10 +35,10 @@ def resolve_distinct_players(spark, sf_dir):
 
 
 def resolve_salted_players(spark, sf_dir):
-    """The path for players too many to broadcast, with the heaviest ones salted."""
+    """The heaviest players, unknown ones among them, are salted."""
     rows = stage(typed_rows(spark, sf_dir), "typed")
     resolved = resolve_by_distinct_keys(
-        rows, st.identity(spark, sf_dir), broadcast_rows=0, max_hot_keys=500
+        rows, st.identity(spark, sf_dir), max_hot_keys=500
     )
     return resolved.select("date_hour", "player_key", "goc_id", "event_value")
 
@@ -68,14 +68,14 @@ def forward_upsert(spark, sf_dir):
     """Known customers and newly registered players; a re-registration wins."""
     current = st.identity(spark, sf_dir).withColumn("player_id", F.trim("player_id"))
     entered = forward_entries(worklist(spark, sf_dir), _assigned(spark, sf_dir), 2)
-    orders = st.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    orders = st.table(spark, sf_dir, "orders")
     renewed = orders.select(
         F.concat(F.lit("p"), F.col("o_custkey")).alias("player_id"),
         F.concat(F.lit("order "), F.col("o_orderkey")).alias("goc_id"),
         F.col("o_custkey").cast("string").alias("numeric_id"),
         (F.col("o_orderkey") + 10).cast("bigint").alias("seq"),
     )
-    return upsert(upsert(current, entered, "player_id"), renewed, "player_id")
+    return upsert(current, entered.unionByName(renewed), "player_id")
 
 
 def reverse_upsert(spark, sf_dir):
@@ -147,7 +147,7 @@ SQL = {
         "SELECT player_id, goc_id, numeric_id, seq FROM present "
         "UNION ALL SELECT player_id, goc_id, numeric_id, seq FROM entered "
         "UNION ALL SELECT 'p' || o_custkey, 'order ' || o_orderkey, CAST(o_custkey AS VARCHAR), "
-        "o_orderkey + 10 FROM orders WHERE o_orderstatus = 'F')) WHERE r = 1",
+        "o_orderkey + 10 FROM orders)) WHERE r = 1",
         *_BASE,
     ),
     "reverse_upsert": st.with_parts(

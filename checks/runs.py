@@ -4,21 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventloom import scratch_path
+from eventloom import hashed_id_profile, scratch_path
+from eventloom.functions.times import HOUR_PATH
 from eventloom.plans.ingest import (
-    Layout, backfill_run, hash_ledger_run, hour_ledger_run, register, replay, seed_hash_ledger,
-    watermark_run,
+    Layout, UnresolvedIds, backfill_run, hash_ledger_run, hour_ledger_run, register, replay,
+    seed_hash_ledger, text_sink, watermark_run,
 )
-from eventloom.sources import append_identity, read_watermark, write_watermark
+from eventloom.sinks import publish_topic
+from eventloom.sources import merge_identity, read_identity, read_watermark, write_watermark
 from eventloom.streaming import run_incremental
 
 from . import standins as st
 from .joins import _assigned
 from .sinks import read_published
 
-# Far more hours than the events span, so that every file is listed.
-WHOLE_SPAN_HOURS = 24 * 40
-LAST_HOUR = "2024/02/05/00"
 # The run starts from the newest listed hour up to here from which on the next
 # day is read too.
 NEWEST_MARK = "2024/01/10/22"
@@ -26,10 +25,19 @@ NEWEST_MARK = "2024/01/10/22"
 
 def layout_for(spark, sf_dir) -> Layout:
     layout = Layout(st.raw_files(spark, sf_dir), scratch_path(spark, "game"), partitioned=True)
-    append_identity(st.identity(spark, sf_dir), layout.forward)
+    merge_identity(st.identity(spark, sf_dir), layout.forward)
     return layout
 
 
+def whole_span(spark, sf_dir):
+    """The last hour of the events, and how many hours lie before it to the first."""
+    span = st.table(spark, sf_dir, "events").agg(
+        F.date_format(F.max("ts"), HOUR_PATH).alias("until"),
+        F.expr("timestampdiff(HOUR, date_trunc('hour', min(ts)), date_trunc('hour', max(ts)))").alias("n"),
+    ).first()
+    return {"until": span.until, "horizon_hours": span.n}
+
+
 def run_by_watermark(spark, sf_dir):
     """Hours behind the mark, the newest three held back, then the mark's new place."""
     layout = layout_for(spark, sf_dir)
@@ -45,12 +53,10 @@ def run_by_watermark(spark, sf_dir):
 def run_by_file_ledger(spark, sf_dir):
     """All files but those seeded as read, in one run; a second run adds nothing."""
     layout = layout_for(spark, sf_dir)
-    seed_hash_ledger(spark, layout, st.BEFORE_CUT_OFF, WHOLE_SPAN_HOURS)
+    span = whole_span(spark, sf_dir)
+    seed_hash_ledger(spark, layout, st.BEFORE_CUT_OFF, span["horizon_hours"])
     for run in ("one", "two"):
-        hash_ledger_run(
-            spark, layout, st.PROFILE, st.TYPES, until=LAST_HOUR,
-            horizon_hours=WHOLE_SPAN_HOURS, run=run,
-        )
+        hash_ledger_run(spark, layout, st.PROFILE, st.TYPES, run=run, **span)
     return read_published(spark, layout.published)
 
 
@@ -59,8 +65,8 @@ def run_by_hour_ledger(spark, sf_dir):
     layout = layout_for(spark, sf_dir)
     for run in ("one", "two"):
         hour_ledger_run(
-            spark, layout, st.PROFILE, st.TYPES, now="2100-01-01 00:00:00", until=LAST_HOUR,
-            horizon_hours=WHOLE_SPAN_HOURS, run=run,
+            spark, layout, st.PROFILE, st.TYPES, now="2100-01-01 00:00:00", run=run,
+            **whole_span(spark, sf_dir),
         )
     return read_published(spark, layout.published)
 
@@ -84,8 +90,7 @@ def register_and_replay(spark, sf_dir):
     """New players get ids after the first run; the replay publishes their rows."""
     layout = layout_for(spark, sf_dir)
     hash_ledger_run(
-        spark, layout, st.PROFILE, st.TYPES, until=LAST_HOUR, horizon_hours=WHOLE_SPAN_HOURS,
-        run="one",
+        spark, layout, st.PROFILE, st.TYPES, run="one", **whole_span(spark, sf_dir)
     )
     register(spark, layout, _assigned(spark, sf_dir), seq=2)
     for run in ("replay-1", "replay-2"):
@@ -93,6 +98,76 @@ def register_and_replay(spark, sf_dir):
     return read_published(spark, layout.published)
 
 
+STRICT = hashed_id_profile(st.GAME, event_columns=st.PROFILE.event_columns, on_unresolved="fail")
+
+
+def run_strict_after_register(spark, sf_dir):
+    """A strict run stops on new players; once they are registered it is repeated whole."""
+    layout = layout_for(spark, sf_dir)
+    span = whole_span(spark, sf_dir)
+    try:
+        hash_ledger_run(spark, layout, STRICT, st.TYPES, run="one", **span)
+    except UnresolvedIds:
+        register(spark, layout, _assigned(spark, sf_dir), seq=2)
+    hash_ledger_run(spark, layout, STRICT, st.TYPES, run="two", **span)
+    return read_published(spark, layout.published)
+
+
+def run_by_watermark_then_backfill(spark, sf_dir):
+    """A backfill of all days replaces what a watermark run published; the text reads plainly."""
+    layout = layout_for(spark, sf_dir)
+    listing = st.file_listing(spark, sf_dir)
+    hours = listing.where(
+        (F.col("date_hour") <= NEWEST_MARK) & (F.right("date_hour", F.lit(2)) >= "20")
+    )
+    write_watermark(spark, hours.agg(F.max("date_hour")).first()[0], layout.watermark)
+    watermark_run(spark, layout, st.PROFILE, st.TYPES, now="2024-01-12 05:00:00")
+    span = listing.agg(F.min("date_hour").alias("a"), F.max("date_hour").alias("b")).first()
+    backfill_run(
+        spark, layout, st.PROFILE, st.TYPES, span.a[:10], span.b[:10], run="again", gather=False
+    )
+    return spark.read.text(layout.published).select(
+        F.col("value").alias("envelope"),
+        F.concat(
+            F.date_format("date", "yyyy/MM/dd"), F.lit("/"), F.lpad("hour", 2, "0")
+        ).alias("date_hour"),
+    )
+
+
+def run_to_topic_and_text(spark, sf_dir):
+    """One run with two sinks, the topic stood in for by text files."""
+    layout = layout_for(spark, sf_dir)
+    topic = scratch_path(spark, "topic")
+    sinks = [lambda rows, run: publish_topic(rows, topic, sink="text"), text_sink(layout)]
+    hash_ledger_run(
+        spark, layout, st.PROFILE, st.TYPES, run="one", publish=sinks, slice_files=1_000_000,
+        **whole_span(spark, sf_dir),
+    )
+    sent = spark.read.text(topic).select(F.lit("topic").alias("sink"), F.col("value").alias("envelope"))
+    text = read_published(spark, layout.published).select(F.lit("text").alias("sink"), "envelope")
+    return sent.unionByName(text)
+
+
+def registered_identities(spark, sf_dir):
+    """The three identity tables after new players were registered."""
+    layout = layout_for(spark, sf_dir)
+    hash_ledger_run(
+        spark, layout, st.PROFILE, st.TYPES, run="one", **whole_span(spark, sf_dir)
+    )
+    for _ in range(2):
+        register(spark, layout, _assigned(spark, sf_dir), seq=2)
+    forward = read_identity(spark, layout.forward).select(
+        F.lit("forward").alias("kind"), F.col("player_id").alias("key"), "goc_id", "seq"
+    )
+    reverse = read_identity(spark, layout.reverse, "reverse").select(
+        F.lit("reverse").alias("kind"), F.col("hashed_id").alias("key"), "goc_id", "seq"
+    )
+    numeric = read_identity(spark, layout.numeric, "numeric").select(
+        F.lit("numeric").alias("kind"), F.col("hashed_id").alias("key"), "goc_id", "seq"
+    )
+    return forward.unionByName(reverse).unionByName(numeric)
+
+
 def run_as_stream(spark, sf_dir):
     """The streaming form; started again it finds nothing new."""
     layout = layout_for(spark, sf_dir)
@@ -106,8 +181,8 @@ def stored_hour_counts(spark, sf_dir):
     """Counts a run leaves behind, and the event types its output holds."""
     layout = layout_for(spark, sf_dir)
     counts = hour_ledger_run(
-        spark, layout, st.PROFILE, st.TYPES, now="2100-01-01 00:00:00", until=LAST_HOUR,
-        horizon_hours=WHOLE_SPAN_HOURS, run="one",
+        spark, layout, st.PROFILE, st.TYPES, now="2100-01-01 00:00:00", run="one",
+        **whole_span(spark, sf_dir),
     )
     stored = spark.read.parquet(*[f"{layout.counts}/run={run}" for run in counts])
     written = read_published(spark, layout.published).groupBy("date_hour").agg(
@@ -125,10 +200,18 @@ QUERIES = {
     "run_by_hour_ledger": run_by_hour_ledger,
     "run_backfill": run_backfill,
     "register_and_replay": register_and_replay,
+    "run_strict_after_register": run_strict_after_register,
+    "run_by_watermark_then_backfill": run_by_watermark_then_backfill,
+    "run_to_topic_and_text": run_to_topic_and_text,
+    "registered_identities": registered_identities,
     "run_as_stream": run_as_stream,
     "stored_hour_counts": stored_hour_counts,
 }
 
+_REGISTERED_SQL = st.RESOLVED_SQL.replace(
+    "coalesce(c_name, '')",
+    f"CASE WHEN c_mktsegment = '{st.UNREGISTERED}' THEN 'new ' ELSE '' END || c_name",
+).replace(f" AND c_mktsegment <> '{st.UNREGISTERED}'", "")
 _PARTS = (st.RAW_SQL, st.VALUE_SQL, st.RESOLVED_SQL, st.ENVELOPE_SQL)
 _ALL = st.with_parts("SELECT envelope, date_hour FROM enveloped WHERE goc_id <> ''", *_PARTS)
 
@@ -158,11 +241,26 @@ SQL = {
     "register_and_replay": st.with_parts(
         "SELECT envelope, date_hour FROM enveloped",
         st.RAW_SQL, st.VALUE_SQL,
-        st.RESOLVED_SQL.replace(
-            "coalesce(c_name, '')",
-            f"CASE WHEN c_mktsegment = '{st.UNREGISTERED}' THEN 'new ' ELSE '' END || c_name",
-        ).replace(f" AND c_mktsegment <> '{st.UNREGISTERED}'", ""),
-        st.ENVELOPE_SQL,
+        _REGISTERED_SQL, st.ENVELOPE_SQL,
+    ),
+    "run_strict_after_register": st.with_parts(
+        "SELECT envelope, date_hour FROM enveloped",
+        st.RAW_SQL, st.VALUE_SQL, _REGISTERED_SQL, st.ENVELOPE_SQL,
+    ),
+    "run_by_watermark_then_backfill": _ALL,
+    "run_to_topic_and_text": st.with_parts(
+        "SELECT sink, envelope FROM enveloped, (VALUES ('topic'), ('text')) AS sinks(sink) "
+        "WHERE goc_id <> ''",
+        *_PARTS,
+    ),
+    "registered_identities": st.with_parts(
+        "SELECT 'forward' AS kind, 'p' || c_custkey AS key, c_name AS goc_id, "
+        "CAST(1 AS BIGINT) AS seq FROM customer "
+        f"WHERE c_mktsegment <> '{st.UNREGISTERED}' UNION ALL "
+        "SELECT kind, uid, goc_id, CAST(2 AS BIGINT) FROM "
+        "(SELECT DISTINCT uid, goc_id FROM resolved WHERE goc_id LIKE 'new %'), "
+        "(VALUES ('forward'), ('reverse'), ('numeric')) AS kinds(kind)",
+        st.RAW_SQL, st.VALUE_SQL, _REGISTERED_SQL,
     ),
     "run_as_stream": _ALL,
     "stored_hour_counts": st.with_parts(

@@ -11,7 +11,7 @@ from eventloom.operators.backlog import flag_unread
 from eventloom.operators.route import early_allowlist
 from eventloom.sinks.publish import hour_columns
 from eventloom.sources import (
-    append_hashes, append_identity, bootstrap_hashes, list_files, packet_fields, parse_packets,
+    append_hashes, bootstrap_hashes, list_files, merge_identity, packet_fields, parse_packets,
     read_catalog, read_hash_ledger, read_hour_ledger, read_identity, read_json_events, read_lines,
     read_records, read_watermark, replace_hour_cells, write_watermark,
 )
@@ -112,7 +112,7 @@ def read_file_ledger(spark, sf_dir):
     ledger = scratch_path(spark, "hashes")
     bootstrap_hashes(listing.where(F.col("date_hour") < st.CUT_OFF), ledger)
     append_hashes(listing, ledger)
-    return read_hash_ledger(spark, ledger)
+    return read_hash_ledger(spark, ledger).distinct()
 
 
 def read_stored_watermark(spark, sf_dir):
@@ -122,11 +122,18 @@ def read_stored_watermark(spark, sf_dir):
     write_watermark(spark, newest, path)
     mark = read_watermark(spark, path)
     hours = events.select(F.date_format("ts", HOUR_PATH).alias("date_hour"))
-    return hours.where(F.col("date_hour") == mark).groupBy("date_hour").agg(
+    return hours.where(F.col("date_hour") <= mark).groupBy("date_hour").agg(
         F.count("*").alias("n")
     )
 
 
+def dealt_lines(spark, sf_dir):
+    """Lines dealt out anew over tasks; none is lost."""
+    lines = read_lines(spark, f"{st.raw_files(spark, sf_dir)}/*/*", partitions=16)
+    packets = parse_packets(lines, packet_fields(st.PROFILE, st.TYPES))
+    return packets.groupBy("date_hour", "event_type").agg(F.count("*").alias("n"))
+
+
 def list_files_with_times(spark, sf_dir):
     listing = list_files(spark, st.raw_files(spark, sf_dir))
     return listing.groupBy("date_hour").agg(
@@ -138,7 +145,7 @@ def list_files_with_times(spark, sf_dir):
 
 def scan_identity_table(spark, sf_dir):
     path = scratch_path(spark, "identity")
-    append_identity(st.identity(spark, sf_dir), path)
+    merge_identity(st.identity(spark, sf_dir), path)
     return read_identity(spark, path).select("player_id", "goc_id", "numeric_id", "seq")
 
 
@@ -160,6 +167,7 @@ QUERIES = {
     "read_type_catalog": read_type_catalog,
     "read_file_ledger": read_file_ledger,
     "read_stored_watermark": read_stored_watermark,
+    "dealt_lines": dealt_lines,
     "list_files_with_times": list_files_with_times,
     "scan_identity_table": scan_identity_table,
     "read_hour_cells": read_hour_cells,
@@ -205,15 +213,18 @@ SQL = {
     ),
     "read_stored_watermark": st.with_parts(
         "SELECT date_hour, count(*) AS n FROM raw "
-        "WHERE date_hour = (SELECT max(date_hour) FROM raw) GROUP BY 1",
+        "WHERE date_hour <= (SELECT max(date_hour) FROM raw) GROUP BY 1",
         st.RAW_SQL,
     ),
+    "dealt_lines": st.with_parts(
+        "SELECT date_hour, event_type, count(*) AS n FROM raw GROUP BY 1, 2", st.RAW_SQL
+    ),
     "list_files_with_times": st.with_parts(
         "SELECT DISTINCT date_hour, true AS timed, true AS filled, true AS cleaned FROM raw",
         st.RAW_SQL,
     ),
     "scan_identity_table": (
-        "SELECT ' p' || c_custkey AS player_id, c_name AS goc_id, "
+        "SELECT 'p' || c_custkey AS player_id, c_name AS goc_id, "
         "CAST(c_custkey AS VARCHAR) AS numeric_id, CAST(1 AS BIGINT) AS seq "
         f"FROM customer WHERE c_mktsegment <> '{st.UNREGISTERED}'"
     ),

@@ -33,6 +33,16 @@ def event_type_of(packet: Column | str) -> Column:
     return F.get_json_object(_col(packet), "$.event_type")
 
 
+def default_empty(text: Column | str) -> Column:
+    """The text, or an empty one where it is null."""
+    return F.coalesce(_col(text), F.lit(""))
+
+
+def row_json(*columns: Column | str) -> Column:
+    """The columns as a JSON object; null fields do not appear."""
+    return F.to_json(F.struct(*columns))
+
+
 def trimmed(key: Column | str) -> Column:
     """A lookup key: null becomes empty and outer spaces go."""
-    return F.trim(F.coalesce(_col(key), F.lit("")))
+    return F.trim(default_empty(key))

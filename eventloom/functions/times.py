@@ -26,9 +26,22 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The epoch milliseconds of the years 1 to 9999.
+FIRST_MILLIS = -62_135_596_800_000
+LAST_MILLIS = 253_402_300_799_999
+
+
+def valid_millis(millis: Column | str) -> Column:
+    """The milliseconds where they are a time of the years 1 to 9999, else null."""
+    return F.when(_col(millis).between(FIRST_MILLIS, LAST_MILLIS), _col(millis))
+
+
 def epoch_to_text(millis: Column | str, pattern: str = SECOND, zone: str = "UTC") -> Column:
-    """Epoch milliseconds as text in ``zone``; the milliseconds are cut off."""
-    instant = F.timestamp_millis(_col(millis))
+    """Epoch milliseconds as text in ``zone``; the milliseconds are cut off.
+
+    Null outside the years 1 to 9999.
+    """
+    instant = F.timestamp_millis(valid_millis(millis))
     local = instant if zone == "UTC" else F.from_utc_timestamp(instant, zone)
     return F.date_format(local, pattern)
 

@@ -20,8 +20,30 @@ PARSED_TYPE = {
 }
 
 
-def typed_value(raw: Column, tag: str) -> Column:
-    """The raw attribute in its catalog type; null where it cannot be converted."""
+JSON_NUMBER = r"^\s*-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?\s*$"
+
+
+def is_nested(raw: Column, packet: Column, name: str) -> Column:
+    """Whether an attribute parsed as text was a JSON object or array.
+
+    A text may begin like one; only then is the packet looked at again.
+    """
+    whole = F.variant_get(F.try_parse_json(packet), f"$['{name}']", "variant")
+    return F.when(
+        F.left(F.trim(raw), F.lit(1)).isin("{", "["),
+        F.coalesce(F.schema_of_variant(whole).rlike("^(OBJECT|ARRAY)"), F.lit(False)),
+    ).otherwise(F.lit(False))
+
+
+def typed_value(raw: Column, tag: str, nested: Column | None = None) -> Column:
+    """The raw attribute in its catalog type; null where it cannot be converted.
+
+    ``nested`` says where a text attribute was an object or array, which only ``array``
+    takes.  A boolean is true for the text true in any case and false for any other scalar;
+    a double must be a finite JSON number.
+    """
+    if nested is not None and tag in ("string", "boolean"):
+        raw = F.when(~nested, raw)
     if tag == "string":
         return raw
     if tag == "long":
@@ -31,7 +53,8 @@ def typed_value(raw: Column, tag: str) -> Column:
     if tag == "boolean":
         return F.lower(raw) == "true"
     if tag == "double":
-        return raw.try_cast("double")
+        number = F.when(raw.rlike(JSON_NUMBER), raw.try_cast("double"))
+        return F.when(F.abs(number) < float("inf"), number)
     if tag == "array":
         # objects and arrays pass through, scalars do not
         return F.when(F.to_json(raw).rlike(r"^[\[{]"), raw)

@@ -1,5 +1,5 @@
 from .backlog import (
-    LagAlert, flag_unread, group_paths, hours_after, newest_hours, next_day_hours, pending_hours,
+    LagAlert, append_listings, flag_unread, group_paths, hours_after, newest_hours, next_day_hours, not_read, pending_hours,
     settled, unread_by_hour, unseen,
 )
 from .counts import (
@@ -7,7 +7,7 @@ from .counts import (
     registration_hits, top_rows,
 )
 from .identity import (
-    forward_entries, latest_per_key, numeric_entries, resolve_by_distinct_keys, resolve_ids,
+    distinct_players, forward_entries, latest_per_key, numeric_entries, resolve_by_distinct_keys, resolve_ids,
     reverse_entries, unresolved_keys, upsert,
 )
 from .project import envelope_json, event_value, interpret, splice

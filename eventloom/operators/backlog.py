@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import day_of, file_hash, hour_of
 from ..functions.times import hour_sequence
+from ..session import scratch_path
 
 # How far behind the newest data a run stays.
 HELD_BACK_HOURS = 3
@@ -159,35 +160,56 @@ def flag_unread(listing: DataFrame, cells: DataFrame) -> DataFrame:
 def with_unread_hours(flagged: DataFrame) -> DataFrame:
     """Every file, read or not, of the hours that have an unread one."""
     unread = flagged.where("NOT processed").select("date_hour").distinct()
-    # one row per listed hour: 8,784 in a year
-    return flagged.join(F.broadcast(unread), "date_hour", "left_semi")
+    return flagged.join(unread, "date_hour", "left_semi")
 
 
 def group_paths(
-    listing: DataFrame,
-    by: tuple[str, ...] = ("date_hour",),
-    path: str = "path",
-    per_row: int = 100_000,
+    listing: DataFrame, by: tuple[str, ...] = ("date_hour",), path: str = "path"
 ) -> DataFrame:
-    """Sorted path lists per group, with ``part`` 0 for all but oversized groups.
+    """The paths of each group in order: the keys, ``position`` from 1, ``path``.
 
-    A group of more than ``per_row`` paths becomes several rows, so that no list
-    grows with the data.
+    A row per path, as in the ledgers, so no list grows with the data.  Paths are dealt
+    out by ranges; a position is the place in its range after the sizes of the ranges
+    before, so a group with very many paths is numbered by many tasks.
     """
     keys = list(by)
-    sizes = listing.groupBy(*keys).agg(F.ceil(F.count("*") / per_row).alias("parts"))
-    part = F.pmod(F.xxhash64(path), F.col("parts")).cast("int")
-    # one row per listed hour: 8,784 in a year
+    table = scratch_path(listing.sparkSession, "path-ranges")
+    ranged = listing.select(*keys, F.col(path).alias("path")).repartitionByRange(*keys, "path")
+    ranged.withColumn("range", F.spark_partition_id()).write.parquet(table)
+    ranged = listing.sparkSession.read.parquet(table)
+    earlier = Window.partitionBy(*keys).orderBy("range").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    # one row per group and range
+    sizes = (
+        ranged.groupBy(*keys, "range")
+        .agg(F.count("*").alias("n"))
+        .select(*keys, "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    )
+    place = F.row_number().over(Window.partitionBy(*keys, "range").orderBy("path"))
     return (
-        listing.join(F.broadcast(sizes), keys)
-        .groupBy(*keys, part.alias("part"))
-        .agg(F.sort_array(F.collect_list(path)).alias("paths"))
+        ranged.withColumn("place", place)
+        .join(sizes, [*keys, "range"])
+        .select(*keys, (F.col("before") + F.col("place")).alias("position"), "path")
     )
 
 
-def unread_by_hour(flagged: DataFrame, per_row: int = 100_000) -> DataFrame:
-    """Unread paths per date and hour; hours with none have no row."""
+def unread_by_hour(flagged: DataFrame) -> DataFrame:
+    """Unread paths per date and hour in order; hours with none have no row."""
     unread = flagged.where("NOT processed").select(
         day_of("date_hour").alias("date"), hour_of("date_hour").alias("hour"), "clean_path"
     )
-    return group_paths(unread, ("date", "hour"), "clean_path", per_row)
+    return group_paths(unread, ("date", "hour"), "clean_path")
+
+
+def append_listings(*listings: DataFrame) -> DataFrame:
+    """All rows of several listings; a file that is listed twice stays twice."""
+    rows = listings[0]
+    for more in listings[1:]:
+        rows = rows.unionByName(more)
+    return rows
+
+
+def not_read(listing: DataFrame, read: DataFrame) -> DataFrame:
+    """Paths of a listing less those of another, each counted as often as it is listed."""
+    return listing.select("path").exceptAll(read.select("path"))

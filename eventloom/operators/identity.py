@@ -20,8 +20,15 @@ def latest_per_key(entries: DataFrame, keys: list[str], order: list[Column]) ->
     return entries.groupBy(*keys).agg(newest.alias("newest")).select(*keys, "newest.*")
 
 
-def _lookup(identity: DataFrame, key: str, value: str) -> DataFrame:
-    """One ``(player_key, goc_id)`` row per key, keys trimmed, blank ids left out."""
+def _lookup(identity: DataFrame, key: str, value: str, unique: bool) -> DataFrame:
+    """One ``(player_key, goc_id)`` row per key, keys trimmed, blank ids left out.
+
+    A ``unique`` table has one row per trimmed key already and is only read.
+    """
+    if unique:
+        return identity.select(
+            F.col(key).alias("player_key"), F.col(value).alias("goc_id")
+        ).where("player_key <> '' AND goc_id <> ''")
     order = [F.col("seq")] if "seq" in identity.columns else []
     pairs = identity.select(
         trimmed(key).alias("player_key"), F.col(value).alias("goc_id"), *order
@@ -51,14 +58,17 @@ def resolve_ids(
     identity: DataFrame,
     key: str = "player_id",
     value: str = "goc_id",
+    unique: bool = False,
 ) -> DataFrame:
     """Add ``goc_id`` to interpreted events, empty where the player is unknown.
 
+    ``unique`` says that ``identity`` has one row per key, as ``read_identity`` gives it.
+
     A plain outer join with no hint: Spark broadcasts the identity side only when
     its measured size allows, else it joins by shuffle and AQE splits the
     partitions of players that own too many rows.
     """
-    lookup = _lookup(identity, key, value)
+    lookup = _lookup(identity, key, value, unique)
     keyed = events.withColumn("join_key", _join_key())
     joined = keyed.join(lookup.withColumnRenamed("player_key", "join_key"), "join_key", "left")
     return joined.drop("join_key").withColumn("goc_id", F.coalesce("goc_id", F.lit("")))
@@ -69,54 +79,55 @@ def resolve_by_distinct_keys(
     identity: DataFrame,
     key: str = "player_id",
     value: str = "goc_id",
-    broadcast_rows: int = 1_000_000,
+    unique: bool = False,
     max_hot_keys: int = 10_000,
 ) -> DataFrame:
     """The same result, looking every distinct player up once.
 
-    First the distinct keys are resolved, which shuffles one row per player and
-    task instead of one per event.  The pairs found are written and counted.  Up to
-    ``broadcast_rows`` of them are sent to the events, which then need no shuffle.
-    Beyond that, events are joined by shuffle and the events of hot players are
-    dealt out over several salts.  A player is hot above ``1 / max_hot_keys`` of all
-    events, so no more than ``max_hot_keys`` can be.
+    First the distinct keys are counted and resolved, which shuffles one row per player and
+    task instead of one per event, and written down.  Then events meet the table of pairs:
+    Spark broadcasts it if its size on disk allows, and the events need no shuffle.  Else
+    they are joined by shuffle, the events of hot players dealt out over several salts.  A
+    player, known or not, is hot above ``1 / max_hot_keys`` of all events, so no more than
+    ``max_hot_keys`` can be.
 
     ``events`` is read more than once, so it must give the same rows each time, as
     files do.  Its first reading needs nothing but the keys.
     """
-    if broadcast_rows < 0 or max_hot_keys < 1:
-        raise ValueError("broadcast_rows must not be negative and max_hot_keys must be positive")
+    if max_hot_keys < 1:
+        raise ValueError("max_hot_keys must be positive")
     spark = events.sparkSession
     counted = (
         events.where(F.col("reason").isNull()).groupBy("player_key").agg(F.count("*").alias("n"))
     )
     table = scratch_path(spark, "player-pairs")
-    counted.join(_lookup(identity, key, value), "player_key").select(
+    lookup = _lookup(identity, key, value, unique)
+    counted.join(lookup, "player_key", "left").select(
         F.col("player_key").alias("join_key"), "goc_id", "n"
     ).write.parquet(table)
-    pairs = spark.read.parquet(table)
-    size = pairs.agg(F.count("*").alias("rows"), F.sum("n").alias("events")).first()
-
-    keyed = events.withColumn("join_key", _join_key())
-    if size.rows <= broadcast_rows:
-        found = F.broadcast(pairs.select("join_key", "goc_id"))
-        joined = keyed.join(found, "join_key", "left").drop("join_key")
-        return joined.withColumn("goc_id", F.coalesce("goc_id", F.lit("")))
-
-    hot_rows = max(1, -(-size.events // max_hot_keys))
+    pairs = spark.read.schema("join_key string, goc_id string, n bigint").parquet(table)
+    total = pairs.agg(F.sum("n")).first()[0] or 0
+    hot_rows = max(1, -(-total // max_hot_keys))
     salts = F.ceil(F.col("n") / hot_rows).cast("int")
-    sized = pairs.select("join_key", "goc_id", salts.alias("salts"))
-    hot = F.broadcast(sized.where("salts > 1").select("join_key", "salts"))
+    sized = pairs.withColumn("salts", salts)
+    # max_hot_keys rows at most: more than so many cannot exceed their share
+    hot = sized.where("salts > 1").select("join_key", "salts")
+    keyed = events.withColumn("join_key", _join_key())
     # the salt comes from the row, not from chance, so a retried task repeats it
     salt = F.pmod(F.xxhash64("ts", "event_value"), F.coalesce("salts", F.lit(1))).cast("int")
     salted = keyed.join(hot, "join_key", "left").withColumn("salt", salt).drop("salts")
-    copies = sized.select(
+    copies = sized.where(F.col("goc_id").isNotNull()).select(
         "join_key", "goc_id", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     )
     joined = salted.join(copies, ["join_key", "salt"], "left").drop("join_key", "salt")
     return joined.withColumn("goc_id", F.coalesce("goc_id", F.lit("")))
 
 
+def distinct_players(events: DataFrame, key: str = "user_id") -> DataFrame:
+    """The distinct players of raw or interpreted events."""
+    return events.select(key).distinct()
+
+
 def unresolved_keys(unresolved: DataFrame, identity: DataFrame | None = None) -> DataFrame:
     """The worklist of players to register: one row per key, with its event count."""
     # Counting by all three ids hashes; only the few rows left are sorted for max.

@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import trimmed
-from ..functions.times import epoch_to_text
-from ..functions.values import typed_value, value_is_bad
+from ..functions.text import default_empty, trimmed
+from ..functions.times import epoch_to_text, valid_millis
+from ..functions.values import is_nested, typed_value, value_is_bad
 from ..profiles import GameProfile
 from ..sources.catalog import check_catalog
 from .route import allow_events, reason_column
@@ -29,7 +29,7 @@ def event_value(profile: GameProfile) -> Column:
 
     One branch per event type; only the matching one is evaluated.
     """
-    ids = [F.coalesce(F.col(raw), F.lit("")).alias(key) for key, raw in profile.id_fields.items()]
+    ids = [default_empty(raw).alias(key) for key, raw in profile.id_fields.items()]
     tail = [F.col("ts").alias("epoch_time"), F.col("event_time"), *ids]
     value = F.lit(None).cast("string")
     for event, columns in profile.event_columns.items():
@@ -48,12 +48,18 @@ def interpret(parsed: DataFrame, profile: GameProfile, types: Mapping[str, str])
     """
     check_catalog(types, profile.event_columns)
     columns = profile.attribute_columns
-    attributes = [typed_value(F.col(f"`{c}`"), types[c]).alias(c) for c in columns]
+    attributes = [
+        typed_value(
+            F.col(f"`{c}`"), types[c], is_nested(F.col(f"`{c}`"), F.col("packet"), c)
+            if types[c] in ("string", "boolean") else None,
+        ).alias(c)
+        for c in columns
+    ]
     allowed = allow_events(parsed, profile.event_names, keep_corrupt=True)
     typed = allowed.withColumns(
         {
             "typed": F.struct(*attributes),
-            "ts": typed_value(F.col("ts"), "long"),
+            "ts": valid_millis(typed_value(F.col("ts"), "long")),
         }
     ).withColumn("event_time", epoch_to_text("ts"))
     bad = _any(
@@ -70,8 +76,8 @@ def interpret(parsed: DataFrame, profile: GameProfile, types: Mapping[str, str])
         F.col("event_type").alias("event_name"),
         "ts",
         trimmed(profile.lookup_field).alias("player_key"),
-        F.coalesce("user_id", F.lit("")).alias("user_id"),
-        F.coalesce("numeric_user_id", F.lit("")).alias("numeric_user_id"),
+        default_empty("user_id").alias("user_id"),
+        default_empty("numeric_user_id").alias("numeric_user_id"),
         "event_time",
         F.when(F.col("reason").isNull(), event_value(profile)).alias("event_value"),
         "reason",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import brace_slice, event_type_of
+from ..functions.text import brace_slice, event_type_of, trimmed
 from ..profiles import GameProfile
 
 PUBLISHED = "published"
@@ -43,9 +43,16 @@ def early_allowlist(records: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
-def allow_users(events: DataFrame, users: DataFrame, key: str = "user_id") -> DataFrame:
-    """Rows of the users in a list, for corrections."""
-    return events.join(users.select(key), key, "left_semi")
+def allow_users(
+    events: DataFrame, users: DataFrame, key: str = "user_id", listed: str | None = None
+) -> DataFrame:
+    """Rows of the users in a list, for corrections.
+
+    ``key`` is the field of the events, ``listed`` the column of the list where it has
+    another name.  Both are trimmed, as in a lookup; a blank key matches nobody.
+    """
+    wanted = users.select(trimmed(listed or key).alias("listed_user")).where("listed_user <> ''")
+    return events.join(wanted, trimmed(f"`{key}`") == F.col("listed_user"), "left_semi")
 
 
 def reason_column(profile: GameProfile, bad_value: Column) -> Column:

@@ -1,6 +1,7 @@
 from .ingest import (
-    LINES, RECORDS, Framing, Layout, UnresolvedIds, backfill_run, finish_run, hash_ledger_run, hour_ledger_run,
-    register, replay, seed_hash_ledger, transform, watermark_run,
+    LINES, RECORDS, Framing, Layout, Sink, UnresolvedIds, backfill_run, finish_run, hash_ledger_run,
+    hour_ledger_run, parked_rows, register, replay, seed_hash_ledger, text_sink, transform,
+    watermark_run,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

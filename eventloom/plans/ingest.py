@@ -9,7 +9,8 @@ lineage back to the raw text.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -26,15 +27,14 @@ from ..operators.backlog import (
 )
 from ..operators.counts import ALERT_SCHEMA, alert_rows, hit_alerts, hour_counts
 from ..operators.identity import (
-    forward_entries, numeric_entries, resolve_by_distinct_keys, resolve_ids, reverse_entries,
-    unresolved_keys,
+    forward_entries, numeric_entries, resolve_ids, reverse_entries, unresolved_keys,
 )
 from ..operators.project import envelope_json, interpret
-from ..operators.route import PUBLISHED, QUARANTINE, UNRESOLVED, allow_users, route
+from ..operators.route import PUBLISHED, QUARANTINE, UNRESOLVED, allow_users, early_allowlist, route
 from ..profiles import GameProfile
-from ..session import discard, scratch_path
-from ..sinks.publish import write_by_hour, write_by_run, write_rows
-from ..sources.identity import append_identity, read_identity
+from ..session import discard, prepare, scratch_path, scratch_scope
+from ..sinks.publish import drop_other_runs, write_by_run, write_rows
+from ..sources.identity import merge_identity, read_identity
 from ..sources.ledger import (
     append_hashes, bootstrap_hashes, read_hash_ledger, read_hour_ledger, read_watermark, replace_hour_cells,
     write_watermark,
@@ -43,7 +43,12 @@ from ..sources.listing import list_files, list_hours, raw_directory
 from ..sources.packets import packet_fields, parse_packets, read_lines, read_records
 
 
-Resolver = Callable[[DataFrame, DataFrame], DataFrame]
+Resolver = Callable[..., DataFrame]
+# Called with the published rows and the name of the run.
+Sink = Callable[[DataFrame, str], None]
+
+# Files a ledger run takes up in one go, in whole hours; a longer backlog takes several.
+SLICE_FILES = 50_000
 
 
 class UnresolvedIds(RuntimeError):
@@ -71,7 +76,8 @@ class Layout:
     def __getattr__(self, name: str) -> str:
         if name in (
             "published", "unresolved", "quarantine", "counts", "alerts", "watermark",
-            "hash_ledger", "hour_ledger", "planned", "replayed", "forward", "reverse", "numeric",
+            "hash_ledger", "hour_ledger", "planned", "replayed", "stopped", "superseded", "forward",
+            "reverse", "numeric",
         ):
             return f"{self.base.rstrip('/')}/{name}"
         raise AttributeError(name)
@@ -83,13 +89,15 @@ def transform(
     types: Mapping[str, str],
     identity: DataFrame,
     resolve: Resolver = resolve_ids,
+    unique: bool = False,
 ) -> DataFrame:
     """Parsed packets to routed rows with their envelopes.
 
     ``resolve`` is ``resolve_ids``, one lazy plan, or ``resolve_by_distinct_keys``,
-    which reads the packets twice but need not shuffle them.
+    which reads the packets twice but need not shuffle them.  ``unique`` says that
+    ``identity`` has one row per key, as ``read_identity`` gives it.
     """
-    return _routed(resolve(interpret(parsed, profile, types), identity), profile)
+    return _routed(resolve(interpret(parsed, profile, types), identity, unique=unique), profile)
 
 
 def _routed(resolved: DataFrame, profile: GameProfile) -> DataFrame:
@@ -111,7 +119,8 @@ def now_text() -> str:
 
 
 def run_stamp() -> str:
-    return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
+    """A name for a run: the time, and something no other run has."""
+    return f"{datetime.now(timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
 
 
 def _current_hour(now: str) -> str:
@@ -125,45 +134,74 @@ def _write_alerts(layout: Layout, run: str, *alerts: DataFrame) -> None:
     write_rows(rows, layout.alerts, run)
 
 
-def _guarded(spark: SparkSession, layout: Layout, run: str, work: Callable[[], DataFrame]):
-    """Leave an alert row behind when a run fails, then let the failure out."""
+def _guarded(spark: SparkSession, layout: Layout, run: str, work: Callable):
+    """Leave an alert row behind when a run fails, then let the failure out.
+
+    Scratch tables of the run are dropped at its end.
+    """
+    prepare(spark)
     try:
-        return work()
+        with scratch_scope(spark):
+            return work()
     except LagAlert:
         raise
     except Exception as error:
-        failed = spark.createDataFrame(
-            [("run", "", "failed", 1, [str(error)[:2000]])], ALERT_SCHEMA
-        )
+        failed = spark.createDataFrame([("run", "", "failed", 1, [str(error)])], ALERT_SCHEMA)
         write_rows(failed, layout.alerts, f"{run}-failed")
         raise
 
 
+def _sinks(
+    layout: Layout, publish: Sink | Sequence[Sink] | None, gather: bool = True
+) -> list[Sink]:
+    """The given sinks, or the text by run alone."""
+    if publish is None:
+        return [text_sink(layout, gather)]
+    return list(publish) if isinstance(publish, Sequence) else [publish]
+
+
+def text_sink(layout: Layout, gather: bool = True) -> Sink:
+    """Envelope text below ``published``; see ``write_by_run`` for ``gather``."""
+    return lambda rows, run: write_by_run(rows, layout.published, run, gather)
+
+
 def finish_run(
     routed: DataFrame,
     layout: Layout,
     profile: GameProfile,
     run: str,
-    publish: Callable[[DataFrame], None],
+    publish: Sink | Sequence[Sink] | None = None,
+    gather: bool = True,
 ) -> DataFrame:
     """Stage, check, publish, set aside, count.  Returns the counts per hour.
 
-    The staging table is dropped at the end, also when a step fails.
+    The staging table holds each text once: the envelope is spliced around it on reading.
+    It is dropped at the end, also when a step fails.
+
+    In a game whose policy is to stop on unresolved rows these are parked below
+    ``stopped`` and nothing is published.  ``register`` takes them up; the run, repeated
+    under its name, then publishes all its rows and clears them.
     """
     spark = routed.sparkSession
     path = scratch_path(spark, "routed")
+    rows = routed.drop("envelope")
     try:
-        routed.write.partitionBy("route").parquet(path)
-        staged = spark.read.schema(routed.schema).parquet(path)
+        rows.write.partitionBy("route").parquet(path)
+        staged = spark.read.schema(rows.schema).parquet(path)
+        staged = staged.withColumn("envelope", envelope_json(F.col("game_id")))
         unresolved = staged.where(F.col("route") == UNRESOLVED)
         write_rows(hour_counts(staged), layout.counts, run)
         _write_alerts(
             layout, run, alert_rows(staged, "ingest"), hit_alerts(unresolved, "ingest")
         )
-        if profile.on_unresolved == "fail" and not unresolved.isEmpty():
-            raise UnresolvedIds(f"rows without an id, see {layout.alerts}/run={run}")
-        publish(staged.where(F.col("route") == PUBLISHED))
-        write_rows(unresolved.drop("route", "envelope", "goc_id"), layout.unresolved, run)
+        parked = unresolved.drop("route", "envelope", "goc_id")
+        if profile.on_unresolved == "fail":
+            write_rows(parked, layout.stopped, run)
+            if not unresolved.isEmpty():
+                raise UnresolvedIds(f"rows without an id, see {layout.alerts}/run={run}")
+        for sink in _sinks(layout, publish, gather):
+            sink(staged.where(F.col("route") == PUBLISHED), run)
+        write_rows(parked, layout.unresolved, run)
         write_rows(
             staged.where(F.col("route") == QUARANTINE).select(
                 "date_hour", "event_name", "ts", "reason", "packet"
@@ -176,23 +214,68 @@ def finish_run(
     return spark.read.parquet(f"{layout.counts}/run={run}")
 
 
+def _supersede(spark: SparkSession, layout: Layout, run: str, hours: list[str]) -> None:
+    """Let a run over whole hours take the place of all that earlier runs left for them.
+
+    Their published text goes, and what they parked will not be replayed.
+    """
+    parked = _read_or_none(spark, layout.unresolved)
+    if parked is not None:
+        old = parked.where(
+            (F.col("run").cast("string") != run) & F.col("date_hour").isin(hours)
+        )
+        old = old.select(F.col("run").cast("string").alias("old_run"), "date_hour").distinct()
+        write_rows(old, layout.superseded, run)
+    drop_other_runs(spark, layout.published, run, hours)
+
+
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        # nothing there, or folders of runs that wrote no file
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 @dataclass(frozen=True)
 class Framing:
     """How packets lie in the files: by lines, or by records where ``record`` is set.
 
-    ``partitions`` deals the lines out anew, for files no two tasks can share.
+    ``partitions`` deals the lines out anew, for files no two tasks can share.  ``early``
+    keeps the allowlisted types before anything else is parsed, where a line is a packet;
+    text that is not JSON is then dropped instead of set aside.
     """
 
     separator: str | None = PACKET_SEPARATOR
     record: str | None = None
     partitions: int | None = None
-
-    def parse(self, spark: SparkSession, paths: list[str], fields: Mapping[str, str]) -> DataFrame:
+    early: bool = False
+
+    def __post_init__(self) -> None:
+        if self.early and self.separator is not None:
+            raise ValueError("early needs one packet per line or record")
+
+    def parse(
+        self,
+        spark: SparkSession,
+        paths: list[str],
+        profile: GameProfile,
+        types: Mapping[str, str],
+    ) -> DataFrame:
         lines = (
             read_lines(spark, paths, self.partitions) if self.record is None
             else read_records(spark, paths, self.record, self.partitions)
         )
-        return parse_packets(lines, fields, self.separator)
+        return self.packets(lines, profile, types)
+
+    def packets(
+        self, lines: DataFrame, profile: GameProfile, types: Mapping[str, str]
+    ) -> DataFrame:
+        if self.early:
+            lines = early_allowlist(lines, profile.event_names).drop("event_type")
+        return parse_packets(lines, packet_fields(profile, types), self.separator)
 
 
 LINES = Framing()
@@ -208,14 +291,15 @@ def watermark_run(
     profile: GameProfile,
     types: Mapping[str, str],
     now: str | None = None,
-    publish: Callable[[DataFrame], None] | None = None,
+    publish: Sink | Sequence[Sink] | None = None,
     framing: Framing = LINES,
     resolve: Resolver = resolve_ids,
+    gather: bool = True,
 ) -> DataFrame:
     """Read the whole hours behind the watermark, then advance it.
 
-    Hours are published whole and replaced whole, so a run that stopped before the
-    watermark moved can simply be repeated.
+    Hours are published whole and take the place of what earlier runs published for them,
+    so a run that stopped before the watermark moved can simply be repeated.
     """
     now = now or now_text()
     mark = read_watermark(spark, layout.watermark)
@@ -235,21 +319,23 @@ def watermark_run(
             write_rows(lag, layout.alerts, f"{run}-lag")
             raise LagAlert(f"too few hours wait behind {mark}")
         pending = sorted(r.date_hour for r in due.collect())
-        paths = layout.raw_hours(pending)
-        routed = transform(
-            framing.parse(spark, paths, packet_fields(profile, types)),
-            profile, types, read_identity(spark, layout.forward), resolve,
-        )
-        counts = finish_run(
-            routed, layout, profile, run,
-            publish or (lambda rows: write_by_hour(rows, layout.published)),
-        )
+        parsed = framing.parse(spark, layout.raw_hours(pending), profile, types)
+        counts = _finish(spark, parsed, layout, profile, types, run, publish, resolve, gather)
+        _supersede(spark, layout, run, pending)
         write_watermark(spark, pending[-1], layout.watermark)
         return counts
 
     return _guarded(spark, layout, run, work)
 
 
+def _finish(
+    spark, parsed, layout, profile, types, run, publish, resolve, gather
+) -> DataFrame:
+    identity = read_identity(spark, layout.forward)
+    routed = transform(parsed, profile, types, identity, resolve, unique=True)
+    return finish_run(routed, layout, profile, run, publish, gather)
+
+
 def backfill_run(
     spark: SparkSession,
     layout: Layout,
@@ -259,15 +345,18 @@ def backfill_run(
     last_day: str,
     watermark: str | None = None,
     users: DataFrame | None = None,
-    publish: Callable[[DataFrame], None] | None = None,
+    publish: Sink | Sequence[Sink] | None = None,
     framing: Framing = LINES,
-    resolve: Resolver = resolve_by_distinct_keys,
+    resolve: Resolver = resolve_ids,
     run: str | None = None,
+    gather: bool = True,
 ) -> DataFrame:
     """Read days again, for all users or for those in a list.
 
-    A list-bound correction covers parts of hours, so it is written as a run of its
-    own and leaves the hours' earlier output alone.
+    For all users the hours are whole: they take the place of what earlier runs published
+    for them.  A list-bound correction covers parts of hours, so it is added as a run of its
+    own and leaves the hours' earlier output alone.  ``users`` has a column named as the
+    profile's ``lookup_field``, or else ``user_id``.
     """
     run = run or run_stamp()
 
@@ -279,16 +368,14 @@ def backfill_run(
         paths = layout.raw_hours(present)
         if not paths:
             raise LagAlert(f"no hour of {first_day} to {last_day} has files")
-        parsed = framing.parse(spark, paths, packet_fields(profile, types))
+        parsed = framing.parse(spark, paths, profile, types)
         if users is not None:
-            parsed = allow_users(parsed, users)
-        routed = transform(
-            parsed, profile, types, read_identity(spark, layout.forward), resolve
-        )
-        return finish_run(
-            routed, layout, profile, run,
-            publish or (lambda out: write_by_run(out, layout.published, run)),
-        )
+            key = profile.lookup_field
+            parsed = allow_users(parsed, users, key, key if key in users.columns else "user_id")
+        counts = _finish(spark, parsed, layout, profile, types, run, publish, resolve, gather)
+        if users is None:
+            _supersede(spark, layout, run, present)
+        return counts
 
     return _guarded(spark, layout, run, work)
 
@@ -323,34 +410,52 @@ def hash_ledger_run(
     now: str | None = None,
     horizon_hours: int = HASH_LEDGER_HORIZON_HOURS,
     until: str | None = None,
-    publish: Callable[[DataFrame, str], None] | None = None,
+    publish: Sink | Sequence[Sink] | None = None,
     framing: Framing = LINES,
     resolve: Resolver = resolve_ids,
     run: str | None = None,
+    settle_minutes: int | None = None,
+    slice_files: int = SLICE_FILES,
+    gather: bool = True,
 ) -> list[str]:
     """Read the files of the last hours whose path hash is not in the ledger.
 
     The hours end with ``until`` ("yyyy/MM/dd/HH"), by default with the present one.
+    Files must arrive by rename, or ``settle_minutes`` must say how long one that is still
+    being copied may go unchanged; else its rest would never be read.
     """
-    until = until or _current_hour(now or now_text())
+    now = now or now_text()
+    until = until or _current_hour(now)
     planned = f"{layout.planned}/by_hash"
 
+    def ledger(days: list[str]) -> DataFrame:
+        return read_hash_ledger(spark, layout.hash_ledger, days)
+
     def plan() -> DataFrame:
-        listing = layout.listing(spark, horizon(until, horizon_hours))
-        files = unseen(listing, read_hash_ledger(spark, layout.hash_ledger))
+        hours = horizon(until, horizon_hours)
+        listing = layout.listing(spark, hours)
+        if settle_minutes is not None:
+            listing = settled(listing, F.to_timestamp(F.lit(now)), settle_minutes)
+        files = unseen(listing, ledger(sorted({h[:10] for h in hours})))
         return files.withColumn("processed", F.lit(False))
 
     def left(files: DataFrame) -> DataFrame:
-        return unseen(files, read_hash_ledger(spark, layout.hash_ledger))
+        return unseen(files, ledger(_days_of(files)))
 
     def record(files: DataFrame) -> None:
         append_hashes(left(files), layout.hash_ledger)
 
     return _ledger_run(
-        spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run
+        spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run,
+        slice_files, gather,
     )
 
 
+def _days_of(files: DataFrame) -> list[str]:
+    """Days of a run's files: at most those of its horizon."""
+    return [r.day for r in files.select(day_of("date_hour").alias("day")).distinct().collect()]
+
+
 def hour_ledger_run(
     spark: SparkSession,
     layout: Layout,
@@ -359,10 +464,12 @@ def hour_ledger_run(
     now: str | None = None,
     horizon_hours: int = HOUR_LEDGER_HORIZON_HOURS,
     until: str | None = None,
-    publish: Callable[[DataFrame, str], None] | None = None,
+    publish: Sink | Sequence[Sink] | None = None,
     framing: Framing = LINES,
     resolve: Resolver = resolve_ids,
     run: str | None = None,
+    slice_files: int = SLICE_FILES,
+    gather: bool = True,
 ) -> list[str]:
     """Read the settled files of the last hours that their hour's cell lacks.
 
@@ -383,82 +490,147 @@ def hour_ledger_run(
         return with_unread_hours(flag_unread(listing, cells))
 
     def left(files: DataFrame) -> DataFrame:
-        # a run's files span at most its horizon's days
-        days = [r.day for r in files.select(day_of("date_hour").alias("day")).distinct().collect()]
-        cells = read_hour_ledger(spark, layout.hour_ledger, days)
+        cells = read_hour_ledger(spark, layout.hour_ledger, _days_of(files))
         return flag_unread(files.drop("processed"), cells).where("NOT processed")
 
     def record(files: DataFrame) -> None:
         replace_hour_cells(files, layout.hour_ledger)
 
     return _ledger_run(
-        spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run
+        spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run,
+        slice_files, gather,
     )
 
 
 def _ledger_run(
-    spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run
+    spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run,
+    slice_files, gather,
 ) -> list[str]:
     finished = []
 
     def complete(name: str) -> None:
         files = spark.read.parquet(f"{planned}/run={name}")
-        # Spark's own file index keeps the same list on the driver for a scan
+        # a slice of the backlog; Spark's own file index keeps the same list on the driver
         paths = [r.path for r in files.where("NOT processed").select("path").collect()]
         if paths:
-            routed = transform(
-                framing.parse(spark, paths, packet_fields(profile, types)),
-                profile, types, read_identity(spark, layout.forward), resolve,
-            )
-            finish_run(
-                routed, layout, profile, name,
-                (lambda rows: publish(rows, name)) if publish
-                else (lambda rows: write_by_run(rows, layout.published, name)),
-            )
+            parsed = framing.parse(spark, paths, profile, types)
+            _finish(spark, parsed, layout, profile, types, name, publish, resolve, gather)
             record(files)
             finished.append(name)
 
     note = f"{planned}_current"
-    for name in _unfinished(spark, planned, note, left):
-        _guarded(spark, layout, name, lambda name=name: complete(name))
+
+    def begin(name: str) -> list[str]:
+        """Write down the slices of a new run, and their names."""
+        if not _unread(spark, f"{planned}/run={name}").isEmpty():
+            # not noted as unfinished, so all its output is in place
+            raise ValueError(f"run {name} exists already; its output would be replaced")
+        files = stage(plan(), "planned")
+        names = []
+        for hours in _slices(files, slice_files):
+            names.append(name if not names else f"{name}-{len(names) + 1}")
+            write_rows(files.where(F.col("date_hour").isin(hours)), planned, names[-1])
+        write_watermark(spark, ",".join(names), note)
+        return names
+
     name = run or run_stamp()
+    if "," in name or "/" in name:
+        raise ValueError(f"run names hold no commas and slashes: {name!r}")
+    for old in _guarded(spark, layout, name, lambda: _unfinished(spark, planned, note, left)):
+        _guarded(spark, layout, old, lambda old=old: complete(old))
     if name not in finished:
-        write_rows(plan(), planned, name)
-        write_watermark(spark, name, note)
-        _guarded(spark, layout, name, lambda: complete(name))
+        for part in _guarded(spark, layout, name, lambda: begin(name)):
+            _guarded(spark, layout, part, lambda part=part: complete(part))
     return finished
 
 
+def _unread(spark: SparkSession, path: str) -> DataFrame:
+    files = _read_or_none(spark, path)
+    return spark.range(0) if files is None else files.where("NOT processed")
+
+
+def _slices(files: DataFrame, slice_files: int) -> list[list[str]]:
+    """Whole hours in order, as many to a slice as its number of files allows."""
+    counts = files.groupBy("date_hour").agg(F.count("*").alias("n")).orderBy("date_hour")
+    slices: list[list[str]] = []
+    held = 0
+    for row in counts.collect():  # a row per hour of the horizon
+        if not slices or held + row.n > slice_files:
+            slices.append([])
+            held = 0
+        slices[-1].append(row.date_hour)
+        held += row.n
+    return slices
+
+
 def _unfinished(spark: SparkSession, planned: str, note: str, left) -> list[str]:
-    """The noted run, if the ledger lacks any of its files."""
+    """The noted runs of which the ledger lacks files."""
     try:
-        name = read_watermark(spark, note)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        names = read_watermark(spark, note).split(",")
+    except (AnalysisException, ValueError) as error:
+        if isinstance(error, ValueError) or error.getCondition() == "PATH_NOT_FOUND":
             return []
         raise
-    files = spark.read.parquet(f"{planned}/run={name}")
-    return [] if left(files.where("NOT processed")).isEmpty() else [name]
+    found = []
+    for name in filter(None, names):
+        files = spark.read.parquet(f"{planned}/run={name}")
+        if not left(files.where("NOT processed")).isEmpty():
+            found.append(name)
+    return found
 
 
 # -- registration and replay -----------------------------------------------------
 
 
+def _parked(spark: SparkSession, layout: Layout, run: str | None = None) -> DataFrame | None:
+    """Parked rows of runs that no replay but ``run`` has taken up, less replaced hours."""
+    parked = _read_or_none(spark, layout.unresolved)
+    if parked is None:
+        return None
+    parked = parked.withColumn("run", F.col("run").cast("string"))
+    if run is not None:
+        parked = parked.where(F.col("run") != run)
+    parked = parked.join(read_replayed(spark, layout.replayed), "run", "left_anti")
+    gone = _read_or_none(spark, layout.superseded)
+    if gone is None:
+        return parked
+    gone = gone.select(F.col("old_run").alias("run"), "date_hour")
+    return parked.join(gone, ["run", "date_hour"], "left_anti")
+
+
+def parked_rows(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Rows that wait for an id: those to be replayed and those of runs that stopped."""
+    columns = ["run", "player_key", "user_id", "numeric_user_id", "date_hour"]
+    rows = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+    stopped = _read_or_none(spark, layout.stopped)
+    if stopped is not None:
+        rows = rows.unionByName(stopped.withColumn("run", F.col("run").cast("string")).select(columns))
+    waiting = _parked(spark, layout)
+    return rows if waiting is None else rows.unionByName(waiting.select(columns))
+
+
 def register(
     spark: SparkSession, layout: Layout, assigned: DataFrame, seq: int, runs: list[str] | None = None
 ) -> None:
     """Enter newly assigned ids into the three identity tables.
 
     ``assigned`` has ``player_id`` and ``goc_id``, as an id service returned them
-    for the worklist.  Entering the same ids again changes nothing on read.
+    for the worklist.  Entering the same ids again changes nothing.
     """
-    parked = spark.read.parquet(layout.unresolved)
-    if runs is not None:
-        parked = parked.where(F.col("run").cast("string").isin(runs))
-    work = unresolved_keys(parked)
-    append_identity(forward_entries(work, assigned, seq), layout.forward)
-    append_identity(reverse_entries(work, assigned, seq), layout.reverse)
-    append_identity(numeric_entries(work, assigned, seq), layout.numeric)
+
+    def work() -> None:
+        parked = parked_rows(spark, layout)
+        if runs is not None:
+            parked = parked.where(F.col("run").isin(runs))
+        worklist = stage(unresolved_keys(parked), "worklist")
+        for kind, entries, path in (
+            ("forward", forward_entries, layout.forward),
+            ("reverse", reverse_entries, layout.reverse),
+            ("numeric", numeric_entries, layout.numeric),
+        ):
+            merge_identity(entries(worklist, assigned, seq), path, kind)
+
+    _guarded(spark, layout, f"register-{seq}", work)
 
 
 def replay(
@@ -466,26 +638,27 @@ def replay(
     layout: Layout,
     profile: GameProfile,
     run: str,
-    publish: Callable[[DataFrame], None] | None = None,
+    publish: Sink | Sequence[Sink] | None = None,
+    gather: bool = True,
 ) -> DataFrame:
     """Publish parked rows whose players have an id by now; park the rest again.
 
     Repeat a replay that stopped half-way under the same ``run``.
     """
-    parked = spark.read.parquet(layout.unresolved).withColumn("run", F.col("run").cast("string"))
-    runs = parked.select("run").where(F.col("run") != run).distinct()
-    open_runs = runs.join(read_replayed(spark, layout.replayed), "run", "left_anti")
-    # names of runs, not rows: as a literal filter they prune the other directories
-    names = sorted(r.run for r in open_runs.collect())
-    rows = parked.where(F.col("run").isin(names)).drop("run")
-    routed = _routed(resolve_ids(rows, read_identity(spark, layout.forward)), profile)
-    counts = finish_run(
-        routed, layout, profile, run,
-        publish or (lambda out: write_by_run(out, layout.published, run)),
-    )
-    taken = spark.createDataFrame([(name,) for name in names], "run string")
-    taken.coalesce(1).write.mode("append").parquet(layout.replayed)
-    return counts
+
+    def work() -> DataFrame:
+        parked = _parked(spark, layout, run)
+        if parked is None:
+            raise LagAlert("nothing was parked yet")
+        parked = stage(parked, "parked")
+        identity = read_identity(spark, layout.forward)
+        routed = _routed(resolve_ids(parked.drop("run"), identity, unique=True), profile)
+        taken = stage(parked.select("run").distinct(), "taken")
+        counts = finish_run(routed, layout, profile, run, publish, gather)
+        taken.coalesce(1).write.mode("append").parquet(layout.replayed)
+        return counts
+
+    return _guarded(spark, layout, run, work)
 
 
 def read_replayed(spark: SparkSession, path: str) -> DataFrame:

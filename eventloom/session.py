@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +28,9 @@ RUNTIME_CONF = {
 }
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("eventloom_scratch_scope", default=None)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the UTC zone and the adaptive settings on a running session."""
     for key, value in RUNTIME_CONF.items():
@@ -36,17 +42,31 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names the shared folder.  Only where it is unset,
-    as in unit tests, does a local temporary folder stand in for it.
+    ``spark.checkpoint.dir`` names the shared folder.  Only where it is unset and all
+    runs in this one process does a local temporary folder stand in for it.
     """
+    if _SCOPE.get() is not None:
+        return f"{_SCOPE.get()}/{label}-{uuid.uuid4().hex}"
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="eventloom-")
     return f"{base.rstrip('/')}/eventloom/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Tables that ``scratch_path`` names inside are dropped together at the end."""
+    folder = scratch_path(spark, "scope")
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        discard(spark, folder)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table that ``scratch_path`` named, once nothing reads it any more."""
     if "/eventloom/" not in path:

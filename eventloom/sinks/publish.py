@@ -63,6 +63,20 @@ def write_by_run(envelopes: DataFrame, path: str, run: str, gather: bool = True)
     )
 
 
+def drop_other_runs(spark: SparkSession, path: str, run: str, hours: list[str]) -> None:
+    """Delete what runs but ``run`` have published by ``write_by_run`` for these hours."""
+    if not hours:
+        return
+    names = ",".join(f"date={h[:10].replace('/', '-')}/hour={h[-2:]}" for h in hours)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    pattern = jvm.Path(f"{path}/run=*/{{{names}}}")
+    system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in system.globStatus(pattern) or []:
+        folder = found.getPath()
+        if folder.getParent().getParent().getName() != f"run={run}":
+            system.delete(folder, True)
+
+
 def write_rows(rows: DataFrame, path: str, run: str) -> None:
     """Rows as Parquet under ``run=``; repeating a run replaces its directory."""
     rows.write.mode("overwrite").parquet(f"{path}/run={run}")

@@ -1,9 +1,17 @@
-"""Identity tables: Parquet logs of id pairs, the newest entry of a key counts."""
+"""Identity tables: one row per key, replaced as a whole by versions.
+
+A table is a folder of versions.  A version counts once Spark has marked it complete; the
+newest complete one is read, so a reader never sees half a table and an update that stopped
+leaves the last one in force.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.identity import latest_per_key
+from ..functions.text import trimmed
 
 # Key column first.  ``seq`` orders entries of one key.
 IDENTITY_SCHEMAS = {
@@ -13,17 +21,49 @@ IDENTITY_SCHEMAS = {
 }
 
 
+KEPT_VERSIONS = 2
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a table, oldest first."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    pattern = jvm.Path(f"{path}/version=*/_SUCCESS")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in files or [])
+
+
 def read_identity(spark: SparkSession, path: str, kind: str = "forward") -> DataFrame:
-    """All entries of a table; empty where none was written yet."""
-    schema = IDENTITY_SCHEMAS[kind]
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
-
-
-def append_identity(entries: DataFrame, path: str) -> None:
-    """Add new entries; older ones of the same key stay and lose to them on read."""
-    entries.write.mode("append").parquet(path)
+    """The table: a row per key, keys trimmed; empty where none was written yet."""
+    versions = _versions(spark, path)
+    if not versions:
+        return spark.createDataFrame([], IDENTITY_SCHEMAS[kind])
+    return spark.read.schema(IDENTITY_SCHEMAS[kind]).parquet(f"{path}/version={versions[-1]}")
+
+
+def merge_identity(entries: DataFrame, path: str, kind: str = "forward") -> None:
+    """Replace the rows of the keys in ``entries``; the greatest ``seq`` wins, new ones ties.
+
+    Keys are trimmed; entries with a blank key are left out.  Only the incoming entries and
+    the rows of their keys are compared, all other rows are carried over.
+    """
+    spark = entries.sparkSession
+    key = IDENTITY_SCHEMAS[kind].split()[0]
+    current = read_identity(spark, path, kind)
+    columns = current.columns
+    incoming = entries.select(
+        trimmed(key).alias(key), *[F.coalesce(c, F.lit("")).alias(c) if c != "seq" else c for c in columns[1:]]
+    ).where(F.col(key) != "")
+    keys = incoming.select(key)
+    met = current.join(keys, key, "left_semi").withColumn("_side", F.lit(0))
+    both = met.unionByName(incoming.withColumn("_side", F.lit(1)))
+    newest = latest_per_key(both, [key], [F.col("seq"), F.col("_side"), *[F.col(c) for c in columns[1:-1]]])
+    rest = current.join(keys, key, "left_anti")
+    versions = _versions(spark, path)
+    number = versions[-1] + 1 if versions else 1
+    rows = rest.unionByName(newest.select(*columns))
+    rows.write.mode("overwrite").parquet(f"{path}/version={number}")
+    # the version before stays for readers that began with it
+    jvm = spark._jvm.org.apache.hadoop.fs
+    for old in versions[: -(KEPT_VERSIONS - 1)]:
+        folder = jvm.Path(f"{path}/version={old}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -6,12 +6,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import day_of, file_hash, hour_of
+from ..functions.paths import date_hour_of_path, day_of, file_hash, hour_of
 from ..functions.times import MINUTE, format_time
 
 # One schema for the file ledger; files written with other columns still read,
 # with nulls for what they lack.
-HASH_LEDGER_SCHEMA = "hashed_path string, path string, datetime string"
+HASH_LEDGER_SCHEMA = "hashed_path string, path string, datetime string, date string"
+# The partition of files whose path names no day, and of entries of older ledgers.
+NO_DAY = "none"
 HOUR_LEDGER_SCHEMA = "path string, date string, hour string"
 
 
@@ -43,26 +45,43 @@ def write_watermark(spark: SparkSession, date_hour: str, path: str) -> None:
 # -- file ledger ---------------------------------------------------------------
 
 
-def read_hash_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct hashes of the files already read; empty before the first run."""
-    return _read_or_empty(spark, HASH_LEDGER_SCHEMA, path).select("hashed_path").distinct()
+def read_hash_ledger(
+    spark: SparkSession, path: str, days: list[str] | None = None
+) -> DataFrame:
+    """Hashes of the files already read, maybe repeated; empty before the first run.
+
+    ``date`` is the directory partition: with ``days`` ("yyyy/MM/dd") only theirs are
+    read, and that of paths without a day.
+    """
+    ledger = _read_or_empty(spark, HASH_LEDGER_SCHEMA, path)
+    if days is not None:
+        wanted = [NO_DAY, *[d.replace("/", "-") for d in days]]
+        ledger = ledger.where(F.col("date").isin(wanted))
+    return ledger.select("hashed_path")
 
 
 def hash_entries(listing: DataFrame) -> DataFrame:
+    day = F.translate(day_of(date_hour_of_path("path")), "/", "-")
     return listing.select(
         file_hash("path").alias("hashed_path"),
         "path",
         format_time("modification_time", MINUTE).alias("datetime"),
+        F.when(day == "", NO_DAY).otherwise(day).alias("date"),
     )
 
 
+def _write_hashes(listing: DataFrame, path: str, mode: str) -> None:
+    rows = hash_entries(listing).hint("rebalance", "date")
+    rows.write.mode(mode).partitionBy("date").parquet(path)
+
+
 def append_hashes(listing: DataFrame, path: str) -> None:
-    hash_entries(listing).write.mode("append").parquet(path)
+    _write_hashes(listing, path, "append")
 
 
 def bootstrap_hashes(listing: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Seed the ledger with files that count as read, as before a first run."""
-    hash_entries(listing).write.mode(mode).parquet(path)
+    _write_hashes(listing, path, mode)
 
 
 # -- hour ledger -----------------------------------------------------------------

@@ -31,14 +31,12 @@ def list_files(
     root: str,
     parts: Sequence[str] | None = None,
     partitioned: bool = False,
-    tasks: int = 64,
 ) -> DataFrame:
     """Files below ``root``, or only below the directories of the given days or hours.
 
     Days and hours without a directory add nothing; if none exists the listing is empty.
     Only names and times are selected, so the file contents are pruned from the
-    scan.  ``tasks`` bounds the scan's task count: the scan is packed by file size
-    as if it read the data, but each task only walks file names.
+    scan.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if parts is None:
@@ -54,7 +52,7 @@ def list_files(
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], LISTING_SCHEMA)
         raise
-    return files.coalesce(tasks).select(
+    return files.select(
         "path",
         clean_path("path").alias("clean_path"),
         date_hour_of_path("path").alias("date_hour"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import date_hour_of_path
@@ -75,6 +75,10 @@ def parse_packets(
     Catalyst would copy ``from_json`` into every filter pushed below it and each
     packet would be parsed twice.
     """
+    return _parsed(lines, fields, packets_of("value", separator))
+
+
+def _parsed(lines: DataFrame, fields: Mapping[str, str], packets: Column) -> DataFrame:
     schema = _ddl({**fields, "corrupt": "string"})
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
 
@@ -83,7 +87,6 @@ def parse_packets(
             packet.alias("packet"), F.from_json(packet, schema, options).alias("fields")
         )
 
-    packets = packets_of("value", separator)
     kept = [c for c in lines.columns if c != "value"]
     return lines.select(*kept, F.inline(F.transform(packets, parsed))).select(
         *kept, "packet", "fields.*"
@@ -100,11 +103,9 @@ def read_json_events(
     With ``fields`` the frame is shaped like ``parse_packets``.  Without them the
     schema is inferred, which costs a pass over the data.
     """
+    if fields is not None:
+        # as text, so that a packet set aside keeps the fields that were not declared
+        return _parsed(read_lines(spark, paths), fields, F.array_remove(F.array("value"), ""))
     reader = spark.read.option("recursiveFileLookup", "true")
     hour = date_hour_of_path("_metadata.file_path").alias("date_hour")
-    if fields is None:
-        return reader.json(paths).select("*", hour)
-    schema = _ddl({**fields, "corrupt": "string"})
-    rows = reader.schema(schema).option("columnNameOfCorruptRecord", "corrupt").json(paths)
-    text = F.coalesce("corrupt", F.to_json(F.struct(*[F.col(f"`{n}`") for n in fields])))
-    return rows.select(hour, text.alias("packet"), *[F.col(f"`{n}`") for n in fields], "corrupt")
+    return reader.json(paths).select("*", hour)

@@ -6,18 +6,17 @@ read once, late files in old hours included.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.paths import date_hour_of_path
 from ..operators.identity import resolve_ids
-from ..plans.ingest import LINES, Framing, Layout, Resolver, finish_run, transform
+from ..plans.ingest import LINES, Framing, Layout, Resolver, Sink, finish_run, transform
 from ..profiles import GameProfile
-from ..sinks.publish import write_by_run
 from ..sources.identity import read_identity
-from ..sources.packets import packet_fields, parse_packets
+from ..session import prepare, scratch_scope
 
 
 def stream_lines(
@@ -48,34 +47,36 @@ def run_incremental(
     profile: GameProfile,
     types: Mapping[str, str],
     checkpoint: str,
-    max_files: int | None = None,
+    max_files: int | None = 10_000,
     max_age: str | None = None,
     framing: Framing = LINES,
     resolve: Resolver = resolve_ids,
-    publish: Callable[[DataFrame, str], None] | None = None,
+    publish: Sink | Sequence[Sink] | None = None,
+    gather: bool = True,
 ) -> StreamingQuery:
-    """Start a query that reads everything unread in bounded batches, then stops.
+    """Start a query that reads everything unread in batches of ``max_files``, then stops.
+
+    Files must arrive by rename: the source reads each once and knows no settle rule.
 
     Each batch is a run named by query and batch number and replaces only its own
     directories, so a batch that Spark repeats after a failure is not duplicated.
     The query's id lives in its checkpoint: a new checkpoint reads everything again
     and adds runs of its own.  The identity table is read again in every batch.
     """
+    prepare(spark)
     lines = stream_lines(spark, layout.raw, max_files, max_age, framing.record)
-    parsed = parse_packets(lines, packet_fields(profile, types), framing.separator)
+    parsed = framing.packets(lines, profile, types)
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
+        session = prepare(batch.sparkSession)
         query = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         if query is None:
             raise RuntimeError("the streaming query has no id")
         run = f"stream-{query}-{batch_id}"
-        routed = transform(batch, profile, types, read_identity(session, layout.forward), resolve)
-        finish_run(
-            routed, layout, profile, run,
-            (lambda rows: publish(rows, run)) if publish
-            else (lambda rows: write_by_run(rows, layout.published, run)),
-        )
+        with scratch_scope(session):
+            identity = read_identity(session, layout.forward)
+            routed = transform(batch, profile, types, identity, resolve, unique=True)
+            finish_run(routed, layout, profile, run, publish, gather)
 
     return (
         parsed.writeStream.foreachBatch(ingest)

@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -59,6 +60,7 @@ def main():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="eventloom-compare-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

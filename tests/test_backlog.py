@@ -114,7 +114,7 @@ def test_hash_ledger(spark, tmp_path):
     assert rest.columns == listing(spark, first).columns
     append_hashes(listing(spark, second), ledger)
     append_hashes(listing(spark, second), ledger)
-    assert read_hash_ledger(spark, ledger).count() == 2
+    assert read_hash_ledger(spark, ledger).distinct().count() == 2
     assert unseen(listing(spark, first, second), read_hash_ledger(spark, ledger)).isEmpty()
     row = spark.read.parquet(ledger).where("path like '%/a'").first()
     assert row.datetime == "2024-01-05 12:00"
@@ -123,7 +123,7 @@ def test_hash_ledger(spark, tmp_path):
 def test_hash_ledger_reads_older_columns(spark, tmp_path):
     ledger = f"{tmp_path}/ledger"
     old = spark.createDataFrame([("p", "t", "h1")], "path string, timestamp string, hashed_path string")
-    old.write.parquet(ledger)
+    old.write.parquet(f"{ledger}/date=none")
     append_hashes(listing(spark, (DAY[0], "a")), ledger)
     assert read_hash_ledger(spark, ledger).count() == 2
 
@@ -138,22 +138,37 @@ def test_hour_ledger(spark, tmp_path):
     assert got == {("00", "00/a"): True, ("00", "late"): False, ("01", "01/a"): True, ("02", "/new"): False}
     touched = with_unread_hours(flags)
     assert names(touched) == [DAY[0], DAY[0], DAY[2]]
-    groups = unread_by_hour(flags).collect()
+    groups = sorted((r.date, r.hour, r.position, r.path[-4:]) for r in unread_by_hour(flags).collect())
     replace_hour_cells(touched, ledger)
     cells = {(r.date, r.hour, r.path) for r in read_hour_ledger(spark, ledger).collect()}
     assert cells == {("2024/01/05", r.date_hour[-2:], r.clean_path) for r in now.collect()}
     assert read_hour_ledger(spark, ledger, ["2024/01/06"]).count() == 0
-    assert {(r.date, r.hour, len(r.paths)) for r in groups} == {("2024/01/05", "00", 1), ("2024/01/05", "02", 1)}
-
-
-def test_group_paths_splits_large_hours_and_loses_none(spark):
-    files = [(DAY[0], f"f{i:03d}") for i in range(100)] + [(DAY[1], "z"), (DAY[1], "y")]
-    whole = {r.date_hour: r.paths for r in group_paths(listing(spark, *files)).collect()}
-    assert len(whole[DAY[0]]) == 100 and whole[DAY[1]] == [f"file:/r/{DAY[1]}/y", f"file:/r/{DAY[1]}/z"]
-    split = group_paths(listing(spark, *files), per_row=10).collect()
-    assert sum(r.date_hour == DAY[0] for r in split) > 5
-    paths = sorted(p for r in split for p in r.paths)
-    assert paths == sorted(f"file:/r/{h}/{n}" for h, n in files)
+    assert groups == [("2024/01/05", "00", 1, "late"), ("2024/01/05", "02", 1, "/new")]
+
+
+@pytest.mark.parametrize("tasks", [1, 8])
+def test_group_paths_numbers_every_path_in_order(spark, tasks):
+    files = [(DAY[0], f"f{i:03d}") for i in range(300)] + [(DAY[1], "z"), (DAY[1], "y"), (DAY[1], "y")]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        # many ranges: a group is numbered by several tasks
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false" if tasks > 1 else "true")
+        got = sorted((r.date_hour, r.position, r.path) for r in group_paths(listing(spark, *files)).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    want = []
+    for hour in (DAY[0], DAY[1]):
+        want += [(hour, i + 1, f"file:/r/{hour}/{n}") for i, n in enumerate(sorted(n for h, n in files if h == hour))]
+    assert got == want
+
+
+def test_hash_ledger_reads_only_the_days_asked_for(spark, tmp_path):
+    ledger = f"{tmp_path}/ledger"
+    append_hashes(listing(spark, (DAY[0], "a"), (NEXT[0], "b")), ledger)
+    one = read_hash_ledger(spark, ledger, [DAY[0][:10]])
+    assert one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [date" in plan and "Aggregate" not in plan
 
 
 def test_watermark_file(spark, tmp_path):

@@ -5,6 +5,7 @@ from eventloom.operators.identity import (
     forward_entries, latest_per_key, numeric_entries, resolve_by_distinct_keys, resolve_ids,
     reverse_entries, unresolved_keys, upsert,
 )
+from eventloom.sources import merge_identity, read_identity
 
 FORWARD = "player_id string, goc_id string, numeric_id string, seq bigint"
 EVENTS = "player_key string, ts bigint, event_value string, reason string, packet string"
@@ -45,11 +46,41 @@ def test_resolve(spark):
     assert got.columns == EVENTS.replace(" string", "").replace(" bigint", "").split(", ") + ["goc_id"]
 
 
-@pytest.mark.parametrize("broadcast_rows, max_hot", [(1000, 10), (0, 10), (0, 3), (0, 1), (0, 1000)])
-def test_distinct_key_resolve_is_the_same(spark, broadcast_rows, max_hot):
-    got = resolve_by_distinct_keys(
-        events(spark), identity(spark), broadcast_rows=broadcast_rows, max_hot_keys=max_hot
-    )
+def test_merged_identity_tables(spark, tmp_path):
+    table = str(tmp_path / "forward")
+    assert read_identity(spark, table).count() == 0
+    merge_identity(identity(spark), table)
+    rows = {r.player_id: (r.goc_id, r.seq) for r in read_identity(spark, table).collect()}
+    assert rows == {"u0": ("g0", 2), "u1": ("g1", 1), "u2": ("", 9), "hot": ("ghot", 1), "other": ("gx", 1)}
+    more = spark.createDataFrame([("u1 ", "n1", None, 1), ("u0", "late", "", 1), ("u9", "g9", "", 1)], FORWARD)
+    for _ in range(3):
+        merge_identity(more, table)
+    rows = {r.player_id: (r.goc_id, r.seq) for r in read_identity(spark, table).collect()}
+    assert rows["u1"] == ("n1", 1) and rows["u0"] == ("g0", 2) and rows["u9"] == ("g9", 1) and len(rows) == 6
+    found_ = resolve_ids(events(spark), read_identity(spark, table), unique=True)
+    assert found(found_) == {**{k: v for k, v in WANT.items() if k != ("u1", "g1")}, ("u1", "n1"): 8}
+    plan = found_._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan
+
+
+def test_hot_unknown_players_are_spread(spark):
+    rows = spark.createDataFrame([("ghost", i, f"v{i}", None, None) for i in range(400)], EVENTS)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = resolve_by_distinct_keys(rows, identity(spark), max_hot_keys=8)
+        assert found(got) == {("ghost", ""): 400}
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) > 2 and max(sizes) < 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("max_hot", [10, 3, 1, 1000])
+def test_distinct_key_resolve_is_the_same(spark, max_hot):
+    got = resolve_by_distinct_keys(events(spark), identity(spark), max_hot_keys=max_hot)
     assert found(got) == WANT
     expected = resolve_ids(events(spark), identity(spark))
     assert got.exceptAll(expected.select(got.columns)).isEmpty()

@@ -13,8 +13,8 @@ from eventloom import hashed_id_profile
 from eventloom.session import discard
 from eventloom.plans import ingest
 from eventloom.plans.ingest import (
-    RECORDS, Framing, Layout, UnresolvedIds, backfill_run, hash_ledger_run, hour_ledger_run, register, replay,
-    seed_hash_ledger, transform, watermark_run,
+    RECORDS, Framing, Layout, UnresolvedIds, backfill_run, hash_ledger_run, hour_ledger_run, parked_rows,
+    register, replay, seed_hash_ledger, text_sink, transform, watermark_run,
 )
 from eventloom.operators.backlog import LagAlert
 from eventloom.operators.counts import (
@@ -24,7 +24,7 @@ from eventloom.operators.counts import (
 from eventloom.operators.identity import resolve_by_distinct_keys, unresolved_keys
 from eventloom.operators.route import QUARANTINE
 from eventloom.sinks import copy_text, publish_topic, write_by_hour
-from eventloom.sources import append_identity, packet_fields, parse_packets, read_lines, write_watermark
+from eventloom.sources import merge_identity, packet_fields, parse_packets, read_identity, read_lines, write_watermark
 from eventloom.streaming import run_incremental
 
 HOURS = [f"2024/01/05/{h:02d}" for h in range(8)]
@@ -53,7 +53,7 @@ def layout(spark, tmp_path):
         [("u1", "g1", "", 1), ("u2", "g2", "", 1)],
         "player_id string, goc_id string, numeric_id string, seq bigint",
     )
-    append_identity(ids, made.forward)
+    merge_identity(ids, made.forward)
     return made
 
 
@@ -192,6 +192,14 @@ def test_stop_on_unresolved_publishes_nothing(spark, layout, types):
         watermark_run(spark, layout, strict, types, now=NOW)
     assert published(spark, layout) == []
     assert spark.read.parquet(layout.alerts).where("kind = 'unresolved'").count() == 4
+    # the rows wait for ids; the run repeated under its name publishes all of them
+    assigned = spark.createDataFrame([("new", "g9")], "player_id string, goc_id string")
+    register(spark, layout, assigned, seq=2)
+    watermark_run(spark, layout, strict, types, now=NOW)
+    assert published(spark, layout) == want(HOURS[1:5], ["g1", "g2", "g9"])
+    assert spark.read.parquet(layout.stopped).count() == 0
+    replay(spark, layout, strict, "r")
+    assert published(spark, layout) == want(HOURS[1:5], ["g1", "g2", "g9"])
 
 
 def test_hash_ledger_run(spark, layout, hashed, types, tmp_path):
@@ -285,7 +293,7 @@ def test_register_and_replay(spark, layout, hashed, types):
     assert published(spark, layout) == want(HOURS, ["g1", "g2", "g9"])
     replay(spark, layout, hashed, "r3")
     assert published(spark, layout) == want(HOURS, ["g1", "g2", "g9"])
-    numeric = spark.read.parquet(layout.numeric).first()
+    numeric = read_identity(spark, layout.numeric, "numeric").first()
     assert (numeric.numeric_id, numeric.hashed_id, numeric.goc_id) == ("7", "new", "g9")
 
 
@@ -342,3 +350,129 @@ def test_first_per_event_type(spark):
     some = {tuple(r) for r in any_per_event_type(df).collect()}
     assert {r[0] for r in some} == {"a", "b"} and some <= set(rows)
     assert [r.v for r in top_rows(df, 2, F.col("event_id").desc()).collect()] == ["z", "w"]
+
+
+def test_strict_ledger_run_can_be_registered_and_repeated(spark, layout, types):
+    strict = hashed_id_profile("g", on_unresolved="fail")
+    with pytest.raises(UnresolvedIds):
+        hash_ledger_run(spark, layout, strict, types, now=NOW, run="one")
+    with pytest.raises(UnresolvedIds):
+        hash_ledger_run(spark, layout, strict, types, now=NOW, run="two")
+    worklist = unresolved_keys(parked_rows(spark, layout))
+    assert [(r.player_id, r.events) for r in worklist.collect()] == [("new", 8)]
+    register(spark, layout, spark.createDataFrame([("new", "g9")], "player_id string, goc_id string"), seq=2)
+    assert hash_ledger_run(spark, layout, strict, types, now=NOW, run="three") == ["one"]
+    assert published(spark, layout) == want(HOURS, ["g1", "g2", "g9"])
+    assert parked_rows(spark, layout).count() == 0
+
+
+EXTREME = [
+    packet(ts=99999999999999999), packet(ts=-99999999999999999), packet(ts=9223372036854775807), packet(ts="NaN"),
+    packet("transaction", price="NaN"), packet("transaction", price="Infinity"), packet("transaction", price="1d"),
+    packet("transaction", price={"a": 1}), packet("transaction", price=[1]), packet("transaction", price="1e999"),
+    packet("start_session", blackdiamond_elite_active={"a": 1}), packet("start_session", blackdiamond_elite_active=[1]),
+    packet("spin", slot_id={"x": 1}), packet("spin", slot_id=["x"]), packet("level_up", level={"a": 1}),
+    packet("level_up", level="99999999999999999999999999999999999999999999"),
+]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.sampled_from(EXTREME), min_size=1, max_size=8))
+def test_no_packet_fails_a_run(spark, hashed, types, packets):
+    frame = spark.createDataFrame([("*##*".join([*packets, packet(user_id="u1")]), "h")], "value string, date_hour string")
+    ids = spark.createDataFrame([("u1", "g1")], "player_id string, goc_id string")
+    rows = transform(parse_packets(frame, packet_fields(hashed, types)), hashed, types, ids).collect()
+    assert sorted(r.route for r in rows) == ["published"] + ["quarantine"] * len(packets)
+    assert {r.reason for r in rows} <= {None, "missing_key", "bad_value"}
+
+
+def test_texts_that_look_nested_pass(spark, hashed, types):
+    frame = spark.createDataFrame([(packet("spin", slot_id='{"x": 1}', session_id="[guest]"), "h")], "value string, date_hour string")
+    ids = spark.createDataFrame([("u1", "g1")], "player_id string, goc_id string")
+    row = transform(parse_packets(frame, packet_fields(hashed, types)), hashed, types, ids).first()
+    value = json.loads(row.event_value)
+    assert (value["slot_id"], value["session_id"]) == ('{"x": 1}', "[guest]")
+
+
+def test_a_run_name_cannot_be_used_again(spark, layout, hashed, types, tmp_path):
+    hash_ledger_run(spark, layout, hashed, types, now=NOW, run="one")
+    put_file(tmp_path / "raw", HOURS[2], "late", packet(user_id="u1", session_id="late"))
+    with pytest.raises(ValueError, match="exists"):
+        hash_ledger_run(spark, layout, hashed, types, now=NOW, run="one")
+    assert published(spark, layout) == want(HOURS)
+    assert ingest.run_stamp() != ingest.run_stamp()
+    assert len(hash_ledger_run(spark, layout, hashed, types, now=NOW)) == 1
+    assert published(spark, layout) == sorted(want(HOURS) + [("late", "g1")])
+    failed = spark.read.parquet(layout.alerts).where("kind = 'failed'")
+    assert failed.count() == 1
+
+
+def test_full_backfill_replaces_hours_and_what_was_parked(spark, layout, hashed, types):
+    write_watermark(spark, HOURS[0], layout.watermark)
+    watermark_run(spark, layout, hashed, types, now=NOW)
+    backfill_run(spark, layout, hashed, types, "2024/01/05", "2024/01/05", run="again")
+    assert published(spark, layout) == want(HOURS)
+    assert spark.read.text(layout.published).count() == 2 * len(HOURS)  # one layout
+    register(spark, layout, spark.createDataFrame([("new", "g9")], "player_id string, goc_id string"), seq=2)
+    replay(spark, layout, hashed, "r1")
+    assert published(spark, layout) == want(HOURS, ["g1", "g2", "g9"])
+    backfill_run(spark, layout, hashed, types, "2024/01/05", "2024/01/05", run="more")
+    assert published(spark, layout) == want(HOURS, ["g1", "g2", "g9"])
+
+
+def test_padded_ids_in_a_user_list(spark, layout, hashed, types, tmp_path):
+    put_file(tmp_path / "raw", HOURS[0], "padded", packet(user_id=" u1 ", session_id="pad"))
+    users = spark.createDataFrame([("u1 ",), ("",)], "user_id string")
+    backfill_run(spark, layout, hashed, types, "2024/01/05", "2024/01/05", users=users, run="fix")
+    assert published(spark, layout) == sorted(want(HOURS, ["g1"]) + [("pad", "g1")])
+
+
+def test_backlog_in_slices(spark, layout, hashed, types, monkeypatch):
+    names = hash_ledger_run(spark, layout, hashed, types, now=NOW, run="one", slice_files=3)
+    assert names == ["one", "one-2", "one-3"]
+    assert published(spark, layout) == want(HOURS)
+    assert hash_ledger_run(spark, layout, hashed, types, now=NOW, run="two") == []
+
+
+def test_unfinished_slices_are_all_repeated(spark, layout, hashed, types, monkeypatch):
+    real = ingest.append_hashes
+    monkeypatch.setattr(ingest, "append_hashes", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        hash_ledger_run(spark, layout, hashed, types, now=NOW, run="one", slice_files=4)
+    monkeypatch.setattr(ingest, "append_hashes", real)
+    assert hash_ledger_run(spark, layout, hashed, types, now=NOW, run="two") == ["one", "one-2"]
+    assert published(spark, layout) == want(HOURS)
+
+
+def test_hash_ledger_leaves_unsettled_files(spark, layout, hashed, types, tmp_path):
+    fresh = put_file(tmp_path / "raw", HOURS[2], "late", packet(user_id="u1", session_id="late"))
+    os.utime(fresh, (1704439800 - 60, 1704439800 - 60))
+    hash_ledger_run(spark, layout, hashed, types, now=NOW, run="one", settle_minutes=5)
+    assert published(spark, layout) == want(HOURS)
+    os.utime(fresh, (1704400000, 1704400000))
+    assert hash_ledger_run(spark, layout, hashed, types, now=NOW, run="two", settle_minutes=5) == ["two"]
+
+
+def test_several_sinks(spark, layout, hashed, types, tmp_path):
+    topic = str(tmp_path / "topic")
+    sinks = [lambda rows, run: publish_topic(rows, topic, sink="text"), text_sink(layout, gather=False)]
+    hash_ledger_run(spark, layout, hashed, types, now=NOW, run="one", publish=sinks)
+    assert published(spark, layout) == want(HOURS)
+    assert spark.read.text(topic).count() == 2 * len(HOURS)
+
+
+def test_early_allowlist_in_a_run(spark, layout, hashed, types, tmp_path):
+    raw = tmp_path / "records"
+    put_file(raw, HOURS[3], "a", "\n".join([packet(session_id="x"), packet("other"), "{broken"]))
+    other = Layout(str(raw), layout.base)
+    hash_ledger_run(spark, other, hashed, types, now=NOW, run="r", framing=Framing(separator=None, early=True))
+    assert published(spark, layout) == [("x", "g1")]
+    with pytest.raises(ValueError):
+        Framing(early=True)
+
+
+def test_failures_while_planning_leave_an_alert(spark, layout, hashed, types, monkeypatch):
+    monkeypatch.setattr(ingest, "unseen", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        hash_ledger_run(spark, layout, hashed, types, now=NOW, run="one")
+    assert spark.read.parquet(layout.alerts).where("kind = 'failed'").count() == 1
