@@ -23,6 +23,7 @@ from .words import hash_words, mix, words_of
 
 PUNCTUATION = ".,;:!?\"'()|%&$*#@"
 PREFIXES = (4, 5, 6, 7)
+SLICE_BYTES = 1_500_000  # of text at a time
 PARTS = 64  # of the count tables, when tasks' counts are added
 
 
@@ -62,7 +63,7 @@ def _count(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, buckets), np.int64)
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, SLICE_BYTES):
                 found, text, _ = features(part.column(0), buckets)
                 good = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 totals[0] += np.bincount(found[good[text]], minlength=buckets)
@@ -112,7 +113,7 @@ def _score(model, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratios = model.value
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, SLICE_BYTES):
                 found, text, counts = features(part.column(0), buckets)
                 total = np.bincount(text, ratios[found], minlength=len(counts))
                 mean = pa.array(np.where(counts > 0, total / np.maximum(counts, 1), 0.0))

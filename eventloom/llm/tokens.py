@@ -34,10 +34,11 @@ def default_tokenizer() -> str:
 class ChunkEncoder:
     """Whole texts to ids; remembers up to ``most_chunks`` distinct chunks.
 
-    The memory is a cache only: when full it starts anew, results never change.
+    The memory is a cache only, results never depend on it.  When it is full, chunks that
+    were met again stay and the others make room.
     """
 
-    def __init__(self, path: str, most_chunks: int = 1_500_000):
+    def __init__(self, path: str, most_chunks: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -53,8 +54,25 @@ class ChunkEncoder:
         self.pool = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 14, np.int64)
         self.count = np.zeros(1 << 14, np.int64)
+        self.met = np.zeros(1 << 14, np.int32)
         self.used = 0
 
+    def _make_room(self) -> None:
+        """Keep the chunks met most often, half of what fits at most."""
+        n = len(self.known)
+        met = self.met[:n]
+        least = max(2, int(np.partition(met, n // 2)[n // 2]) + 1) if n else 2
+        keep = np.flatnonzero(met >= least)
+        chunks = list(self.known)
+        kept = [chunks[i] for i in keep.tolist()]
+        counts = self.count[keep]
+        shift = self.start[keep] - np.cumsum(counts) + counts
+        ids = self.pool[np.repeat(shift, counts) + np.arange(counts.sum())]
+        met = met[keep].copy()
+        self._reset()
+        self._add(kept, ids, counts)
+        self.met[: len(kept)] = met
+
     def _learn(self, chunks: list[str]) -> None:
         joined = [c for c in chunks if c[:1] in " \n" and not c[1:2].isspace() and len(c) > 1]
         alone = list(set(chunks).difference(joined))
@@ -85,6 +103,7 @@ class ChunkEncoder:
         while at + n > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.count = np.concatenate([self.count, np.zeros_like(self.count)])
+            self.met = np.concatenate([self.met, np.zeros_like(self.met)])
         self.pool[self.used : self.used + len(ids)] = ids
         self.start[at : at + n] = self.used + np.cumsum(counts) - counts
         self.count[at : at + n] = counts
@@ -98,11 +117,12 @@ class ChunkEncoder:
         new = [w for w in words if w not in self.known]
         if new:
             if len(self.known) + len(new) > self.most:
-                self._reset()
-                new = words
+                self._make_room()
+                new = [w for w in words if w not in self.known]
             self._learn(new)
         known = self.known
         which = np.fromiter((known[w] for w in words), np.int64, len(words))
+        self.met[which] += 1
         which = which[coded.indices.to_numpy(zero_copy_only=False)]
         counts = self.count[which]
         total = np.cumsum(counts)
