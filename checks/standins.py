@@ -62,17 +62,23 @@ def packet_text(events: DataFrame) -> DataFrame:
     return events.select(F.to_json(F.struct(*FIELDS)).alias("value"), "date_hour")
 
 
+# Milliseconds far beyond the last timestamp.
+NO_TIME = 99_999_999_999_999_999
+
+
 def spoiled(events: DataFrame) -> DataFrame:
-    """Packets where the error events are broken in one of four ways, by ``k``."""
+    """Packets where the error events are broken in one of six ways, by ``k``."""
     good = F.to_json(F.struct(*FIELDS))
     error = F.col("event_type") == "error"
     as_click = F.struct(F.lit("click").alias("event_type"), *FIELDS[1:])
     value = (
         F.when(~error, good)
         .when(F.col("k") < 25, F.concat(F.lit("{error "), F.col("event_id"), F.lit("}")))
-        .when(F.col("k") < 50, F.to_json(as_click.dropFields("ts")))
+        .when(F.col("k") < 38, F.to_json(as_click.dropFields("ts")))
+        .when(F.col("k") < 50, F.to_json(as_click.withField("ts", F.lit(NO_TIME))))
         .when(F.col("k") < 75, F.to_json(as_click.withField("user_id", F.lit(" "))))
-        .otherwise(F.to_json(as_click.withField("k", F.lit("many"))))
+        .when(F.col("k") < 88, F.to_json(as_click.withField("k", F.lit("many"))))
+        .otherwise(F.to_json(as_click.withField("k", F.struct(F.lit(1).alias("n")))))
     )
     return events.select(value.alias("value"), "date_hour")
 
@@ -186,11 +192,13 @@ spoiled AS (
          CASE WHEN k < 25 THEN 'corrupt' WHEN k < 50 THEN 'missing_key'
               WHEN k < 75 THEN 'no_user_id' ELSE 'bad_value' END AS reason,
          CASE WHEN k < 25 THEN '{error ' || event_id || '}'
-              ELSE '{"event_type":"click"' || CASE WHEN k < 50 THEN '' ELSE ',"ts":' || ms END
+              ELSE '{"event_type":"click"' || CASE WHEN k < 38 THEN ''
+                WHEN k < 50 THEN ',"ts":99999999999999999' ELSE ',"ts":' || ms END
                 || ',"user_id":"' || CASE WHEN k BETWEEN 50 AND 74 THEN ' ' ELSE uid END
                 || '","numeric_user_id":"' || user_id || '","event_id":' || event_id
                 || ',"value":' || value
-                || ',"k":' || CASE WHEN k < 75 THEN CAST(k AS VARCHAR) ELSE '"many"' END
+                || ',"k":' || CASE WHEN k < 75 THEN CAST(k AS VARCHAR)
+                  WHEN k < 88 THEN '"many"' ELSE '{"n":1}' END
                 || '}' END AS packet
   FROM raw WHERE event_type = 'error')"""
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .route import PUBLISHED, QUARANTINE, UNRESOLVED
 
 # Rows shown in an alert.
@@ -57,13 +58,16 @@ def first_per_event_type(events: DataFrame, order: Sequence[str] = ("ts", "event
     """The earliest whole row of each event type.
 
     The smallest first order key per type is found over two columns and without
-    sorting; only the rows that share it are compared in full.
+    sorting, and written down: a row per type.  Spark knows the size of that table and
+    sends it to the events if it is small, so they are not shuffled; only the rows that
+    share the smallest key are compared in full.
     """
     rest = [c for c in events.columns if c != "event_type"]
     lead = order[0]
-    # the second key makes the join shuffle again, which lets AQE split hot types
-    groups = events.groupBy("event_type", F.xxhash64("event_type"))
-    floor = groups.agg(F.min(lead).alias("_floor")).select("event_type", "_floor")
+    path = scratch_path(events.sparkSession, "first-keys")
+    floor = events.groupBy("event_type").agg(F.min(lead).alias("_floor"))
+    floor.write.parquet(path)
+    floor = events.sparkSession.read.schema(floor.schema).parquet(path)
     tied = events.alias("e").join(
         floor.alias("f"),
         (F.col("e.event_type") == F.col("f.event_type"))
