@@ -78,6 +78,22 @@ def _pack(values: np.ndarray) -> bytes:
     return zlib.compress(values.tobytes(), 1)
 
 
+def pack_grams(grams: np.ndarray, base: int) -> bytes:
+    """Sorted hashes from ``base`` on as differences, in as few bytes each as they need."""
+    steps = np.diff(grams, prepend=np.uint64(base))
+    width = max(1, -(-int(steps.max()).bit_length() // 8))
+    rows = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + np.ascontiguousarray(rows).tobytes()
+
+
+def unpack_grams(data: bytes, base: int) -> np.ndarray:
+    width = data[0]
+    rows = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    wide = np.zeros((len(rows), 8), np.uint8)
+    wide[:, :width] = rows
+    return np.cumsum(wide.view("<u8").reshape(-1), dtype=np.uint64) + np.uint64(base)
+
+
 def _windows(window_bytes: int):
     """Texts of a task in windows, compressed."""
 
@@ -128,7 +144,13 @@ def _ask(order: int, bucket_bits: int):
                     [
                         pa.array(top[starts]),
                         pa.array([window] * len(starts), pa.int64()),
-                        pa.array([grams.distinct[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                        pa.array(
+                            [
+                                pack_grams(grams.distinct[a:b], int(top[a]) << (64 - bucket_bits))
+                                for a, b in zip(starts, ends)
+                            ],
+                            pa.binary(),
+                        ),
                         pa.array(
                             [_pack(grams.times[a:b].astype("<u4")) for a, b in zip(starts, ends)], pa.binary()
                         ),
@@ -141,7 +163,8 @@ def _ask(order: int, bucket_bits: int):
 
 def _answer(table: pa.Table) -> pa.Table:
     """Totals of a bucket for each window that asked, in the order it asked."""
-    grams = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
+    # hashes of a bucket share their base, so the packed differences can start from 0
+    grams = [unpack_grams(g, 0) for g in table.column("grams").to_pylist()]
     times = [np.frombuffer(zlib.decompress(t), "<u4") for t in table.column("times").to_pylist()]
     _, which = np.unique(np.concatenate(grams), return_inverse=True)
     totals = np.bincount(which, np.concatenate(times)).astype(np.int64)[which]
@@ -195,7 +218,7 @@ def backoff_scores(
     id_col: str = "doc_id",
     text_col: str = "text",
     order: int = 2,
-    window_bytes: int = 12_000_000,
+    window_bytes: int = 8_000_000,
     bucket_grams: int = 1 << 20,
 ) -> DataFrame:
     """Per row doc_id, n_words, log_score: the sum of natural logs of stupid-backoff scores.

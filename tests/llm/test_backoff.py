@@ -4,7 +4,9 @@ from collections import Counter
 
 import pytest
 
-from eventloom.llm.backoff import backoff_scores
+import numpy as np
+
+from eventloom.llm.backoff import backoff_scores, pack_grams, unpack_grams
 
 
 def brute(rows, order):
@@ -50,3 +52,14 @@ def test_empty_table_and_long_text(spark):
     docs = spark.createDataFrame([(1, "x y " * 100_000), (2, "x y z")], schema)
     got = {r["doc_id"]: r for r in backoff_scores(docs).collect()}
     assert got[1]["n_words"] == 200_000 and got[2]["log_score"] < 0
+
+
+def test_packed_hashes():
+    rng = np.random.default_rng(72)
+    for n in (1, 5, 4000):
+        grams = np.unique(rng.integers(0, 1 << 55, n, dtype=np.uint64) + np.uint64(7 << 55))
+        packed = pack_grams(grams, 7 << 55)
+        assert np.array_equal(unpack_grams(packed, 7 << 55), grams)
+        assert n < 4000 or len(packed) <= 6 * n + 1
+    edge = np.array([0, 2**64 - 1], np.uint64)
+    assert np.array_equal(unpack_grams(pack_grams(edge, 0), 0), edge)
