@@ -141,7 +141,8 @@ class Mix:
     ``weights`` go to the sources in code point order, null last, and repeat.  Targets share
     ``share`` of all words by weight, none over ``most`` times its source, the excess going to
     the others by weight.  A source is drawn whole as often as its target has room, then in
-    blocks of about ``block_words``; the last block is cut between two documents, so what is
+    blocks of about ``block_words`` (more, if there would be over ``most_blocks`` of them);
+    the last block is cut between two documents, so what is
     taken misses the target by half a document at most.  Nothing but the hash of source, id
     and size decides, so reruns agree however rows are partitioned.
 
@@ -160,15 +161,18 @@ class Mix:
         weights: tuple[float, ...] = (5.0, 2.0, 1.0),
         share: float = 1.5,
         most: float = 2.0,
-        block_words: int = 50_000,
-        blocks_per_shard: int = 64,
+        block_words: int = 20_000,
+        blocks_per_shard: int = 32,
+        most_blocks: int = 1 << 20,
         seed: int = 1,
     ):
         self.docs, self.seed = docs, seed
         self.columns = (id_col, text_col, source_col)
         sized = keep_table(self._sized(), "mix-sizes")
         self.targets = keep_table(source_targets(sized, weights, share, most), "mix-targets")
-        self.block_words = block_words
+        drawn = self.targets.agg(F.sum("target")).first()[0] or 0.0
+        # the tree's root goes through all blocks, so blocks grow once they would be too many
+        self.block_words = max(block_words, -(-int(drawn) // most_blocks))
         blocks = self._dealt(sized).groupBy("rank", "block").agg(F.sum("size").alias("words"))
         self.blocks = keep_table(self._drawn(blocks, sized), "mix-blocks")
         n = self.blocks.agg(F.sum("draws")).first()[0] or 0
