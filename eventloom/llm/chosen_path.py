@@ -143,6 +143,8 @@ def _buckets(classes: DataFrame, runs: int, most: int) -> DataFrame:
     for depth in range(DEPTH):
         path = f"path{depth}"
         sizes = left.groupBy(path).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        # a table of its own, so that the join can split the classes of a hot path
+        sizes = keep_table(sizes, f"join-sizes{depth}")
         left = keep_table(left.join(sizes, path), f"join-level{depth}")
         small = F.lit(True) if depth == DEPTH - 1 else F.col("size") <= most
         done.append(left.where(small).select("class", "run", F.col(path).alias("bucket"), "size"))
