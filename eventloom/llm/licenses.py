@@ -1,8 +1,11 @@
 """Licence scans by sentence rules, in DataFrame functions alone.
 
-A text is cut into sentences, each normalised and mapped to the identifier of a known licence
-sentence.  The identifiers of a text, in order, are matched against ordered licence rules;
+A text is cut into sentences, each normalised and mapped to the identifiers of known licence
+sentences.  The identifiers of a text, in order, are matched against ordered licence rules;
 what a rule matches is used up, so a shorter rule does not fire on it again.
+
+With ``unwrap``, which the query uses, sentences go on over line ends and give all their
+identifiers.  Without it they end at each line end and give one, which is what the SQL does.
 """
 
 from __future__ import annotations
@@ -92,16 +95,50 @@ RULES = (
 
 # Every known sentence holds one of these words; a text without any is not cut at all.
 HINT = "(?i)licen[sc]e|copyright|permission|redistribut|cc0|cc by|warranty|public domain|rights reserved|no event|any later|neither the name|as is|creative commons"
+# With unwrap: the words of a hint may be on two lines, a version may follow other words.
+WRAPPED_HINT = HINT.replace(" ", "[^a-z0-9]+")
+WRAPPED_SENTENCES = tuple(
+    (n, p.removeprefix("^") if n in ("version_3", "version_2") else p) for n, p in SENTENCES
+)
+
+
+def _wrapped_rules() -> tuple[tuple[str, tuple[str, ...]], ...]:
+    """Rules of whole notices, stricter first: headers of grants, later mentions of the GPL."""
+    out = []
+    for name, chain in RULES:
+        if chain[0] in ("mit_grant", "bsd_grant", "isc_grant"):
+            out += [(name, ("copyright", "all_rights", *chain)), (name, ("all_rights", *chain))]
+        if name.startswith("GPL-"):
+            out += [(name, (*chain, "gpl", "gpl")), (name, (*chain, "gpl"))]
+        out.append((name, chain))
+    return tuple(out)
+
+
+WRAPPED_RULES = _wrapped_rules()
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SENTENCE_END = "([.!?;])[ \\t\\r\\f]+"
 NOISE = "[^a-z0-9.+-]+"
 EDGES = "^[ .+-]+|[ .+-]+$"
+# With unwrap: comment leaders, and what ends a sentence.
+LEADERS = "(?dm)^[ \\t]*(?:/\\*+|\\*+/?|//+|#+|--+|;+|%+|<!--|>+)"
+WRAPPED_END = (
+    "([.!?;])[ \\t\\r\\f\\n]+|\\n[ \\t\\r\\f\\n]*\\n"
+    "|\\n(?=[ \\t]*copyright[^a-z0-9.+-]+(?:c[^a-z0-9.+-]+)?[0-9]{4})"
+)
+
 
+def _sentences(text: Column, unwrap: bool) -> Column:
+    """Normalised sentences.
 
-def _sentences(text: Column) -> Column:
-    """Normalised sentences: they end at a line end, or at a mark before white space."""
-    marked = F.regexp_replace(F.translate(text, UPPER, UPPER.lower()), SENTENCE_END, "$1\n")
-    parts = F.split(marked, "\n")
+    They end at a line end, or at a mark before white space.  With ``unwrap`` a line end alone
+    ends none: a mark, a blank line or a next line with a copyright notice does.
+    """
+    lower = F.translate(text, UPPER, UPPER.lower())
+    if unwrap:
+        marked = F.regexp_replace(F.regexp_replace(lower, LEADERS, ""), WRAPPED_END, "$1\n\n")
+        parts = F.split(marked, "\n\n+")
+    else:
+        parts = F.split(F.regexp_replace(lower, SENTENCE_END, "$1\n"), "\n")
 
     def clean(s: Column) -> Column:
         s = F.regexp_replace(F.regexp_replace(s, NOISE, " "), EDGES, "")
@@ -110,21 +147,31 @@ def _sentences(text: Column) -> Column:
     return F.transform(parts, clean)
 
 
-def _identifier(sentence: Column) -> Column:
+def _identifier(sentence: Column, sentences: tuple[tuple[str, str], ...] = SENTENCES) -> Column:
     found = F.lit(None).cast("string")
-    for name, pattern in reversed(SENTENCES):
+    for name, pattern in reversed(sentences):
         found = F.when(sentence.rlike(pattern), name).otherwise(found)
     return found
 
 
-def _matched(chain: Column) -> Column:
+def _identifiers(sentence: Column) -> Column:
+    """All known sentences in a long one by place; of those at one place the first."""
+    patterns = [(n, p.replace("(", "(?:").replace(".*", ".*?")) for n, p in WRAPPED_SENTENCES]
+    any_of = "|".join(p for _, p in patterns)
+    # a look ahead takes nothing, so one may begin within another
+    places = F.regexp_extract_all(sentence, F.lit(f"(?=({any_of}))"), F.lit(1))
+    starting = tuple((n, f"^(?:{p})") for n, p in patterns)
+    return F.transform(places, lambda s: _identifier(s, starting))
+
+
+def _matched(chain: Column, known: tuple[tuple[str, tuple[str, ...]], ...]) -> Column:
     """Licences of a chain of identifiers like ``;a;;b;``: rules by their order."""
     rules = F.array(
         *[
             F.struct(
                 F.lit(name).alias("name"), F.lit("".join(f";{i};" for i in chain_)).alias("chain")
             )
-            for name, chain_ in RULES
+            for name, chain_ in known
         ]
     )
     start = F.struct(chain.alias("rest"), F.array().cast("array<string>").alias("found"))
@@ -142,25 +189,32 @@ def _matched(chain: Column) -> Column:
     return F.array_distinct(state["found"])
 
 
-def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", unwrap: bool = False
+) -> DataFrame:
     """Per row doc_id, sentence_ids, licenses, n_licenses.
 
     ``sentence_ids`` are the known sentences of the text in order, ``licenses`` the distinct
     licences in the order of the rules, both joined by commas; unknown sentences between known
-    ones do not matter.  A text without any has empty strings.  Null or empty text has none; a
+    ones do not matter.  With ``unwrap`` sentences may be wrapped over lines, with or without
+    comment leaders, and give all they hold; else each line is cut and gives one.  A text without any has empty strings.  Null or empty text has none; a
     null id is kept, repeated rows give repeated results, an empty table gives none, other
     columns are left out.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.array().cast("array<string>")
-    ids = F.filter(
-        F.transform(F.when(text.rlike(HINT), _sentences(text)).otherwise(none), _identifier),
-        lambda i: i.isNotNull(),
-    )
+    hinted = text.rlike(WRAPPED_HINT if unwrap else HINT)
+    sentences = F.when(hinted, _sentences(text, unwrap)).otherwise(none)
+    if unwrap:
+        known = F.flatten(F.transform(sentences, _identifiers))
+    else:
+        known = F.transform(sentences, lambda s: _identifier(s))
+    ids = F.filter(known, lambda i: i.isNotNull())
+    rules = WRAPPED_RULES if unwrap else RULES
     chain = F.concat_ws("", F.transform("ids", lambda i: F.concat(F.lit(";"), i, F.lit(";"))))
     return (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), ids.alias("ids"))
-        .select("doc_id", "ids", F.when(F.size("ids") > 0, _matched(chain)).otherwise(none).alias("l"))
+        .select("doc_id", "ids", F.when(F.size("ids") > 0, _matched(chain, rules)).otherwise(none).alias("l"))
         .select(
             "doc_id",
             F.concat_ws(",", "ids").alias("sentence_ids"),
@@ -171,7 +225,7 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 
 def op4_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(documents(spark, sf_dir))
+    return scan_licenses(documents(spark, sf_dir), unwrap=True)
 
 
 def _sql() -> str:
