@@ -217,7 +217,7 @@ def backoff_scores(
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
-    order: int = 2,
+    order: int = 3,
     window_bytes: int = 8_000_000,
     bucket_grams: int = 1 << 20,
 ) -> DataFrame:
