@@ -1,8 +1,8 @@
 """Operators for training-data pipelines; nothing else in the library imports them."""
 
-from . import backoff, chosen_path, cover_tree, dedup, huffman, importance, licenses, mixing, packing, secrets
+from . import backoff, chosen_path, cover_tree, dedup, huffman, importance, licenses, mixing, packing, runs, secrets
 
-_MODULES = (backoff, chosen_path, cover_tree, dedup, huffman, importance, licenses, mixing, packing, secrets)
+_MODULES = (backoff, chosen_path, cover_tree, dedup, huffman, importance, licenses, mixing, packing, runs, secrets)
 
 
 def queries():
