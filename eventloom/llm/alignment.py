@@ -30,6 +30,8 @@ from .tokens import _ODD as ODD
 from .tokens import default_tokenizer, slices
 
 BLANK = "▁"
+# Pairs a worker keeps numbers for; a window ends and it starts anew beyond that.
+MOST_PAIRS = 2_000_000
 
 
 def default_pieces() -> str:
@@ -46,23 +48,60 @@ def byte_of_character() -> dict[str, int]:
 
 
 class Aligned:
-    """Texts one after another: counts per text, links as pairs ``a * n_b + b``, group strings.
+    """Units (chunks or texts) one after another: counts, links as pair numbers, group strings.
 
-    A text without tokens has counts of 0 and an empty string.
+    ``groups`` has a string per unit, each group ended by a semicolon.  A unit whose tokens do
+    not give back its bytes is not ``valid``, has counts of 0 and an empty string.
     """
 
-    def __init__(self, n_a, n_b, n_groups, n_links, pairs, groups: list[bytes], valid):
+    COUNTS = ("n_a", "n_b", "n_groups", "n_links")
+
+    def __init__(self, n_a, n_b, n_groups, n_links, links: np.ndarray, groups: pa.Array, valid: np.ndarray):
         self.n_a, self.n_b, self.n_groups, self.n_links = n_a, n_b, n_groups, n_links
-        self.pairs, self.groups, self.valid = pairs, groups, valid
+        self.links, self.groups, self.valid = links, groups, valid
+
+    @classmethod
+    def join(cls, parts: list[Aligned]) -> Aligned:
+        counts = [np.concatenate([getattr(p, f) for p in parts]) for f in cls.COUNTS]
+        return cls(
+            *counts,
+            np.concatenate([p.links for p in parts]),
+            pa.concat_arrays([p.groups for p in parts]),
+            np.concatenate([p.valid for p in parts]),
+        )
+
+    def take(self, which: np.ndarray) -> Aligned:
+        counts = self.n_links[which]
+        total = np.cumsum(counts)
+        shift = (np.cumsum(self.n_links) - self.n_links)[which] - total + counts
+        links = self.links[np.repeat(shift, counts) + np.arange(total[-1] if len(total) else 0)]
+        rest = [getattr(self, f)[which] for f in self.COUNTS[:-1]]
+        return Aligned(*rest, counts, links, self.groups.take(pa.array(which)), self.valid[which])
+
+    def gather(self, ends: np.ndarray) -> Aligned:
+        """Units joined to longer ones, which stop before ``ends``."""
+
+        def summed(values: np.ndarray) -> np.ndarray:
+            return np.diff(np.concatenate([[0], np.cumsum(values)])[ends], prepend=0)
+
+        valid = summed(~self.valid) == 0
+        keep = np.repeat(valid, summed(self.n_links))
+        n, offsets, data = len(self.groups), *self.groups.buffers()[1:]
+        at = np.frombuffer(offsets, np.int64)[self.groups.offset : self.groups.offset + n + 1]
+        cuts = at[np.concatenate([[0], ends])]
+        groups = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(cuts.astype(np.int64)), data])
+        counts = [summed(getattr(self, f)) * valid for f in self.COUNTS]
+        return Aligned(*counts, self.links[keep], groups, valid)
 
 
 class Aligner:
     """Both tokenizers; remembers aligned chunks, up to ``most_chunks`` of them.
 
     The memory is a cache only: it is emptied when it is full, and results never depend on it.
+    Pairs of ids are numbered as they come; ``forget`` starts anew.
     """
 
-    def __init__(self, path_a: str, path_b: str, most_chunks: int = 400_000):
+    def __init__(self, path_a: str, path_b: str, most_chunks: int = 250_000):
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -71,15 +110,21 @@ class Aligner:
         self.b = SentencePieceProcessor(model_file=path_b)
         vocabulary = self.a.get_vocab(with_added_tokens=True)
         byte = byte_of_character()
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
-            self.a_bytes[i] = bytes(byte[c] for c in token if c in byte)
+            a_bytes[i] = bytes(byte[c] for c in token if c in byte)
         self.n_b = self.b.vocab_size()
         pieces = [self.b.id_to_piece(i) for i in range(self.n_b)]
-        self.b_bytes = [
+        b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode()
             for i, p in enumerate(pieces)
         ]
+        self.a_bytes, self.b_bytes = pa.array(a_bytes, pa.large_binary()), pa.array(b_bytes, pa.large_binary())
+        self.a_size, self.b_size = (np.array([len(x) for x in side], np.int64) for side in (a_bytes, b_bytes))
+        self.n_ids = max(len(a_bytes), len(b_bytes))
+        self.signs = pa.array(
+            [f"{i}{mark}" for mark in ",|;" for i in range(self.n_ids)], pa.large_string()
+        ).cast(pa.large_binary())
         self.blank = self.b.piece_to_id(BLANK)
         # chunks stand by themselves only if no piece goes on after a word or newline
         self.chunked = not any(
@@ -88,74 +133,101 @@ class Aligner:
             if not (self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_byte(i))
         )
         self.most = most_chunks
-        self._reset()
+        self.forget()
 
-    def _reset(self) -> None:
+    def forget(self) -> None:
+        self.pairs = np.zeros(0, np.int64)  # by number
+        self._sorted = self._numbers = np.zeros(0, np.int64)
+        self._drop_chunks()
+
+    def _drop_chunks(self) -> None:
         self.known: dict[str, int] = {}
-        self.parts: list[Aligned] = []
-        self.joined: Aligned | None = None
-
-    def align_whole(self, texts: list[str], spaced: list[bool]) -> Aligned:
-        """Each text by itself; ``spaced`` says that B's own blank stands for its first one."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        found = self.b.encode([t[1:] if s else t for t, s in zip(texts, spaced)], num_threads=1)
-        n = len(texts)
-        valid = np.zeros(n, bool)
-        for k, (text, s) in enumerate(zip(texts, spaced)):
-            if not s and found[k][:1] == [self.blank]:
-                found[k] = found[k][1:]
+        self.memory: Aligned | None = None
+
+    def _numbered(self, pairs: np.ndarray) -> np.ndarray:
+        """Numbers of pairs; new ones get the next."""
+        found, which = np.unique(pairs, return_inverse=True)
+        at = np.searchsorted(self._sorted, found)
+        known = np.zeros(len(found), bool)
+        inside = at < len(self._sorted)
+        known[inside] = self._sorted[at[inside]] == found[inside]
+        numbers = np.empty(len(found), np.int64)
+        numbers[known] = self._numbers[at[known]]
+        numbers[~known] = np.arange(len(self.pairs), len(self.pairs) + (~known).sum())
+        self.pairs = np.concatenate([self.pairs, found[~known]])
+        order = np.argsort(self.pairs, kind="stable")
+        self._sorted, self._numbers = self.pairs[order], order
+        return numbers[which].astype(np.int32)
+
+    def _tokens(self, text: str) -> tuple[list[int], list[int]]:
+        """Ids of both; ``text`` starts with the blank that B puts in front, or with a newline."""
+        ids_b = self.b.encode(text[1:] if text[0] == " " else text)
+        if text[0] != " " and ids_b[:1] == [self.blank]:
+            ids_b = ids_b[1:]
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, ids_b
+
+    def _same(self, known: pa.Array, ids: np.ndarray, text: bytes) -> bool:
+        taken = known.take(pa.array(ids))
+        return len(ids) > 0 and taken.buffers()[2].to_pybytes()[: len(text) + 1] == text
+
+    def align_units(self, units: list[str], step: int) -> Aligned:
+        """Units that stand by themselves, tokenised ``step`` at a time."""
+        sides: tuple[list, list] = ([], [])
+        valid = np.ones(len(units), bool)
+        for at in range(0, len(units), step):
+            some = units[at : at + step]
+            text = "".join(some)
             whole = text.encode()
-            valid[k] = (
-                b"".join([self.a_bytes[i] for i in ids_a[k]]) == whole
-                and b"".join([self.b_bytes[i] for i in found[k]]) == whole
-            )
-            if not valid[k]:
-                ids_a[k], found[k] = [], []
-        n_a = np.array([len(x) for x in ids_a], np.int64)
-        n_b = np.array([len(x) for x in found], np.int64)
-        flat_a = np.array([i for x in ids_a for i in x], np.int64)
-        flat_b = np.array([i for x in found for i in x], np.int64)
-        ends_a = np.cumsum([len(self.a_bytes[i]) for i in flat_a.tolist()], dtype=np.int64)
-        ends_b = np.cumsum([len(self.b_bytes[i]) for i in flat_b.tolist()], dtype=np.int64)
-        ends = np.union1d(ends_a, ends_b)
-        which_a, which_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-        pairs = flat_a[which_a] * self.n_b + flat_b[which_b]
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        last_a, last_b = np.searchsorted(ends_a, shared) + 1, np.searchsorted(ends_b, shared) + 1
-        text_a = np.repeat(np.arange(n), n_a)
-        n_links = np.bincount(text_a[which_a], minlength=n)
-        n_groups = np.bincount(text_a[last_a - 1], minlength=n)
-        names_a, names_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        strings, i, j = [], 0, 0
-        for x, y in zip(last_a.tolist(), last_b.tolist()):
-            strings.append(",".join(names_a[i:x]) + "|" + ",".join(names_b[j:y]))
-            i, j = x, y
-        stop = np.cumsum(n_groups).tolist()
-        groups = [";".join(strings[s - c : s]).encode() for s, c in zip(stop, n_groups.tolist())]
-        return Aligned(n_a, n_b, n_groups, n_links, pairs, groups, valid)
-
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.known) + len(chunks) > self.most:
-            self._reset()
-        at = len(self.known)
-        self.parts.append(self.align_whole(chunks, [c[0] == " " for c in chunks]))
-        self.known.update(zip(chunks, range(at, at + len(chunks))))
-        self.joined = None
-
-    def _memory(self) -> Aligned:
-        if self.joined is None:
-            every = self.parts
-            self.joined = Aligned(
-                *[
-                    np.concatenate([getattr(p, f) for p in every])
-                    for f in ("n_a", "n_b", "n_groups", "n_links", "pairs")
-                ],
-                [g for p in every for g in p.groups],
-                np.concatenate([p.valid for p in every]),
-            )
-            self.joined.starts = np.cumsum(self.joined.n_links) - self.joined.n_links
-            self.parts = [self.joined]
-        return self.joined
+            ids = [np.array(x, np.int64) for x in self._tokens(text)]
+            if all(self._same(k, i, whole) for k, i in zip((self.a_bytes, self.b_bytes), ids)):
+                sides[0].append(ids[0])
+                sides[1].append(ids[1])
+            elif len(some) > 1:  # find those that do not come back
+                for k, unit in enumerate(some):
+                    alone = [np.array(x, np.int64) for x in self._tokens(unit)]
+                    good = [self._same(b, i, unit.encode()) for b, i in zip((self.a_bytes, self.b_bytes), alone)]
+                    valid[at + k] = all(good)
+                    if valid[at + k]:
+                        sides[0].append(alone[0])
+                        sides[1].append(alone[1])
+            else:
+                valid[at] = False
+        size = np.array([len(u.encode()) for u in units], np.int64) * valid
+        flat = [np.concatenate([np.zeros(0, np.int64), *s]) for s in sides]
+        return self._linked(*flat, np.cumsum(size), valid)
+
+    def _linked(self, a: np.ndarray, b: np.ndarray, stops: np.ndarray, valid: np.ndarray) -> Aligned:
+        """Tokens of units that stop at the bytes ``stops``, where tokens of both end."""
+        ends_a, ends_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        n = len(stops)
+        if not len(a):
+            zeros = np.zeros(n, np.int64)
+            empty = pa.array([b""] * n, pa.large_binary())
+            return Aligned(zeros, zeros, zeros, zeros, np.zeros(0, np.int32), empty, valid)
+        last_a = ends_b[np.searchsorted(ends_b, ends_a)] == ends_a
+        last_b = ends_a[np.searchsorted(ends_a, ends_b)] == ends_b
+        shared = ends_a[last_a]
+        # a link is where the bytes of two tokens stop being shared: at the next end of either
+        ends = np.sort(np.concatenate([ends_a, ends_b[~last_b]]), kind="stable")
+        pairs = a[np.searchsorted(ends_a, ends)] * self.n_b + b[np.searchsorted(ends_b, ends)]
+
+        def per_unit(at: np.ndarray) -> np.ndarray:
+            return np.diff(np.searchsorted(at, stops, "right"), prepend=0)
+
+        # tokens in the order of groups, A before B
+        of_a, of_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        upto_a = np.cumsum(np.bincount(of_a, minlength=len(shared)))
+        upto_b = np.cumsum(np.bincount(of_b, minlength=len(shared)))
+        signs = np.empty(len(a) + len(b), np.int64)
+        signs[np.arange(len(a)) + np.concatenate([[0], upto_b])[of_a]] = a + self.n_ids * last_a
+        signs[np.arange(len(b)) + upto_a[of_b]] = b + 2 * self.n_ids * last_b
+        strings = self.signs.take(pa.array(signs))
+        n_a, n_b = per_unit(ends_a), per_unit(ends_b)
+        cuts = np.frombuffer(strings.buffers()[1], np.int64)[np.concatenate([[0], np.cumsum(n_a + n_b)])]
+        groups = pa.Array.from_buffers(
+            pa.large_binary(), n, [None, pa.py_buffer(cuts.astype(np.int64)), strings.buffers()[2]]
+        )
+        return Aligned(n_a, n_b, per_unit(shared), per_unit(ends), self._numbered(pairs), groups, valid)
 
     def _of_plain(self, texts: pa.Array) -> Aligned:
         """Texts that are chunks: neither empty nor with white space at an end or two in a row."""
@@ -168,56 +240,29 @@ class Aligner:
         new = [w for w in words if w not in self.known]
         if new:
             if len(self.known) + len(new) > self.most:
-                self._reset()
+                self._drop_chunks()
                 new = words
-            self._learn(new)
-        memory = self._memory()
+            at = len(self.known)
+            learned = self.align_units(new, 2000)
+            self.memory = learned if self.memory is None else Aligned.join([self.memory, learned])
+            self.known.update(zip(new, range(at, at + len(new))))
         which = np.fromiter((self.known[w] for w in words), np.int64, len(words))
-        which = which[coded.indices.to_numpy(zero_copy_only=False)]
-
-        def per_text(values: np.ndarray) -> np.ndarray:
-            total = np.concatenate([[0], np.cumsum(values[which])])[ends]
-            return np.diff(total, prepend=0)
-
-        begins = np.concatenate([[0], ends[:-1]])
-        valid = per_text(~memory.valid) == 0
-        counts = memory.n_links[which]
-        total = np.cumsum(counts)
-        shift = memory.starts[which] - total + counts
-        pairs = memory.pairs[np.repeat(shift, counts) + np.arange(total[-1] if len(total) else 0)]
-        n_links = per_text(memory.n_links)
-        pairs = pairs[np.repeat(valid, n_links)]
-        strings = memory.groups
-        groups = [
-            b";".join([strings[k] for k in which[x:y].tolist()]) if good else b""
-            for x, y, good in zip(begins.tolist(), ends.tolist(), valid.tolist())
-        ]
-        columns = [per_text(v) * valid for v in (memory.n_a, memory.n_b, memory.n_groups, memory.n_links)]
-        return Aligned(*columns, pairs, groups, valid)
+        return self.memory.take(which[coded.indices.to_numpy(zero_copy_only=False)]).gather(ends)
 
     def align(self, texts: pa.Array) -> Aligned:
         """Space and text for each of ``texts``, none of them null or empty."""
         odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
         if not self.chunked:
             odd = np.ones(len(texts), bool)
-        plain = self._of_plain(texts.filter(pa.array(~odd))) if (~odd).any() else None
-        if plain is not None and not odd.any():
-            return plain
-        listed = [" " + t for t in texts.filter(pa.array(odd)).to_pylist()]
-        whole = self.align_whole(listed, [True] * len(listed))
-        if plain is None:
-            return whole
+        parts = []
+        if (~odd).any():
+            parts.append(self._of_plain(texts.filter(pa.array(~odd))))
+        if odd.any():
+            parts.append(self.align_units([" " + t for t in texts.filter(pa.array(odd)).to_pylist()], 1))
+        if len(parts) == 1:
+            return parts[0]
         place = np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))
-        both = [
-            np.concatenate([getattr(plain, f), getattr(whole, f)])[place]
-            for f in ("n_a", "n_b", "n_groups", "n_links")
-        ]
-        groups = plain.groups + whole.groups
-        pairs = np.empty(both[3].sum(), np.int64)
-        from_odd = np.repeat(odd, both[3])
-        pairs[from_odd], pairs[~from_odd] = whole.pairs, plain.pairs
-        valid = np.concatenate([plain.valid, whole.valid])[place]
-        return Aligned(*both, pairs, [groups[k] for k in place.tolist()], valid)
+        return Aligned.join(parts).take(place)
 
 
 @functools.lru_cache(maxsize=2)
@@ -248,59 +293,68 @@ def _from_planes(data: bytes) -> np.ndarray:
 def _align(path_a: str, path_b: str, window_bytes: int, with_groups: bool):
     """Texts (key, text, copies) to windows."""
 
-    def close(number: int, held: list[tuple]) -> pa.RecordBatch:
-        keys = pa.concat_arrays([k for k, _, _, _ in held])
-        copies = np.concatenate([c for _, c, _, _ in held])
+    def close(number: int, held: list[tuple], pairs: np.ndarray) -> pa.RecordBatch:
         n_links = np.concatenate([a.n_links for _, _, a, _ in held])
-        pairs, which, times = np.unique(
-            np.concatenate([a.pairs for _, _, a, _ in held]), return_inverse=True, return_counts=True
-        )
-        # frequent pairs get small numbers
-        order = np.argsort(-times, kind="stable")
-        rank = np.empty(len(order), np.int64)
+        times, weight = np.zeros(len(pairs), np.int64), np.zeros(len(pairs))
+        for _, copies, found, _ in held:
+            times += np.bincount(found.links, minlength=len(pairs))
+            weight += np.bincount(found.links, np.repeat(copies, found.n_links), minlength=len(pairs))
+        # the window's pairs, frequent ones first
+        order = np.argsort(-times, kind="stable")[: np.count_nonzero(times)]
+        rank = np.zeros(len(pairs), np.int64)
         rank[order] = np.arange(len(order))
-        weight = np.zeros(len(order), np.int64)
-        np.add.at(weight, rank[which], np.repeat(copies, n_links))
         # sums do not ask for the order of links, so a text's are sorted and kept as steps
-        text = np.repeat(np.arange(len(n_links)), n_links)
-        wide = max(len(order), 1)
-        ranked = np.sort(text * wide + rank[which]) - text * wide
-        steps = np.diff(ranked, prepend=0)
-        first = (np.cumsum(n_links) - n_links)[n_links > 0]
-        steps[first] = ranked[first]
+        steps = []
+        for _, _, found, _ in held:
+            text = np.repeat(np.arange(len(found.n_links)) * len(order), found.n_links)
+            ranked = np.sort(text + rank[found.links]) - text
+            first = (np.cumsum(found.n_links) - found.n_links)[found.n_links > 0]
+            step = np.diff(ranked, prepend=0)
+            step[first] = ranked[first]
+            steps.append(step.astype(np.uint32))
         lists = [
-            pa.array(np.concatenate([getattr(a, f) for _, _, a, _ in held]), pa.int64())
-            for f in ("n_a", "n_b", "n_groups", "n_links")
+            pa.array(np.concatenate([getattr(a, f) for _, _, a, _ in held]), pa.int64()) for f in Aligned.COUNTS
         ]
         groups = pa.array([g for _, _, _, gs in held for g in gs], pa.string())
         return pa.record_batch(
             [
-                pa.array([number]), _as_list(keys), *[_as_list(v) for v in lists], _as_list(groups),
-                pa.array([_planes(steps)], pa.binary()),
-                _as_list(pa.array(pairs[order], pa.int64())), _as_list(pa.array(weight, pa.int64())),
+                pa.array([number]), _as_list(pa.concat_arrays([k for k, _, _, _ in held])),
+                *[_as_list(v) for v in lists], _as_list(groups),
+                pa.array([_planes(np.concatenate(steps))], pa.binary()),
+                _as_list(pa.array(pairs[order], pa.int64())),
+                _as_list(pa.array(weight[order].astype(np.int64), pa.int64())),
             ],
             names=[c.split()[0] for c in _WINDOW.split(", ")],
         )
 
+    def strings(found: Aligned) -> list[str]:
+        """Of each text its groups, or their digest, without the last semicolon."""
+        data = memoryview(found.groups.buffers()[2] or b"")
+        at = np.frombuffer(found.groups.buffers()[1], np.int64)[: len(found.valid) + 1].tolist()
+        cut = [data[x : max(x, y - 1)] for x, y in zip(at, at[1:])]
+        return [
+            "" if not good else bytes(c).decode() if with_groups else hashlib.sha256(c).hexdigest()
+            for c, good in zip(cut, (found.n_a > 0).tolist())
+        ]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
+        tool = aligner(path_a, path_b)
         held, size = [], 0
         for batch in batches:
-            for part in slices(batch, 1, min(4_000_000, window_bytes)):
-                found = aligner(path_a, path_b).align(part.column(1))
-                groups = [
-                    (g.decode() if with_groups else hashlib.sha256(g).hexdigest()) if good else ""
-                    for g, good in zip(found.groups, found.valid.tolist())
-                ]
-                found.groups = []
-                copies = part.column(2).to_numpy(zero_copy_only=False)
-                held.append((part.column(0), copies, found, groups))
+            for part in slices(batch, 1, min(2_000_000, window_bytes)):
+                found = tool.align(part.column(1))
+                groups = strings(found)
+                found.groups = None
+                held.append((part.column(0), part.column(2).to_numpy(zero_copy_only=False), found, groups))
                 size += part.column(1).nbytes
-                if size >= window_bytes:
-                    yield close(number, held)
+                if size >= window_bytes or len(tool.pairs) > MOST_PAIRS:
+                    yield close(number, held, tool.pairs)
                     held, size, number = [], 0, number + 1
+                    if len(tool.pairs) > MOST_PAIRS:
+                        tool.forget()
         if held:
-            yield close(number, held)
+            yield close(number, held, tool.pairs)
 
     return run
 
@@ -357,7 +411,7 @@ class CrossAlignment:
         text_col: str = "text",
         path_a: str | None = None,
         path_b: str | None = None,
-        window_bytes: int = 16_000_000,
+        window_bytes: int = 8_000_000,
         with_groups: bool = False,
     ):
         spark = docs.sparkSession

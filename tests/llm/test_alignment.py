@@ -77,7 +77,7 @@ def texts():
     return rows + rows[:40] + [(500, "the same text")] * 60
 
 
-@pytest.mark.parametrize("window", [16_000_000, 300])
+@pytest.mark.parametrize("window", [8_000_000, 300])
 def test_against_brute_force(spark, both, window):
     rows = texts()
     docs = spark.createDataFrame([(*r, "k", 1, 2) for r in rows], "doc_id long, text string, key string, `a.b` int, n_a int")
@@ -98,7 +98,7 @@ def test_the_memory_of_chunks_is_only_a_cache(both):
     for part in range(3):
         batch = pa.array([t for _, t in texts() if t][part::3])
         x, y = small.align(batch), large.align(batch)
-        assert x.groups == y.groups and (x.pairs == y.pairs).all() and (x.n_links == y.n_links).all()
+        assert x.groups.to_pylist() == y.groups.to_pylist() and (small.pairs[x.links] == large.pairs[y.links]).all() and (x.n_links == y.n_links).all()
 
 
 def test_empty_tables(spark, tmp_path):
