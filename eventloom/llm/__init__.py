@@ -1,8 +1,8 @@
 """Operators for training-data pipelines; nothing else in the library imports them."""
 
-from . import alignment, backoff, chosen_path, cover_tree, dedup, huffman, importance, licenses, mixing, packing, runs, secrets
+from . import alignment, backoff, chosen_path, cover_tree, dedup, huffman, importance, licenses, mixing, packing, runs, secrets, sharding
 
-_MODULES = (alignment, backoff, chosen_path, cover_tree, dedup, huffman, importance, licenses, mixing, packing, runs, secrets)
+_MODULES = (alignment, backoff, chosen_path, cover_tree, dedup, huffman, importance, licenses, mixing, packing, runs, secrets, sharding)
 
 
 def queries():

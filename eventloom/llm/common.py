@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import discard, scratch_path
 
-__all__ = ["discard", "documents", "keep_table", "scratch_path", "ship"]
+__all__ = ["discard", "documents", "drop_table", "keep_table", "scratch_path", "ship"]
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -23,12 +23,20 @@ def keep_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     This cuts the lineage: a lost executor later costs a read, not the work before.
-    The table stays until the folder is cleaned, since results are read lazily.
+    The table stays until ``drop_table`` or until the folder is cleaned, since results are
+    read lazily.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def drop_table(kept: DataFrame) -> None:
+    """Delete a table of ``keep_table`` that nothing reads any more."""
+    discard(kept.sparkSession, kept.kept_at)
 
 
 def ship(spark: SparkSession) -> None:
