@@ -81,6 +81,7 @@ def resolve_by_distinct_keys(
     value: str = "goc_id",
     unique: bool = False,
     max_hot_keys: int = 10_000,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The same result, looking every distinct player up once.
 
@@ -91,6 +92,9 @@ def resolve_by_distinct_keys(
     player, known or not, is hot above ``1 / max_hot_keys`` of all events, so no more than
     ``max_hot_keys`` can be.
 
+    ``buckets`` says that ``identity`` is bucketed by its key into so many.  The distinct
+    players are then dealt out alike and the identity side is joined as it lies.
+
     ``events`` is read more than once, so it must give the same rows each time, as
     files do.  Its first reading needs nothing but the keys.
     """
@@ -100,6 +104,8 @@ def resolve_by_distinct_keys(
     counted = (
         events.where(F.col("reason").isNull()).groupBy("player_key").agg(F.count("*").alias("n"))
     )
+    if buckets is not None:
+        counted = counted.repartition(buckets, "player_key")
     table = scratch_path(spark, "player-pairs")
     lookup = _lookup(identity, key, value, unique)
     counted.join(lookup, "player_key", "left").select(

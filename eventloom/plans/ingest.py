@@ -10,6 +10,7 @@ lineage back to the raw text.
 from __future__ import annotations
 
 import uuid
+from functools import partial
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -27,14 +28,15 @@ from ..operators.backlog import (
 )
 from ..operators.counts import ALERT_SCHEMA, alert_rows, hit_alerts, hour_counts
 from ..operators.identity import (
-    forward_entries, numeric_entries, resolve_ids, reverse_entries, unresolved_keys,
+    forward_entries, numeric_entries, resolve_by_distinct_keys, resolve_ids, reverse_entries,
+    unresolved_keys,
 )
 from ..operators.project import envelope_json, interpret
 from ..operators.route import PUBLISHED, QUARANTINE, UNRESOLVED, allow_users, early_allowlist, route
 from ..profiles import GameProfile
 from ..session import discard, prepare, scratch_path, scratch_scope
 from ..sinks.publish import drop_other_runs, write_by_run, write_rows
-from ..sources.identity import merge_identity, read_identity
+from ..sources.identity import identity_buckets, merge_identity, read_identity
 from ..sources.ledger import (
     append_hashes, bootstrap_hashes, read_hash_ledger, read_hour_ledger, read_watermark, replace_hour_cells,
     write_watermark,
@@ -100,6 +102,17 @@ def transform(
     return _routed(resolve(interpret(parsed, profile, types), identity, unique=unique), profile)
 
 
+def lookup_side(
+    spark: SparkSession, layout: Layout, resolve: Resolver = resolve_ids
+) -> tuple[DataFrame, Resolver]:
+    """The forward table as ``resolve`` takes it best: in its buckets for distinct players."""
+    buckets = None
+    if resolve is resolve_by_distinct_keys:
+        buckets = identity_buckets(spark, layout.forward)
+        resolve = partial(resolve, buckets=buckets)
+    return read_identity(spark, layout.forward, bucketed=buckets is not None), resolve
+
+
 def _routed(resolved: DataFrame, profile: GameProfile) -> DataFrame:
     return route(resolved).withColumns(
         {"game_id": F.lit(profile.game_id), "envelope": envelope_json(profile.game_id)}
@@ -331,7 +344,7 @@ def watermark_run(
 def _finish(
     spark, parsed, layout, profile, types, run, publish, resolve, gather
 ) -> DataFrame:
-    identity = read_identity(spark, layout.forward)
+    identity, resolve = lookup_side(spark, layout, resolve)
     routed = transform(parsed, profile, types, identity, resolve, unique=True)
     return finish_run(routed, layout, profile, run, publish, gather)
 

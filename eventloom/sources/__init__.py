@@ -1,5 +1,5 @@
 from .catalog import CatalogError, check_catalog, load_catalog, read_catalog
-from .identity import IDENTITY_SCHEMAS, merge_identity, read_identity
+from .identity import IDENTITY_SCHEMAS, ConcurrentUpdate, identity_buckets, merge_identity, read_identity, release_claim
 from .ledger import (
     append_hashes, bootstrap_hashes, read_hash_ledger, read_hour_ledger, read_watermark,
     replace_hour_cells, write_watermark,

@@ -13,9 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.paths import date_hour_of_path
 from ..operators.identity import resolve_ids
-from ..plans.ingest import LINES, Framing, Layout, Resolver, Sink, finish_run, transform
+from ..plans.ingest import LINES, Framing, Layout, Resolver, Sink, finish_run, lookup_side, transform
 from ..profiles import GameProfile
-from ..sources.identity import read_identity
 from ..session import prepare, scratch_scope
 
 
@@ -74,8 +73,8 @@ def run_incremental(
             raise RuntimeError("the streaming query has no id")
         run = f"stream-{query}-{batch_id}"
         with scratch_scope(session):
-            identity = read_identity(session, layout.forward)
-            routed = transform(batch, profile, types, identity, resolve, unique=True)
+            identity, lookup = lookup_side(session, layout, resolve)
+            routed = transform(batch, profile, types, identity, lookup, unique=True)
             finish_run(routed, layout, profile, run, publish, gather)
 
     return (
