@@ -1,6 +1,6 @@
 from .ingest import (
     LINES, RECORDS, Framing, Layout, Sink, UnresolvedIds, backfill_run, finish_run, hash_ledger_run,
-    hour_ledger_run, parked_rows, register, replay, seed_hash_ledger, text_sink, transform,
+    hour_ledger_run, parked_rows, published_rows, register, replay, seed_hash_ledger, text_sink, transform,
     watermark_run,
 )
 

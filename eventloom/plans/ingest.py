@@ -42,6 +42,9 @@ from ..sources.ledger import (
     write_watermark,
 )
 from ..sources.listing import list_files, list_hours, raw_directory
+from ..sources.runs import (
+    FINISHED_SCHEMA, begin_runs, counting_rows, is_finished, read_runs, record_finished, taken_runs,
+)
 from ..sources.packets import packet_fields, parse_packets, read_lines, read_records
 
 
@@ -78,7 +81,7 @@ class Layout:
     def __getattr__(self, name: str) -> str:
         if name in (
             "published", "unresolved", "quarantine", "counts", "alerts", "watermark",
-            "hash_ledger", "hour_ledger", "planned", "replayed", "stopped", "superseded", "forward",
+            "hash_ledger", "hour_ledger", "planned", "stopped", "begun", "finished", "forward",
             "reverse", "numeric",
         ):
             return f"{self.base.rstrip('/')}/{name}"
@@ -227,21 +230,6 @@ def finish_run(
     return spark.read.parquet(f"{layout.counts}/run={run}")
 
 
-def _supersede(spark: SparkSession, layout: Layout, run: str, hours: list[str]) -> None:
-    """Let a run over whole hours take the place of all that earlier runs left for them.
-
-    Their published text goes, and what they parked will not be replayed.
-    """
-    parked = _read_or_none(spark, layout.unresolved)
-    if parked is not None:
-        old = parked.where(
-            (F.col("run").cast("string") != run) & F.col("date_hour").isin(hours)
-        )
-        old = old.select(F.col("run").cast("string").alias("old_run"), "date_hour").distinct()
-        write_rows(old, layout.superseded, run)
-    drop_other_runs(spark, layout.published, run, hours)
-
-
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -311,14 +299,24 @@ def watermark_run(
 ) -> DataFrame:
     """Read the whole hours behind the watermark, then advance it.
 
-    Hours are published whole and take the place of what earlier runs published for them,
-    so a run that stopped before the watermark moved can simply be repeated.
+    Hours are published whole and take the place of what earlier runs published for them.  A
+    run that stopped before its output counted is repeated; one that stopped after that
+    just moves the watermark.
     """
     now = now or now_text()
     mark = read_watermark(spark, layout.watermark)
     run = f"after-{mark.replace('/', '')}"
 
+    def advance() -> DataFrame:
+        own = read_runs(spark, layout.finished, FINISHED_SCHEMA).where(F.col("run") == run)
+        hours = sorted(r.date_hour for r in own.where("date_hour IS NOT NULL").collect())
+        drop_other_runs(spark, layout.published, run, hours)
+        write_watermark(spark, hours[-1], layout.watermark)
+        return spark.read.parquet(f"{layout.counts}/run={run}")
+
     def work() -> DataFrame:
+        if is_finished(spark, layout.finished, run):
+            return advance()
         days = [mark[:10], following_day(mark[:10])]
         listed = list_hours(layout.listing(spark, days))
         # two days hold at most 48 hours: listed once, then planned from memory
@@ -332,11 +330,11 @@ def watermark_run(
             write_rows(lag, layout.alerts, f"{run}-lag")
             raise LagAlert(f"too few hours wait behind {mark}")
         pending = sorted(r.date_hour for r in due.collect())
+        begin_runs(spark, layout.begun, layout.finished, [run], "watermark")
         parsed = framing.parse(spark, layout.raw_hours(pending), profile, types)
-        counts = _finish(spark, parsed, layout, profile, types, run, publish, resolve, gather)
-        _supersede(spark, layout, run, pending)
-        write_watermark(spark, pending[-1], layout.watermark)
-        return counts
+        _finish(spark, parsed, layout, profile, types, run, publish, resolve, gather)
+        record_finished(spark, layout.finished, run, "watermark", pending)
+        return advance()
 
     return _guarded(spark, layout, run, work)
 
@@ -369,11 +367,13 @@ def backfill_run(
     For all users the hours are whole: they take the place of what earlier runs published
     for them.  A list-bound correction covers parts of hours, so it is added as a run of its
     own and leaves the hours' earlier output alone.  ``users`` has a column named as the
-    profile's ``lookup_field``, or else ``user_id``.
+    profile's ``lookup_field``, or else ``user_id``.  ``run`` must be a new name, or that of a
+    backfill that did not finish.
     """
     run = run or run_stamp()
 
     def work() -> DataFrame:
+        begin_runs(spark, layout.begun, layout.finished, [run], "backfill")
         wanted = backfill_hours(spark, first_day, last_day, watermark)
         hours = [r.date_hour for r in wanted.collect()]
         listing = layout.listing(spark, hours)
@@ -386,8 +386,9 @@ def backfill_run(
             key = profile.lookup_field
             parsed = allow_users(parsed, users, key, key if key in users.columns else "user_id")
         counts = _finish(spark, parsed, layout, profile, types, run, publish, resolve, gather)
-        if users is None:
-            _supersede(spark, layout, run, present)
+        whole = present if users is None else []
+        record_finished(spark, layout.finished, run, "backfill", whole)
+        drop_other_runs(spark, layout.published, run, whole)
         return counts
 
     return _guarded(spark, layout, run, work)
@@ -526,8 +527,10 @@ def _ledger_run(
         # a slice of the backlog; Spark's own file index keeps the same list on the driver
         paths = [r.path for r in files.where("NOT processed").select("path").collect()]
         if paths:
-            parsed = framing.parse(spark, paths, profile, types)
-            _finish(spark, parsed, layout, profile, types, name, publish, resolve, gather)
+            if not is_finished(spark, layout.finished, name):
+                parsed = framing.parse(spark, paths, profile, types)
+                _finish(spark, parsed, layout, profile, types, name, publish, resolve, gather)
+                record_finished(spark, layout.finished, name, "ledger")
             record(files)
             finished.append(name)
 
@@ -535,20 +538,17 @@ def _ledger_run(
 
     def begin(name: str) -> list[str]:
         """Write down the slices of a new run, and their names."""
-        if not _unread(spark, f"{planned}/run={name}").isEmpty():
-            # not noted as unfinished, so all its output is in place
-            raise ValueError(f"run {name} exists already; its output would be replaced")
+        begin_runs(spark, layout.begun, layout.finished, [name], "ledger")
         files = stage(plan(), "planned")
-        names = []
-        for hours in _slices(files, slice_files):
-            names.append(name if not names else f"{name}-{len(names) + 1}")
-            write_rows(files.where(F.col("date_hour").isin(hours)), planned, names[-1])
+        slices = _slices(files, slice_files)
+        names = [name if i == 0 else f"{name}-{i + 1}" for i in range(len(slices))]
+        begin_runs(spark, layout.begun, layout.finished, names, "ledger")
+        for part, hours in zip(names, slices):
+            write_rows(files.where(F.col("date_hour").isin(hours)), planned, part)
         write_watermark(spark, ",".join(names), note)
         return names
 
     name = run or run_stamp()
-    if "," in name or "/" in name:
-        raise ValueError(f"run names hold no commas and slashes: {name!r}")
     for old in _guarded(spark, layout, name, lambda: _unfinished(spark, planned, note, left)):
         _guarded(spark, layout, old, lambda old=old: complete(old))
     if name not in finished:
@@ -557,11 +557,6 @@ def _ledger_run(
     return finished
 
 
-def _unread(spark: SparkSession, path: str) -> DataFrame:
-    files = _read_or_none(spark, path)
-    return spark.range(0) if files is None else files.where("NOT processed")
-
-
 def _slices(files: DataFrame, slice_files: int) -> list[list[str]]:
     """Whole hours in order, as many to a slice as its number of files allows."""
     counts = files.groupBy("date_hour").agg(F.count("*").alias("n")).orderBy("date_hour")
@@ -595,20 +590,31 @@ def _unfinished(spark: SparkSession, planned: str, note: str, left) -> list[str]
 # -- registration and replay -----------------------------------------------------
 
 
-def _parked(spark: SparkSession, layout: Layout, run: str | None = None) -> DataFrame | None:
-    """Parked rows of runs that no replay but ``run`` has taken up, less replaced hours."""
+def _parked(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    """Parked rows that count and that no finished replay has taken up."""
     parked = _read_or_none(spark, layout.unresolved)
     if parked is None:
         return None
-    parked = parked.withColumn("run", F.col("run").cast("string"))
-    if run is not None:
-        parked = parked.where(F.col("run") != run)
-    parked = parked.join(read_replayed(spark, layout.replayed), "run", "left_anti")
-    gone = _read_or_none(spark, layout.superseded)
-    if gone is None:
-        return parked
-    gone = gone.select(F.col("old_run").alias("run"), "date_hour")
-    return parked.join(gone, ["run", "date_hour"], "left_anti")
+    parked = counting_rows(spark, layout.finished, parked.withColumn("run", F.col("run").cast("string")))
+    return parked.join(taken_runs(spark, layout.finished), "run", "left_anti")
+
+
+def published_rows(spark: SparkSession, layout: Layout) -> DataFrame:
+    """value, run, date_hour: the published text that counts, each row of it once.
+
+    Safe to read at any time: a run's rows are seen when it is finished, and those of the
+    runs whose hours it replaces are not seen from then on.
+    """
+    try:
+        text = spark.read.schema("value string, run string, date string, hour string").text(layout.published)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "value string, run string, date_hour string")
+    rows = text.select(
+        "value", "run", F.concat_ws("/", F.translate("date", "-", "/"), "hour").alias("date_hour")
+    )
+    return counting_rows(spark, layout.finished, rows)
 
 
 def parked_rows(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -656,11 +662,12 @@ def replay(
 ) -> DataFrame:
     """Publish parked rows whose players have an id by now; park the rest again.
 
-    Repeat a replay that stopped half-way under the same ``run``.
+    Repeat a replay that stopped half-way under the same ``run``; another needs a new name.
     """
 
     def work() -> DataFrame:
-        parked = _parked(spark, layout, run)
+        begin_runs(spark, layout.begun, layout.finished, [run], "replay")
+        parked = _parked(spark, layout)
         if parked is None:
             raise LagAlert("nothing was parked yet")
         parked = stage(parked, "parked")
@@ -668,16 +675,7 @@ def replay(
         routed = _routed(resolve_ids(parked.drop("run"), identity, unique=True), profile)
         taken = stage(parked.select("run").distinct(), "taken")
         counts = finish_run(routed, layout, profile, run, publish, gather)
-        taken.coalesce(1).write.mode("append").parquet(layout.replayed)
+        record_finished(spark, layout.finished, run, "replay", took=taken)
         return counts
 
     return _guarded(spark, layout, run, work)
-
-
-def read_replayed(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema("run string").parquet(path).distinct()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], "run string")
-        raise

@@ -8,5 +8,6 @@ from .listing import list_files, list_hours, raw_directory
 from .packets import (
     packet_fields, parse_packets, read_json_events, read_lines, read_records,
 )
+from .runs import RunNameUsed, counting_rows, finished_runs
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -16,6 +16,7 @@ from ..operators.identity import resolve_ids
 from ..plans.ingest import LINES, Framing, Layout, Resolver, Sink, finish_run, lookup_side, transform
 from ..profiles import GameProfile
 from ..session import prepare, scratch_scope
+from ..sources.runs import begin_runs, is_finished, record_finished
 
 
 def stream_lines(
@@ -72,10 +73,14 @@ def run_incremental(
         if query is None:
             raise RuntimeError("the streaming query has no id")
         run = f"stream-{query}-{batch_id}"
+        if is_finished(session, layout.finished, run):
+            return  # all of it is in place; only Spark's own note of it was lost
+        begin_runs(session, layout.begun, layout.finished, [run], "stream")
         with scratch_scope(session):
             identity, lookup = lookup_side(session, layout, resolve)
             routed = transform(batch, profile, types, identity, lookup, unique=True)
             finish_run(routed, layout, profile, run, publish, gather)
+        record_finished(session, layout.finished, run, "stream")
 
     return (
         parsed.writeStream.foreachBatch(ingest)
