@@ -150,7 +150,8 @@ def _round(members, places, sizes, votes, quotas, salt) -> DataFrame:
     )
     earlier = rank.rowsBetween(Window.unboundedPreceding, -1)
     upto = rank.rowsBetween(Window.unboundedPreceding, 0)
-    homes = (
+    # as a table, so that the join with it can split a link with very many documents
+    homes = keep_table(
         votes.join(sizes, "link")
         .withColumn("room", room)
         .withColumn("before", F.coalesce(F.sum("room").over(earlier), F.lit(0)))
@@ -163,7 +164,8 @@ def _round(members, places, sizes, votes, quotas, salt) -> DataFrame:
             F.array_sort(F.collect_list(F.struct("rank", "shard", "upto", "held"))).alias("homes"),
             F.max("upto").alias("wanted"),
         )
-        .where(F.col("wanted") > 0)
+        .where(F.col("wanted") > 0),
+        "shard-homes",
     )
     # documents outside the homes are shared out by what each home has room for
     chance = F.pmod(F.xxhash64(salt, "node"), F.lit(1 << 40)) / float(1 << 40)
@@ -208,6 +210,7 @@ def _round(members, places, sizes, votes, quotas, salt) -> DataFrame:
         "shard-places",
     )
     drop_table(moves)
+    drop_table(homes)
     return after
 
 
