@@ -12,7 +12,7 @@ from eventloom.operators.route import early_allowlist
 from eventloom.sinks.publish import hour_columns
 from eventloom.sources import (
     append_hashes, bootstrap_hashes, list_files, merge_identity, packet_fields, parse_packets,
-    read_catalog, read_hash_ledger, read_hour_ledger, read_identity, read_json_events, read_lines,
+    read_catalog, read_hash_ledger, read_hour_ledger, read_identity, read_json_events, read_lines, read_listed,
     read_records, read_watermark, replace_hour_cells, write_watermark,
 )
 
@@ -34,7 +34,8 @@ def scan_file_list(spark, sf_dir):
     ledger = scratch_path(spark, "cells")
     replace_hour_cells(listing.where(F.col("date_hour") < st.CUT_OFF), ledger)
     unread = flag_unread(listing, read_hour_ledger(spark, ledger)).where("NOT processed")
-    lines = read_lines(spark, [r.path for r in unread.select("path").collect()])
+    hours = [r.date_hour for r in unread.select("date_hour").distinct().collect()]
+    lines = read_listed(spark, root, unread, hours, partitioned=True)
     return lines.groupBy("date_hour").agg(F.count("*").alias("lines"))
 
 

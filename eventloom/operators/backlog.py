@@ -135,6 +135,13 @@ def settled(listing: DataFrame, now: Column, minutes: int = SETTLE_MINUTES) -> D
     return listing.where(age > minutes)
 
 
+def settled_before(now: str, minutes: int = SETTLE_MINUTES) -> datetime:
+    """The time before which a file must be written to be settled at ``now``: the bound to
+    give to ``list_files``, which then lists exactly the files that ``settled`` keeps."""
+    moment = datetime.strptime(now, "%Y-%m-%d %H:%M:%S")
+    return moment - timedelta(minutes=minutes + 1) + timedelta(seconds=1)
+
+
 def unseen(listing: DataFrame, hashes: DataFrame) -> DataFrame:
     """Files whose path hash is not in the file ledger."""
     return (

@@ -41,6 +41,10 @@ def observe_routes(routed: DataFrame, name: str) -> tuple[DataFrame, Observation
         F.count_if(F.col("route") == route).alias(route)
         for route in (PUBLISHED, UNRESOLVED, QUARANTINE)
     ]
+    if "player_key" in routed.columns:
+        # an estimate, since an observed metric cannot count distinct players exactly
+        unknown = F.when(F.col("route") == UNRESOLVED, F.col("player_key"))
+        counts.append(F.approx_count_distinct(unknown).alias("hits"))
     return routed.observe(seen, *counts), seen
 
 

@@ -3,5 +3,6 @@ from .ingest import (
     hour_ledger_run, parked_rows, published_rows, register, replay, seed_hash_ledger, text_sink, transform,
     watermark_run,
 )
+from .merge import merge_small_files, published_files
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -24,9 +24,9 @@ from ..functions.text import PACKET_SEPARATOR, RECORD_SEPARATOR
 from ..operators.backlog import (
     FEWEST_HOURS_AFTER_WATERMARK, FEWEST_PENDING_HOURS, HASH_LEDGER_HORIZON_HOURS,
     HOUR_LEDGER_HORIZON_HOURS, LagAlert, backfill_hours, flag_unread, following_day, horizon,
-    hours_after, lag_rows, next_day_hours, pending_hours, settled, unseen, with_unread_hours,
+    hours_after, lag_rows, next_day_hours, pending_hours, settled_before, unseen, with_unread_hours,
 )
-from ..operators.counts import ALERT_SCHEMA, alert_rows, hit_alerts, hour_counts
+from ..operators.counts import ALERT_SCHEMA, alert_rows, hit_alerts, hour_counts, observe_routes
 from ..operators.identity import (
     forward_entries, numeric_entries, resolve_by_distinct_keys, resolve_ids, reverse_entries,
     unresolved_keys,
@@ -45,14 +45,18 @@ from ..sources.listing import list_files, list_hours, raw_directory
 from ..sources.runs import (
     FINISHED_SCHEMA, begin_runs, counting_rows, is_finished, read_runs, record_finished, taken_runs,
 )
-from ..sources.packets import packet_fields, parse_packets, read_lines, read_records
+from ..sources.packets import packet_fields, parse_packets, read_lines, read_listed, read_records
 
 
 Resolver = Callable[..., DataFrame]
 # Called with the published rows and the name of the run.
 Sink = Callable[[DataFrame, str], None]
 
-# Files a ledger run takes up in one go, in whole hours; a longer backlog takes several.
+# Called with the name of a run and its live counts.
+Progress = Callable[[str, dict], None]
+
+# Files a ledger run takes up in one go; a longer backlog takes several.  The list of one goes
+# to every task, a few megabytes at this number.
 SLICE_FILES = 50_000
 
 
@@ -75,8 +79,10 @@ class Layout:
         root = self.raw.rstrip("/")
         return [f"{root}/{raw_directory(hour, self.partitioned)}" for hour in hours]
 
-    def listing(self, spark: SparkSession, parts: list[str]) -> DataFrame:
-        return list_files(spark, self.raw, parts, self.partitioned)
+    def listing(
+        self, spark: SparkSession, parts: list[str], before: datetime | None = None
+    ) -> DataFrame:
+        return list_files(spark, self.raw, parts, self.partitioned, before)
 
     def __getattr__(self, name: str) -> str:
         if name in (
@@ -162,11 +168,16 @@ def _guarded(spark: SparkSession, layout: Layout, run: str, work: Callable):
     except LagAlert:
         raise
     except Exception as error:
-        failed = spark.createDataFrame([("run", "", "failed", 1, [str(error)])], ALERT_SCHEMA)
-        write_rows(failed, layout.alerts, f"{run}-failed")
+        write_failure(spark, layout, run, "run", str(error))
         raise
 
 
+def write_failure(spark: SparkSession, layout: Layout, run: str, stage: str, message: str) -> None:
+    """Leave the alert row of a run or query that failed."""
+    failed = spark.createDataFrame([(stage, "", "failed", 1, [message])], ALERT_SCHEMA)
+    write_rows(failed, layout.alerts, f"{run}-failed")
+
+
 def _sinks(
     layout: Layout, publish: Sink | Sequence[Sink] | None, gather: bool = True
 ) -> list[Sink]:
@@ -188,9 +199,14 @@ def finish_run(
     run: str,
     publish: Sink | Sequence[Sink] | None = None,
     gather: bool = True,
+    progress: Progress | None = None,
 ) -> DataFrame:
     """Stage, check, publish, set aside, count.  Returns the counts per hour.
 
+    ``progress`` is called with the name of the run and its rows by route, and the players
+    among them that have no id, as soon as they are staged.  They are counted as rows pass,
+    without a job of their own; a repeated task may count again, so records use the staged rows.
+
     The staging table holds each text once: the envelope is spliced around it on reading.
     It is dropped at the end, also when a step fails.
 
@@ -202,7 +218,12 @@ def finish_run(
     path = scratch_path(spark, "routed")
     rows = routed.drop("envelope")
     try:
+        seen = None
+        if progress is not None:
+            rows, seen = observe_routes(rows, f"routes-{uuid.uuid4().hex}")
         rows.write.partitionBy("route").parquet(path)
+        if seen is not None:
+            progress(run, seen.get)
         staged = spark.read.schema(rows.schema).parquet(path)
         staged = staged.withColumn("envelope", envelope_json(F.col("game_id")))
         unresolved = staged.where(F.col("route") == UNRESOLVED)
@@ -271,6 +292,20 @@ class Framing:
         )
         return self.packets(lines, profile, types)
 
+    def parse_listed(
+        self,
+        spark: SparkSession,
+        layout: Layout,
+        files: DataFrame,
+        hours: list[str],
+        profile: GameProfile,
+        types: Mapping[str, str],
+    ) -> DataFrame:
+        lines = read_listed(
+            spark, layout.raw, files, hours, layout.partitioned, self.record, self.partitions
+        )
+        return self.packets(lines, profile, types)
+
     def packets(
         self, lines: DataFrame, profile: GameProfile, types: Mapping[str, str]
     ) -> DataFrame:
@@ -296,6 +331,7 @@ def watermark_run(
     framing: Framing = LINES,
     resolve: Resolver = resolve_ids,
     gather: bool = True,
+    progress: Progress | None = None,
 ) -> DataFrame:
     """Read the whole hours behind the watermark, then advance it.
 
@@ -309,7 +345,7 @@ def watermark_run(
 
     def advance() -> DataFrame:
         own = read_runs(spark, layout.finished, FINISHED_SCHEMA).where(F.col("run") == run)
-        hours = sorted(r.date_hour for r in own.where("date_hour IS NOT NULL").collect())
+        hours = sorted(r.date_hour for r in own.where("date_hour IS NOT NULL AND took IS NULL").collect())
         drop_other_runs(spark, layout.published, run, hours)
         write_watermark(spark, hours[-1], layout.watermark)
         return spark.read.parquet(f"{layout.counts}/run={run}")
@@ -332,7 +368,7 @@ def watermark_run(
         pending = sorted(r.date_hour for r in due.collect())
         begin_runs(spark, layout.begun, layout.finished, [run], "watermark")
         parsed = framing.parse(spark, layout.raw_hours(pending), profile, types)
-        _finish(spark, parsed, layout, profile, types, run, publish, resolve, gather)
+        _finish(spark, parsed, layout, profile, types, run, publish, resolve, gather, progress)
         record_finished(spark, layout.finished, run, "watermark", pending)
         return advance()
 
@@ -340,11 +376,11 @@ def watermark_run(
 
 
 def _finish(
-    spark, parsed, layout, profile, types, run, publish, resolve, gather
+    spark, parsed, layout, profile, types, run, publish, resolve, gather, progress=None
 ) -> DataFrame:
     identity, resolve = lookup_side(spark, layout, resolve)
     routed = transform(parsed, profile, types, identity, resolve, unique=True)
-    return finish_run(routed, layout, profile, run, publish, gather)
+    return finish_run(routed, layout, profile, run, publish, gather, progress)
 
 
 def backfill_run(
@@ -361,6 +397,7 @@ def backfill_run(
     resolve: Resolver = resolve_ids,
     run: str | None = None,
     gather: bool = True,
+    progress: Progress | None = None,
 ) -> DataFrame:
     """Read days again, for all users or for those in a list.
 
@@ -385,7 +422,7 @@ def backfill_run(
         if users is not None:
             key = profile.lookup_field
             parsed = allow_users(parsed, users, key, key if key in users.columns else "user_id")
-        counts = _finish(spark, parsed, layout, profile, types, run, publish, resolve, gather)
+        counts = _finish(spark, parsed, layout, profile, types, run, publish, resolve, gather, progress)
         whole = present if users is None else []
         record_finished(spark, layout.finished, run, "backfill", whole)
         drop_other_runs(spark, layout.published, run, whole)
@@ -431,6 +468,7 @@ def hash_ledger_run(
     settle_minutes: int | None = None,
     slice_files: int = SLICE_FILES,
     gather: bool = True,
+    progress: Progress | None = None,
 ) -> list[str]:
     """Read the files of the last hours whose path hash is not in the ledger.
 
@@ -447,9 +485,8 @@ def hash_ledger_run(
 
     def plan() -> DataFrame:
         hours = horizon(until, horizon_hours)
-        listing = layout.listing(spark, hours)
-        if settle_minutes is not None:
-            listing = settled(listing, F.to_timestamp(F.lit(now)), settle_minutes)
+        before = None if settle_minutes is None else settled_before(now, settle_minutes)
+        listing = layout.listing(spark, hours, before)
         files = unseen(listing, ledger(sorted({h[:10] for h in hours})))
         return files.withColumn("processed", F.lit(False))
 
@@ -461,7 +498,7 @@ def hash_ledger_run(
 
     return _ledger_run(
         spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run,
-        slice_files, gather,
+        slice_files, gather, progress,
     )
 
 
@@ -484,6 +521,7 @@ def hour_ledger_run(
     run: str | None = None,
     slice_files: int = SLICE_FILES,
     gather: bool = True,
+    progress: Progress | None = None,
 ) -> list[str]:
     """Read the settled files of the last hours that their hour's cell lacks.
 
@@ -495,9 +533,7 @@ def hour_ledger_run(
 
     def plan() -> DataFrame:
         hours = horizon(until, horizon_hours)
-        listing = settled(
-            layout.listing(spark, hours), F.to_timestamp(F.lit(now))
-        )
+        listing = layout.listing(spark, hours, settled_before(now))
         cells = read_hour_ledger(
             spark, layout.hour_ledger, sorted({h[:10] for h in hours})
         )
@@ -512,24 +548,24 @@ def hour_ledger_run(
 
     return _ledger_run(
         spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run,
-        slice_files, gather,
+        slice_files, gather, progress,
     )
 
 
 def _ledger_run(
     spark, layout, profile, types, planned, plan, left, record, publish, framing, resolve, run,
-    slice_files, gather,
+    slice_files, gather, progress,
 ) -> list[str]:
     finished = []
 
     def complete(name: str) -> None:
-        files = spark.read.parquet(f"{planned}/run={name}")
-        # a slice of the backlog; Spark's own file index keeps the same list on the driver
-        paths = [r.path for r in files.where("NOT processed").select("path").collect()]
-        if paths:
+        files = _planned(spark, planned, name)
+        unread = files.where("NOT processed")
+        hours = sorted(r.date_hour for r in unread.select("date_hour").distinct().collect())
+        if hours:
             if not is_finished(spark, layout.finished, name):
-                parsed = framing.parse(spark, paths, profile, types)
-                _finish(spark, parsed, layout, profile, types, name, publish, resolve, gather)
+                parsed = framing.parse_listed(spark, layout, unread, hours, profile, types)
+                _finish(spark, parsed, layout, profile, types, name, publish, resolve, gather, progress)
                 record_finished(spark, layout.finished, name, "ledger")
             record(files)
             finished.append(name)
@@ -543,8 +579,8 @@ def _ledger_run(
         slices = _slices(files, slice_files)
         names = [name if i == 0 else f"{name}-{i + 1}" for i in range(len(slices))]
         begin_runs(spark, layout.begun, layout.finished, names, "ledger")
-        for part, hours in zip(names, slices):
-            write_rows(files.where(F.col("date_hour").isin(hours)), planned, part)
+        for part, piece in zip(names, slices):
+            write_rows(piece.of(files), planned, part)
         write_watermark(spark, ",".join(names), note)
         return names
 
@@ -557,17 +593,51 @@ def _ledger_run(
     return finished
 
 
-def _slices(files: DataFrame, slice_files: int) -> list[list[str]]:
-    """Whole hours in order, as many to a slice as its number of files allows."""
-    counts = files.groupBy("date_hour").agg(F.count("*").alias("n")).orderBy("date_hour")
-    slices: list[list[str]] = []
+def _planned(spark: SparkSession, planned: str, name: str) -> DataFrame:
+    """The files of a run as it wrote them down."""
+    return spark.read.parquet(planned).where(F.col("run").cast("string") == name).drop("run")
+
+
+@dataclass(frozen=True)
+class _Slice:
+    """Whole hours, or one of the pieces of an hour that has too many unread files.
+
+    Pieces are read one after another: those before count as read, those after are left out.
+    So a cell that is replaced holds what has been read by then.
+    """
+
+    hours: list[str]
+    piece: int = 0
+    pieces: int = 1
+
+    def of(self, files: DataFrame) -> DataFrame:
+        rows = files.where(F.col("date_hour").isin(self.hours))
+        if self.pieces == 1:
+            return rows
+        place = F.pmod(F.xxhash64("path"), F.lit(self.pieces))
+        return rows.where(F.col("processed") | (place <= self.piece)).withColumn(
+            "processed", F.col("processed") | (place < self.piece)
+        )
+
+
+def _slices(files: DataFrame, slice_files: int) -> list[_Slice]:
+    """The unread files in order of hours, about as many to a slice as it may hold."""
+    counts = (
+        files.groupBy("date_hour").agg(F.count_if(~F.col("processed")).alias("n")).orderBy("date_hour")
+    )
+    slices: list[_Slice] = []
     held = 0
     for row in counts.collect():  # a row per hour of the horizon
-        if not slices or held + row.n > slice_files:
-            slices.append([])
-            held = 0
-        slices[-1].append(row.date_hour)
-        held += row.n
+        if row.n > slice_files:
+            pieces = -(-row.n // slice_files)
+            slices += [_Slice([row.date_hour], i, pieces) for i in range(pieces)]
+            held = slice_files
+        elif not slices or held + row.n > slice_files:
+            slices.append(_Slice([row.date_hour]))
+            held = row.n
+        else:
+            slices[-1].hours.append(row.date_hour)
+            held += row.n
     return slices
 
 
@@ -581,7 +651,7 @@ def _unfinished(spark: SparkSession, planned: str, note: str, left) -> list[str]
         raise
     found = []
     for name in filter(None, names):
-        files = spark.read.parquet(f"{planned}/run={name}")
+        files = _planned(spark, planned, name)
         if not left(files.where("NOT processed")).isEmpty():
             found.append(name)
     return found
@@ -614,7 +684,7 @@ def published_rows(spark: SparkSession, layout: Layout) -> DataFrame:
     rows = text.select(
         "value", "run", F.concat_ws("/", F.translate("date", "-", "/"), "hour").alias("date_hour")
     )
-    return counting_rows(spark, layout.finished, rows)
+    return counting_rows(spark, layout.finished, rows, text=True)
 
 
 def parked_rows(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +77,14 @@ def drop_other_runs(spark: SparkSession, path: str, run: str, hours: list[str])
             system.delete(folder, True)
 
 
+def drop_hours_of_runs(spark: SparkSession, path: str, pairs: Iterable[tuple[str, str]]) -> None:
+    """Delete what ``write_by_run`` wrote for these (run, date_hour)."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    for run, hour in pairs:
+        folder = jvm.Path(f"{path}/run={run}/date={hour[:10].replace('/', '-')}/hour={hour[-2:]}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_rows(rows: DataFrame, path: str, run: str) -> None:
     """Rows as Parquet under ``run=``; repeating a run replaces its directory."""
     rows.write.mode("overwrite").parquet(f"{path}/run={run}")

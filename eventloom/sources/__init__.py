@@ -6,7 +6,7 @@ from .ledger import (
 )
 from .listing import list_files, list_hours, raw_directory
 from .packets import (
-    packet_fields, parse_packets, read_json_events, read_lines, read_records,
+    packet_fields, parse_packets, read_json_events, read_lines, read_listed, read_records,
 )
 from .runs import RunNameUsed, counting_rows, finished_runs
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,14 +32,22 @@ def list_files(
     root: str,
     parts: Sequence[str] | None = None,
     partitioned: bool = False,
+    before: datetime | None = None,
+    after: datetime | None = None,
 ) -> DataFrame:
     """Files below ``root``, or only below the directories of the given days or hours.
 
+    Files modified at ``before`` or later, or at ``after`` or earlier (UTC), are left out by
+    the file index itself, so they take no part in anything that follows.
+
     Days and hours without a directory add nothing; if none exists the listing is empty.
     Only names and times are selected, so the file contents are pruned from the
     scan.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    for name, bound in (("modifiedBefore", before), ("modifiedAfter", after)):
+        if bound is not None:
+            reader = reader.option(name, bound.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
     if parts is None:
         target = root
     elif len(parts) == 0:

@@ -12,10 +12,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import date_hour_of_path
+from ..functions.paths import date_hour_of_path, day_of, hour_of
 from ..functions.text import PACKET_SEPARATOR, RECORD_SEPARATOR, packets_of
 from ..functions.values import PARSED_TYPE
 from ..profiles import GameProfile
+from .listing import raw_directory
 
 # The fields every packet may carry besides its attributes.
 ENVELOPE_FIELDS = ("event_type", "ts", "user_id", "numeric_user_id")
@@ -62,6 +63,45 @@ def _read_text(reader, paths: str | Sequence[str], partitions: int | None) -> Da
     return lines if partitions is None else lines.repartition(partitions)
 
 
+def read_listed(
+    spark: SparkSession,
+    root: str,
+    files: DataFrame,
+    hours: Sequence[str],
+    partitioned: bool = False,
+    separator: str | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """``(value, date_hour)`` of the listed files: a semi-join, so no path leaves Spark.
+
+    ``files`` has ``path`` and ``date_hour``, as a listing has them, for ``hours`` alone, and
+    goes to every task: keep it to a slice of a backlog.  Only the directories of ``hours``
+    are scanned; below a partitioned root the slice prunes them again as the job runs.
+    """
+    reader = spark.read if separator is None else spark.read.option("lineSep", separator)
+    folders = [f"{root.rstrip('/')}/{raw_directory(hour, partitioned)}" for hour in hours]
+    if not folders:
+        return spark.createDataFrame([], "value string, date_hour string")
+    # Spark escapes the paths of read files, but not those of listed ones; a plus is itself
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    if partitioned:
+        text = reader.option("basePath", root).schema("value string, date string, hour string").text(folders)
+        text = text.withColumn("path", path)
+        parts = {
+            "date": F.translate(day_of("date_hour"), "/", "-"),
+            "hour": hour_of("date_hour"),
+        }
+        chosen = files.select("path", *[c.alias(name) for name, c in parts.items()])
+        keys = ["date", "hour", "path"]
+    else:
+        text = reader.option("recursiveFileLookup", "true").text(folders).withColumn("path", path)
+        chosen, keys = files.select("path"), ["path"]
+    lines = text.join(F.broadcast(chosen), keys, "left_semi").select(
+        "value", date_hour_of_path("path").alias("date_hour")
+    )
+    return lines if partitions is None else lines.repartition(partitions)
+
+
 def parse_packets(
     lines: DataFrame,
     fields: Mapping[str, str],

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BEGUN_SCHEMA = "run string, kind string"
-# A row per run, one per hour it holds whole, and one per run whose parked rows it took up.
+# A row per run with neither hour nor ``took``; one per hour it holds whole; one per run, in
+# ``took``, whose parked rows it took up; one per run and hour whose text it holds instead.
 FINISHED_SCHEMA = "run string, kind string, number bigint, date_hour string, took string"
 
 
@@ -77,29 +78,39 @@ def record_finished(
     took: DataFrame | None = None,
 ) -> None:
     """Let a run's output count.  ``hours`` are those it holds whole; ``took`` has the runs
-    (column ``run``) whose parked rows it has taken up."""
+    (column ``run``) whose parked rows it has taken up or, with ``date_hour``, the runs and
+    hours whose text it holds in their stead."""
     number = 1 + (read_runs(spark, path, FINISHED_SCHEMA).agg(F.max("number")).first()[0] or 0)
     schema = FINISHED_SCHEMA.replace("run string, ", "")
     rows = [(kind, number, None, None), *[(kind, number, h, None) for h in sorted(set(hours))]]
     table = spark.createDataFrame(rows, schema)
     if took is not None:
+        hour = F.col("date_hour") if "date_hour" in took.columns else F.lit(None).cast("string")
         table = table.unionByName(
             took.select(
                 F.lit(kind).alias("kind"), F.lit(number).cast("bigint").alias("number"),
-                F.lit(None).cast("string").alias("date_hour"), F.col("run").alias("took"),
+                hour.alias("date_hour"), F.col("run").alias("took"),
             ).distinct()
         )
     # one file, so it is there whole or not at all
     table.coalesce(1).write.mode("overwrite").parquet(f"{path}/run={run}")
 
 
-def counting_rows(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+def counting_rows(spark: SparkSession, path: str, rows: DataFrame, text: bool = False) -> DataFrame:
     """Of ``rows`` (run, date_hour, ...) those that count: of finished runs, but for hours that
-    a run finished later holds whole."""
+    a run finished later holds whole and, of ``text``, for hours merged into another run."""
     table = read_runs(spark, path, FINISHED_SCHEMA)
     runs = finished_runs(spark, path).select("run", "number")
     # one row per run and one per hour: small beside the rows
-    whole = table.where("date_hour IS NOT NULL").groupBy("date_hour").agg(F.max("number").alias("last"))
+    whole = (
+        table.where("date_hour IS NOT NULL AND took IS NULL")
+        .groupBy("date_hour")
+        .agg(F.max("number").alias("last"))
+    )
+    if text:
+        merged = table.where("date_hour IS NOT NULL AND took IS NOT NULL")
+        merged = merged.select(F.col("took").alias("run"), "date_hour").distinct()
+        rows = rows.join(merged, ["run", "date_hour"], "left_anti").select(*rows.columns)
     return (
         rows.join(runs, "run")
         .join(whole, "date_hour", "left")
@@ -111,4 +122,4 @@ def counting_rows(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
 def taken_runs(spark: SparkSession, path: str) -> DataFrame:
     """run: those whose parked rows a finished replay has taken up."""
     table = read_runs(spark, path, FINISHED_SCHEMA)
-    return table.where("took IS NOT NULL").select(F.col("took").alias("run")).distinct()
+    return table.where("took IS NOT NULL AND date_hour IS NULL").select(F.col("took").alias("run")).distinct()

@@ -13,10 +13,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.paths import date_hour_of_path
 from ..operators.identity import resolve_ids
-from ..plans.ingest import LINES, Framing, Layout, Resolver, Sink, finish_run, lookup_side, transform
+from ..plans.ingest import (
+    LINES, Framing, Layout, Progress, Resolver, Sink, finish_run, lookup_side, transform,
+)
 from ..profiles import GameProfile
 from ..session import prepare, scratch_scope
 from ..sources.runs import begin_runs, is_finished, record_finished
+from .listener import query_name, watch
 
 
 def stream_lines(
@@ -53,10 +56,13 @@ def run_incremental(
     resolve: Resolver = resolve_ids,
     publish: Sink | Sequence[Sink] | None = None,
     gather: bool = True,
+    progress: Progress | None = None,
 ) -> StreamingQuery:
     """Start a query that reads everything unread in batches of ``max_files``, then stops.
 
-    Files must arrive by rename: the source reads each once and knows no settle rule.
+    Files must arrive by rename: the source reads each once, and Spark refuses the options
+    by which a batch listing leaves out unsettled files.  A query that fails leaves an alert
+    row, also when its source or its checkpoint is at fault.
 
     Each batch is a run named by query and batch number and replaces only its own
     directories, so a batch that Spark repeats after a failure is not duplicated.
@@ -79,11 +85,14 @@ def run_incremental(
         with scratch_scope(session):
             identity, lookup = lookup_side(session, layout, resolve)
             routed = transform(batch, profile, types, identity, lookup, unique=True)
-            finish_run(routed, layout, profile, run, publish, gather)
+            finish_run(routed, layout, profile, run, publish, gather, progress)
         record_finished(session, layout.finished, run, "stream")
 
+    watch(spark, layout)
+    name = query_name(layout, "ingest")
     return (
         parsed.writeStream.foreachBatch(ingest)
+        .queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
