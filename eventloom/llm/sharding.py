@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from .common import documents, drop_table, keep_table
 
-# Rows of a block; links above it move and are numbered in pieces of about this many rows.
+# Rows of a block of a running sum.
 BLOCK_ROWS = 4096
+# Links with more rows move and are numbered in pieces of about so many.
+PIECE_ROWS = 256
 BUCKETS = 1024
 _SUPER_BITS = 10
 
@@ -67,8 +69,8 @@ def _per_shard(values: list[int], shard) -> Column:
 
 
 def _piece(links: Column, node: str, count: str) -> Column:
-    """A key for each piece of a link; a piece has about ``BLOCK_ROWS`` rows."""
-    pieces = F.ceil(F.col(count) / BLOCK_ROWS)
+    """A key for each piece of a link; a piece has about ``PIECE_ROWS`` rows."""
+    pieces = F.ceil(F.col(count) / PIECE_ROWS)
     return F.xxhash64(links, F.pmod(F.xxhash64(F.lit(3), node), pieces))
 
 
