@@ -1,5 +1,6 @@
 """Streams with state and with sinks of their own; what they report."""
 
+import glob
 import os
 import time
 
@@ -7,6 +8,7 @@ import pytest
 from conftest import packet, put_file
 
 from eventloom.operators.identity import unresolved_keys
+from eventloom.operators.counts import ALERT_SCHEMA
 from eventloom.plans.ingest import hash_ledger_run, parked_rows
 from eventloom.streaming import STATE_STORE, run_incremental, stream_hour_counts, stream_topic, stream_worklist, watch
 from test_runs import HOURS, NOW, layout, published, want  # noqa: F401
@@ -18,8 +20,8 @@ START = 1704412800000  # 2024-01-05 00:00
 def alerts(spark, layout, kind, wait=30):
     """Alert rows, which a listener writes a little after the query."""
     for _ in range(wait * 4):
-        if os.path.isdir(layout.alerts):
-            found = spark.read.parquet(layout.alerts).where(f"kind = '{kind}'").collect()
+        if glob.glob(f"{layout.alerts}/run=*/_SUCCESS"):
+            found = spark.read.schema(ALERT_SCHEMA).parquet(layout.alerts).where(f"kind = '{kind}'").collect()
             if found:
                 return found
         time.sleep(0.25)
