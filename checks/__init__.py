@@ -1,8 +1,8 @@
 """Queries over the given tables, each with the SQL that must agree with it."""
 
-from . import aggregates, backlog, framing, joins, routing, runs, scans, sinks
+from . import aggregates, backlog, finished, framing, joins, routing, runs, scans, sinks, streams
 
-MODULES = (scans, framing, routing, backlog, joins, aggregates, sinks, runs)
+MODULES = (scans, framing, routing, backlog, joins, aggregates, sinks, runs, finished, streams)
 
 
 def all_queries():

@@ -11,7 +11,8 @@ from eventloom.operators.identity import (
 )
 from eventloom.operators.project import interpret
 from eventloom.plans.ingest import stage
-from eventloom.sources import packet_fields, parse_packets
+from eventloom import scratch_path
+from eventloom.sources import identity_buckets, merge_identity, packet_fields, parse_packets, read_identity
 from eventloom.sources.ledger import hash_entries
 
 from . import standins as st
@@ -94,6 +95,41 @@ def numeric_upsert(spark, sf_dir):
     return upsert(current, entered, "numeric_id")
 
 
+def _bucketed_identity(spark, sf_dir):
+    """The customers, then newly registered players and renewed ids, each as an update."""
+    path = scratch_path(spark, "identity")
+    merge_identity(st.identity(spark, sf_dir), path)
+    merge_identity(forward_entries(worklist(spark, sf_dir), _assigned(spark, sf_dir), 2), path)
+    return path
+
+
+def updated_identity_buckets(spark, sf_dir):
+    """Three updates in place; the last meets few players and rewrites their buckets only."""
+    path = _bucketed_identity(spark, sf_dir)
+    orders = st.table(spark, sf_dir, "orders").where("o_custkey % 50 = 0")
+    merge_identity(
+        orders.select(
+            F.concat(F.lit(" p"), F.col("o_custkey"), F.lit(" ")).alias("player_id"),
+            F.concat(F.lit("order "), F.col("o_orderkey")).alias("goc_id"),
+            F.col("o_custkey").cast("string").alias("numeric_id"),
+            (F.col("o_orderkey") + 10).cast("bigint").alias("seq"),
+        ),
+        path,
+    )
+    return read_identity(spark, path)
+
+
+def resolve_bucketed_players(spark, sf_dir):
+    """Distinct players meet the identity table as it lies in its buckets."""
+    path = _bucketed_identity(spark, sf_dir)
+    rows = stage(typed_rows(spark, sf_dir), "typed")
+    resolved = resolve_by_distinct_keys(
+        rows, read_identity(spark, path, bucketed=True), unique=True, max_hot_keys=500,
+        buckets=identity_buckets(spark, path),
+    )
+    return resolved.select("date_hour", "player_key", "goc_id", "event_value")
+
+
 def ledger_anti_join(spark, sf_dir):
     """Files not in a ledger that holds every click's file twice."""
     listing = st.file_listing(spark, sf_dir)
@@ -111,6 +147,8 @@ QUERIES = {
     "reverse_upsert": reverse_upsert,
     "numeric_upsert": numeric_upsert,
     "ledger_anti_join": ledger_anti_join,
+    "updated_identity_buckets": updated_identity_buckets,
+    "resolve_bucketed_players": resolve_bucketed_players,
 }
 
 _RESOLVED = st.with_parts(
@@ -160,5 +198,18 @@ SQL = {
         "UNION ALL SELECT numeric_id, player_id, goc_id, seq FROM entered",
         *_BASE,
     ),
+    "updated_identity_buckets": st.with_parts(
+        "SELECT player_id, goc_id, numeric_id, seq FROM (SELECT *, row_number() OVER "
+        "(PARTITION BY player_id ORDER BY seq DESC) AS r FROM ("
+        "SELECT player_id, goc_id, numeric_id, seq FROM present "
+        "UNION ALL SELECT player_id, goc_id, numeric_id, seq FROM entered "
+        "UNION ALL SELECT 'p' || o_custkey, 'order ' || o_orderkey, CAST(o_custkey AS VARCHAR), "
+        "o_orderkey + 10 FROM orders WHERE o_custkey % 50 = 0)) WHERE r = 1",
+        *_BASE,
+    ),
+    "resolve_bucketed_players": st.with_parts(
+        "SELECT date_hour, uid AS player_key, goc_id, event_value FROM resolved",
+        st.RAW_SQL, st.VALUE_SQL, st.REGISTERED_SQL,
+    ),
     "ledger_anti_join": "SELECT event_id FROM events WHERE event_type <> 'click'",
 }

@@ -179,6 +179,14 @@ resolved AS (
   FROM typed LEFT JOIN customer
     ON c_custkey = user_id AND c_mktsegment <> '{UNREGISTERED}')"""
 
+# The same once the new players that events name have ids.
+REGISTERED_SQL = RESOLVED_SQL.replace(
+    "coalesce(c_name, '')",
+    f"CASE WHEN c_mktsegment = '{UNREGISTERED}' THEN 'new ' ELSE '' END || coalesce(c_name, '')",
+).replace(f" AND c_mktsegment <> '{UNREGISTERED}'", "").replace(
+    f"c_mktsegment = '{UNREGISTERED}' THEN", f"coalesce(c_mktsegment, '') = '{UNREGISTERED}' THEN"
+)
+
 ENVELOPE_SQL = f"""
 enveloped AS (
   SELECT *, '{{"game_id":"{GAME}","event_time":"' || event_time || '","event_name":"'
