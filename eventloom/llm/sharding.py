@@ -68,10 +68,10 @@ def _per_shard(values: list[int], shard) -> Column:
     return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col(shard) + 1)
 
 
-def _piece(links: Column, node: str, count: str) -> Column:
+def _piece(links: Column, node: str, count: str, salt: Column) -> Column:
     """A key for each piece of a link; a piece has about ``PIECE_ROWS`` rows."""
     pieces = F.ceil(F.col(count) / PIECE_ROWS)
-    return F.xxhash64(links, F.pmod(F.xxhash64(F.lit(3), node), pieces))
+    return F.xxhash64(links, F.pmod(F.xxhash64(F.lit(3), salt, node), pieces))
 
 
 def _loads(places: DataFrame, shards: int) -> list[int]:
@@ -82,15 +82,16 @@ def _loads(places: DataFrame, shards: int) -> list[int]:
 
 
 def propagate(
-    nodes: DataFrame, members: DataFrame, quotas: list[int], *, rounds: int = 8, seed: int = 1
+    nodes: DataFrame, members: DataFrame, quotas: list[int], *, rounds: int = 12, seed: int = 1
 ) -> DataFrame:
     """``nodes`` (node, load) and ``members`` (node, link) to node, load, shard.
 
     Every node starts in a shard by hash.  A node in several links follows the one with most
     in its shard of choice.  Moves are let in by buckets of hashed links, so quotas hold but
     for the start by hash and for about a bucket; ``fill`` makes them exact.  ``rounds``
-    bounds the work: rounds end before when nothing is cut or a round does not lessen it; the
-    best one counts.
+    bounds the work: rounds end before when nothing is cut or two in a row do not lessen it;
+    the best one counts.  Every other round a link turns to shards that have room for all of it
+    first; in between those with most of it come first, which shards exchange for.
     """
     shards = len(quotas)
     places = keep_table(
@@ -102,24 +103,27 @@ def propagate(
         .agg(F.sum("load").alias("total"), F.count("*").alias("count")),
         "shard-links",
     )
-    best, least = places, None
+    best, least, stale = places, None, 0
     for turn in range(rounds + 1):
         votes = keep_table(
             members.join(places, "node").groupBy("link", "shard").agg(F.sum("load").alias("held")), "shard-votes"
         )
         cut = _cut(votes)
-        if least is not None and cut >= least:
-            drop_table(votes)
-            drop_table(places)
-            break
-        if best is not places:
-            drop_table(best)
-        best, least = places, cut
-        if cut == 0 or turn == rounds:
+        stale = stale + 1 if least is not None and cut >= least else 0
+        if least is None or cut < least:
+            if best is not places:
+                drop_table(best)
+            best, least = places, cut
+        if cut == 0 or stale == 2 or turn == rounds:
             drop_table(votes)
             break
-        places = _round(members, places, sizes, votes, quotas, F.lit(seed + turn))
+        after = _round(members, places, sizes, votes, quotas, F.lit(seed + turn), by_room=turn % 2 == 1)
+        if places is not best:
+            drop_table(places)
+        places = after
         drop_table(votes)
+    if places is not best:
+        drop_table(places)
     return best
 
 
@@ -142,13 +146,17 @@ def _exchange(asked: list[list[int]], free: list[int]) -> list[list[int]]:
     return allowed
 
 
-def _round(members, places, sizes, votes, quotas, salt) -> DataFrame:
+def _round(members, places, sizes, votes, quotas, salt, by_room: bool) -> DataFrame:
     held = _loads(places, len(quotas))
     free = [max(0, q - h) for q, h in zip(quotas, held)]
     # a link has at most as many rows here as there are shards
+    # without regard to what is free, a home can hold its quota, by exchange
     room = F.col("held") + _per_shard(free, "shard")
+    if not by_room:
+        room = F.greatest(room, _per_shard(quotas, "shard"))
+    full = (F.col("room") < F.col("total")).cast("int") if by_room else F.lit(0)
     rank = Window.partitionBy("link").orderBy(
-        (F.col("room") < F.col("total")).cast("int"), F.col("held").desc(), F.xxhash64(salt, "link", "shard"), "shard"
+        full, F.col("held").desc(), F.xxhash64(salt, "link", "shard"), "shard"
     )
     earlier = rank.rowsBetween(Window.unboundedPreceding, -1)
     upto = rank.rowsBetween(Window.unboundedPreceding, 0)
@@ -181,7 +189,8 @@ def _round(members, places, sizes, votes, quotas, salt) -> DataFrame:
         .select(
             "node", "load", F.col("shard").alias("from"), F.col("home.shard").alias("to"),
             F.col("home.held").alias("pull"),
-            _piece(F.col("link"), "node", "count").alias("piece"),
+            # cut anew in each round, so that what was left over is not one piece again
+            _piece(F.col("link"), "node", "count", salt).alias("piece"),
         )
     )
     moves = keep_table(
@@ -259,7 +268,7 @@ def shard_documents(
     text_col: str = "text",
     shards: int = 24,
     law: str = "rows",
-    rounds: int = 8,
+    rounds: int = 12,
     seed: int = 1,
 ) -> DataFrame:
     """Per row doc_id, size, text_crc32, link, law, shard, slot, grown_shard.
@@ -299,7 +308,7 @@ def shard_documents(
         linked.select("node", "load"), linked.select("node", "link"), quotas, rounds=rounds, seed=seed
     )
     placed = linked.join(places.select("node", "shard"), "node").select(
-        "node", "shard", _piece(F.col("link"), "node", "count").alias("key")
+        "node", "shard", _piece(F.col("link"), "node", "count", F.lit(seed)).alias("key")
     )
     alone = F.xxhash64(F.lit(seed + 1), "node")
     found = rows.join(placed, "node", "left").withColumn("key", F.coalesce("key", alone))

@@ -59,7 +59,7 @@ def test_laws_and_groups(spark, law):
     groups = {k: c for k, c in found.items() if sum(c.values()) > 1}
     hot = max(groups.values(), key=lambda c: sum(c.values()))
     whole = sum(len(c) == 1 for c in groups.values())
-    assert whole >= 0.9 * len(groups)
+    assert whole >= 0.85 * len(groups)
     # a third of the rows needs 8 shards of 24 by rows; by bytes it is smaller
     assert sum(n for _, n in hot.most_common(10)) >= 0.9 * sum(hot.values())
     small = [c for c in groups.values() if sum(c.values()) < len(rows) // 24]
