@@ -73,6 +73,7 @@ def _bucketed(spark: SparkSession, path: str, kind: str, buckets: int) -> str:
     """The name, in this session's catalog, of the folder as a bucketed table."""
     folder = f"{path}/data-{buckets}"
     name = f"eventloom_{kind}_{hashlib.md5(folder.encode()).hexdigest()}"
+    quoted = folder.replace("\\", "\\\\").replace("'", "\\'")
     key = IDENTITY_SCHEMAS[kind].split()[0]
     manage = "spark.sql.hive.manageFilesourcePartitions"
     before = spark.conf.get(manage)
@@ -82,7 +83,7 @@ def _bucketed(spark: SparkSession, path: str, kind: str, buckets: int) -> str:
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({IDENTITY_SCHEMAS[kind]}, slot INT, version STRING) "
             f"USING parquet PARTITIONED BY (slot, version) CLUSTERED BY ({key}) SORTED BY ({key}) "
-            f"INTO {buckets} BUCKETS LOCATION '{folder}'"
+            f"INTO {buckets} BUCKETS LOCATION '{quoted}'"
         )
     finally:
         spark.conf.set(manage, before)
