@@ -32,7 +32,7 @@ def check(rows, got, law, shards):
         sizes = Counter()
         for r in got:
             sizes[r.shard] += r["size"]
-        assert max(sizes.values()) - min(sizes[s] for s in range(shards)) <= 2 * max((r["size"] for r in got), default=0)
+        assert max(sizes.values(), default=0) - min(sizes[s] for s in range(shards)) <= 2 * max((r["size"] for r in got), default=0)
     found = defaultdict(Counter)
     for r in got:
         found[r["size"], r.text_crc32][r.shard] += 1
