@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from .common import keep_table, ship
 
 LEAF = 24
+LARGEST = 2**63 - 1  # of a long
+LARGEST_COMPONENT = 9223372036854774784.0  # the largest double below 2**63
+ROUNDING = 1e-14  # of floating sums of products, per term and length; far above what occurs
 
 
 class CoverTree:
@@ -111,20 +114,30 @@ class Best:
 
 def search(queries: CoverTree, data: CoverTree, best: Best) -> None:
     """Bring ``best`` up to date for all queries against all points but those of their own id."""
+    dim = queries.points.shape[1]
     largest = float(np.abs(queries.points).max(initial=0)) * float(np.abs(data.points).max(initial=0))
-    exact_floats = largest * queries.points.shape[1] < 2**52
+    exact_floats = largest * dim < 2**52
+    may_leave_long = largest * dim >= LARGEST
     of_queries = queries.points.astype(np.float64) if exact_floats else queries.points
     of_data = data.points.astype(np.float64) if exact_floats else data.points
+    rounding = dim * ROUNDING
+
+    def products(a: int, b: int, at: np.ndarray) -> np.ndarray:
+        """Inner products, exact; those beyond a long are the largest or smallest long."""
+        if not may_leave_long:
+            return of_queries[a:b] @ of_data[at].T
+        wide = of_queries[a:b].astype(object) @ of_data[at].T.astype(object)
+        return np.clip(wide, -LARGEST - 1, LARGEST).astype(np.int64)
 
     def compare(q: int, nodes: np.ndarray) -> None:
         a, b = queries.begin[q], queries.to[q]
         size = data.to[nodes] - data.begin[nodes]
         at = np.repeat(data.begin[nodes] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        scores = of_queries[a:b] @ of_data[at].T
+        scores = products(a, b, at)
         others = queries.ids[a:b][:, None] != data.ids[at]
         if len(at) > 4 * best.k:
-            # all that could be among the k best, and one more for the query's own
-            cut = np.partition(scores, len(at) - best.k - 1, axis=1)[:, len(at) - best.k - 1]
+            # all that could be among the k best, and k more for rows of the query's own id
+            cut = np.partition(scores, len(at) - 2 * best.k, axis=1)[:, len(at) - 2 * best.k]
             others &= scores >= cut[:, None]
         others &= scores >= best.floor[a:b][:, None]
         rows, columns = np.nonzero(others)
@@ -139,7 +152,8 @@ def search(queries: CoverTree, data: CoverTree, best: Best) -> None:
             + data.norms[nodes] * queries.radius[q]
             + queries.radius[q] * data.radius[nodes]
         )
-        reach = reach * (1 + 1e-12 * np.sign(reach)) + 1e-3  # rounding
+        lengths = (data.norms[nodes] + data.radius[nodes]) * (queries.norms[q] + queries.radius[q])
+        reach = reach + lengths * rounding + 1e-3
         worst = best.floor[queries.begin[q] : queries.to[q]].min()
         open_ = reach >= worst
         nodes = nodes[open_][np.argsort(-reach[open_], kind="stable")]
@@ -195,14 +209,17 @@ def _build(table: pa.Table) -> pa.Table:
             "dim": table.column("dim")[:1],
             "center": pa.array([tree.centres[0].tolist()], pa.list_(pa.float64())),
             "radius": pa.array([float(tree.radius[0])]),
-            "n": pa.array([len(ids)], pa.int64()),
+            "n": pa.array([len(np.unique(ids))], pa.int64()),
             "tree": pa.array([pickle.dumps(tree)], pa.binary()),
         }
     )
 
 
 def _trees(vectors: DataFrame, size: int, label: str) -> DataFrame:
-    """block, dim, center, radius, n, tree: cover trees of about ``size`` vectors each."""
+    """block, dim, center, radius, n, tree: cover trees of about ``size`` vectors each.
+
+    ``n`` counts distinct ids.
+    """
     counts = vectors.groupBy("dim", "pivot").agg(F.ceil(F.count(F.lit(1)) / size).alias("salts"))
     counts = keep_table(counts, f"{label}-counts")
     salted = vectors.join(counts, ["dim", "pivot"]).select(
@@ -298,24 +315,34 @@ def top_k(
 
     ``vectors`` and ``queries`` have vec_id and ``v``, an array of long.  Ties go to the
     smaller vec_id.  A query meets all vectors of its length but those with its own id.  Rows
-    that repeat an id and a vector count once, rows with a null id or vector take no part, nor
-    do vectors without components.  Components must be small enough for products to be long.
+    that repeat an id, with the same vector or another, count one by one: as vectors each can
+    take a rank, as queries their finds are ranked together.  Rows with a null id or vector
+    take no part, nor do vectors without components.  Inner products are exact; one that
+    leaves the long range becomes the largest or smallest long.
     """
     spark = vectors.sparkSession
     ship(spark)
 
     def clean(df: DataFrame, label: str) -> DataFrame:
+        """Distinct rows; ``n``: how often each occurs, k if more, as no more can matter."""
         df = df.select(F.col("vec_id").cast("long").alias("vec_id"), "v")
-        return keep_table(df.where("vec_id is not null and size(v) > 0").distinct(), label)
+        counted = df.where("vec_id is not null and size(v) > 0").groupBy("vec_id", "v")
+        return keep_table(
+            counted.agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("n")), label
+        )
 
-    data, asked = clean(vectors, "top-vectors"), clean(queries, "top-queries")
+    def repeated(df: DataFrame) -> DataFrame:
+        return df.select("vec_id", "v", F.explode(F.sequence(F.lit(1), "n"))).drop("col")
+
+    data, asked = clean(vectors, "top-vectors"), repeated(clean(queries, "top-queries"))
     # pivots only shape the blocks: a bounded sample, the least hashes
     sample = data.select("v").orderBy(F.xxhash64("v")).limit(n_pivots).collect()
     size = len(sample[0]["v"]) if sample else 0
     pivots = np.array([r["v"] for r in sample if len(r["v"]) == size], np.float64)
     # of equal vectors only the least ids can be among the best, one more for the own id
     equal = Window.partitionBy("v").orderBy("vec_id")
-    data = data.withColumn("n", F.row_number().over(equal)).where(F.col("n") <= k + 1).drop("n")
+    data = data.withColumn("place", F.row_number().over(equal)).where(F.col("place") <= k + 1)
+    data = repeated(data)
     with_pivot = "vec_id long, v array<long>, dim int, pivot int"
     blocks = _trees(data.mapInArrow(_pivot(pivots), with_pivot), block_size, "top-blocks")
     groups = _trees(asked.mapInArrow(_pivot(pivots), with_pivot), group_size, "top-groups")
@@ -327,11 +354,14 @@ def top_k(
     dot = F.aggregate(
         F.zip_with("center", "q_center", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x
     )
+    rounding = F.size("center") * F.lit(ROUNDING)
+    lengths = (norm("center") + F.col("radius")) * (norm("q_center") + F.col("q_radius"))
     reach = (
         dot
         + norm("center") * F.col("q_radius")
         + norm("q_center") * F.col("radius")
         + F.col("radius") * F.col("q_radius")
+        + lengths * rounding
     )
     pairs = groups.select(
         F.col("block").alias("group"),
@@ -377,16 +407,16 @@ def top_k(
 def quantised(embeddings: DataFrame, scale: int = 256) -> DataFrame:
     """vec_id, v: components scaled and rounded down, of vectors that are whole and finite.
 
-    Vectors that are null, or hold a null or non-finite component, take no part.  Nor do those
-    with a component so large that inner products of their length could leave the long range.
+    Vectors that are null, or hold a null or non-finite component, take no part.  A scaled
+    component beyond the long range becomes the double next to its end.
     """
     x = F.transform("embedding", lambda e: e.cast("double"))
-    most = F.sqrt(F.lit(9.2e18) / F.greatest(F.lit(1), F.size("embedding")))
-    fits = F.forall(
-        x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e * scale) < most)
-    )
+    infinity = F.lit(float("inf"))
+    fits = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < infinity))
+    low, high = F.lit(-LARGEST_COMPONENT), F.lit(LARGEST_COMPONENT)
     return embeddings.where(F.col("embedding").isNotNull() & fits).select(
-        "vec_id", F.transform(x, lambda e: F.floor(e * scale)).alias("v")
+        "vec_id",
+        F.transform(x, lambda e: F.floor(F.least(F.greatest(e * scale, low), high))).alias("v"),
     )
 
 
@@ -399,12 +429,16 @@ QUERIES = {"op9_cover_tree_search": op9_cover_tree_search}
 SQL = {
     "op9_cover_tree_search": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(
+    least(greatest(256 * CAST(x AS DOUBLE), -9223372036854774784), 9223372036854774784)) AS HUGEINT)) AS q
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+  SELECT a.vec_id AS query_id, b.vec_id,
+    CAST(least(greatest(list_sum(list_transform(a.q, lambda x, i: x * b.q[i])),
+      -9223372036854775808), 9223372036854775807) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+    AND len(a.q) > 0),
 r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5

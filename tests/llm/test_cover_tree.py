@@ -5,14 +5,27 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.llm.cover_tree import LEAF, Best, CoverTree, quantised, search, top_k
+from eventloom.llm.cover_tree import (
+    LEAF,
+    SQL,
+    Best,
+    CoverTree,
+    op9_cover_tree_search,
+    quantised,
+    search,
+    top_k,
+)
 
 
 def brute(rows, queries, k):
     out = []
-    for q, a in set(queries):
+    for q in {i for i, _ in queries}:
         scores = sorted(
-            (-sum(x * y for x, y in zip(a, b)), i) for i, b in set(rows) if i != q and len(b) == len(a)
+            (-max(min(sum(x * y for x, y in zip(a, b)), 2**63 - 1), -(2**63)), i)
+            for j, a in queries
+            if j == q
+            for i, b in rows
+            if i != q and len(b) == len(a)
         )
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
     return sorted(out)
@@ -50,6 +63,7 @@ def test_top_k_against_brute_force(spark):
     rows = [(i, tuple(rng.randint(-9, 9) for _ in range(4))) for i in range(500)]
     rows += [(1000 + i, (3, 3, 3, 3)) for i in range(300)]  # one very common vector
     rows += [(2000, (1, 2)), (2001, (5, 5)), (2002, (0, 0)), (7, rows[7][1]), (7, (1, 1, 1, 1))]
+    rows += [rows[20]] * 9 + [rows[33]] * 3 + [(20, (2, 2, 2, 2))]  # each counts, as both
     df = spark.createDataFrame([(i, list(v), "x") for i, v in rows], "vec_id long, v array<long>, rank string")
     asked = [r for r in rows if r[0] % 10 == 0]
     nulls = spark.createDataFrame([(None, [1, 1, 1, 1], ""), (5000, None, ""), (5001, [], "")], df.schema)
@@ -65,8 +79,35 @@ def test_few_rows_and_none(spark):
     assert top_k(df.limit(0), df.limit(0), 5).count() == 0
 
 
+def test_large_components_and_repeats_agree_with_sql(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(53)
+    sizes = [1.0, 1e4, 1e7, 3e7, 3e12]
+    rows = []
+    for i in range(200):
+        size = rng.choice(sizes)
+        rows.append((i, [rng.uniform(-1, 1) * size for _ in range(4)]))
+    rows += [rows[2]] * 2 + [rows[100]] * 2 + [(300, [1e300, 1.0, 1.0, 1.0]), (301, [3e7, 1.0, 0.0, 0.0])]
+    rows += [(302, [math.inf, 1.0, 1.0, 1.0]), (303, None), (304, [None, 1.0, 1.0, 1.0]), (305, [])]
+    folder = str(tmp_path / "embeddings.parquet")
+    schema = "vec_id long, embedding array<double>"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(folder)
+    got = op9_cover_tree_search(spark, str(tmp_path)).collect()
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/*.parquet'")
+    want = duck.execute(SQL["op9_cover_tree_search"]).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) == 5 * 5
+    v = {}
+    for r in quantised(spark.createDataFrame(rows, schema)).collect():
+        v.setdefault(r["vec_id"], []).append(tuple(r["v"]))
+    flat = [(i, x) for i, all_ in v.items() for x in all_]
+    assert sorted(map(tuple, got)) == brute(flat, [r for r in flat if r[0] % 50 == 0], 5)
+
+
 def test_quantised(spark):
     nan, inf = math.nan, math.inf
     rows = [(1, [0.5, -0.001]), (2, None), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf]), (6, [1e30]), (7, [])]
     got = quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
-    assert {r["vec_id"]: r["v"] for r in got} == {1: [128, -1], 7: []}
+    end = 2**63 - 1024
+    assert {r["vec_id"]: r["v"] for r in got} == {1: [128, -1], 6: [end], 7: []}
