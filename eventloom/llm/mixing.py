@@ -142,13 +142,14 @@ class Mix:
     ``share`` of all words by weight, none over ``most`` times its source, the excess going to
     the others by weight.  A source is drawn whole as often as its target has room, then in
     blocks of about ``block_words`` (more, if there would be over ``most_blocks`` of them);
-    the last block is cut between two documents, so what is
-    taken misses the target by half a document at most.  Nothing but the hash of source, id
-    and size decides, so reruns agree however rows are partitioned.
+    the last block is cut between two rows, so what is
+    taken misses the target by half a document at most.  Nothing but the hash of source, id,
+    size and text decides, so reruns agree however rows are partitioned.
 
     Null or empty text has size 0 and is never drawn, nor is anything of a source without
-    words (target 0).  A null id or source is a value like others; repeated rows count one by
-    one and share a fate.  An empty table gives an empty mix.  Other columns are carried.
+    words (target 0).  A null id or source is a value like others.  Repeated rows count one by
+    one: where the cut falls among rows that agree in all these, reruns agree on how many of
+    them are drawn, not on which.  An empty table gives an empty mix.  Other columns are carried.
     """
 
     def __init__(
@@ -182,7 +183,11 @@ class Mix:
     def _sized(self, *more: Column) -> DataFrame:
         doc, text, source = self.columns
         return self.docs.select(
-            F.col(doc).alias("id"), F.col(source).alias("source"), _size(text).alias("size"), *more
+            F.col(doc).alias("id"),
+            F.col(source).alias("source"),
+            _size(text).alias("size"),
+            F.xxhash64(text).alias("text_hash"),
+            *more,
         )
 
     def _dealt(self, sized: DataFrame) -> DataFrame:
@@ -194,13 +199,17 @@ class Mix:
         return (
             sized.where(F.col("size") > 0)
             .join(targets, F.col("source").eqNullSafe(F.col("of")))
-            .withColumn("key", _key(self.seed, "id", "size"))
+            .withColumn("key", _key(self.seed, "id", "size", "text_hash"))
             .withColumn("block", F.pmod(F.xxhash64(F.lit(self.seed), "key"), n_blocks))
             .drop("of")
         )
 
     def _drawn(self, blocks: DataFrame, sized: DataFrame) -> DataFrame:
-        """Per block how often it is drawn whole, and up to which key it is drawn once more."""
+        """Per block how often it is drawn whole, and up to which key it is drawn once more.
+
+        ``last_rows`` is the number of rows with the last key that are drawn once more, null
+        if all of them are.
+        """
         # per source over its blocks, not its rows
         earlier = Window.partitionBy("rank").orderBy("block").rowsBetween(
             Window.unboundedPreceding, -1
@@ -224,29 +233,37 @@ class Mix:
         blocks = keep_table(blocks, "mix-block-words")
         # one block of a source at most is cut
         cut = blocks.where(F.col("part").isNotNull()).select("rank", "block", "part")
-        upto = Window.partitionBy("rank", "block").orderBy("key").rangeBetween(
-            Window.unboundedPreceding, 0
+        earlier = Window.partitionBy("rank", "block").orderBy("key").rowsBetween(
+            Window.unboundedPreceding, -1
         )
+        # rows with the same key are equally long, so the cut falls after a number of them
+        longest = F.col("size") / F.col("rows")
         keys = (
             self._dealt(sized)
             .join(cut, ["rank", "block"])
             .groupBy("rank", "block", "part", "key")
-            .agg(F.sum("size").alias("size"))
-            .withColumn("upto", F.sum("size").over(upto))
-            .where(F.col("upto") - F.col("size") / 2 <= F.col("part"))
+            .agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
+            .withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+            .withColumn(
+                "fit",
+                F.least("rows", F.floor((F.col("part") - F.col("before")) / longest + 0.5)),
+            )
+            .where("fit > 0")
             .groupBy("rank", "block")
-            .agg(F.max("key").alias("last_key"))
+            .agg(F.max(F.struct("key", "fit", "rows")).alias("last"))
         )
+        partly = F.col("last.fit") < F.col("last.rows")
         return blocks.join(keys, ["rank", "block"], "left").select(
             "rank",
             "block",
             "whole",
-            "last_key",
-            (F.col("whole") + F.col("last_key").isNotNull().cast("long")).alias("draws"),
+            F.col("last.key").alias("last_key"),
+            F.when(partly, F.col("last.fit")).alias("last_rows"),
+            (F.col("whole") + F.col("last").isNotNull().cast("long")).alias("draws"),
         )
 
     def plan(self) -> DataFrame:
-        """rank, block, whole, last_key, copies: the draws of each block and their shards."""
+        """rank, block, whole, last_key, last_rows, copies: draws of each block, their shards."""
         if self._plan is None:
             shards = self.shard_draws().groupBy("rank", "block").agg(
                 F.array_sort(F.collect_list(F.struct("draw", "shard"))).alias("copies")
@@ -257,9 +274,9 @@ class Mix:
     def taken(self) -> DataFrame:
         """id, source, size, source_size, target, taken, shards: a row per row of the input."""
         columns = ["id", "source", "size", "source_size", "target"]
+        dealt = self._dealt(self.sized).join(self.plan(), ["rank", "block"], "left")
         mixed = (
-            self._dealt(self.sized)
-            .join(self.plan(), ["rank", "block"], "left")
+            self._cut(dealt)
             .withColumn("shards", F.coalesce(self._copies()["shard"], F.array().cast("array<int>")))
             .select(*columns, (F.col("size") * F.size("shards")).alias("taken"), "shards")
         )
@@ -278,9 +295,39 @@ class Mix:
     @staticmethod
     def _copies() -> Column:
         """The draws of its block that a row takes part in."""
-        times = F.col("whole") + F.when(F.col("key") <= F.col("last_key"), 1).otherwise(0)
+        times = F.col("whole") + F.when(F.col("once_more"), 1).otherwise(0)
         return F.slice("copies", F.lit(1), times.cast("int"))
 
+    def _cut(self, dealt: DataFrame) -> DataFrame:
+        """``dealt`` rows with ``once_more``: whether the cut of their block lies after them.
+
+        Only where the cut falls among rows with the same key are these numbered: per task of
+        a written table, after the counts of the tasks before it.
+        """
+        if self.plan().where("last_rows is not null").isEmpty():
+            return dealt.withColumn("once_more", F.col("key") <= F.col("last_key"))
+        among = F.coalesce(
+            F.col("last_rows").isNotNull() & (F.col("key") == F.col("last_key")), F.lit(False)
+        )
+        plain = dealt.where(~among).withColumn("once_more", F.col("key") <= F.col("last_key"))
+        same = keep_table(
+            dealt.where(among).withColumn("at", F.monotonically_increasing_id()), "mix-same-keys"
+        ).withColumn("task", F.shiftright("at", 33))
+        before = Window.partitionBy("rank").orderBy("task").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        # one key of a source at most is cut, so a source's rows here are those of one key
+        counts = same.groupBy("rank", "task").count().select(
+            "rank", "task", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("earlier")
+        )
+        within = Window.partitionBy("rank", "task").orderBy("at")
+        numbered = (
+            same.withColumn("n", F.row_number().over(within))
+            .join(keep_table(counts, "mix-same-counts"), ["rank", "task"])
+            .withColumn("once_more", F.col("n") + F.col("earlier") <= F.col("last_rows"))
+        )
+        return plain.unionByName(numbered.select(*plain.columns))
+
     def shard_draws(self) -> DataFrame:
         """rank, block, draw (from 0), shard: which shard gets which draw of a block."""
         draws = self.blocks.where("draws > 0").select(
@@ -307,9 +354,9 @@ class Mix:
     def rows(self) -> DataFrame:
         """The mixed rows, as columns of the input: shard by shard, shuffled within."""
         row = F.struct(*[F.col(f"`{c}`") for c in self.docs.columns]).alias("row")
+        dealt = self._dealt(self._sized(row)).join(self.plan(), ["rank", "block"])
         return (
-            self._dealt(self._sized(row))
-            .join(self.plan(), ["rank", "block"])
+            self._cut(dealt)
             .withColumn("copy", F.explode(self._copies()))
             .select("row", "key", F.col("copy.draw").alias("draw"), F.col("copy.shard").alias("shard"))
             .repartition("shard")

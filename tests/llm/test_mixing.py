@@ -102,3 +102,20 @@ def test_targets_table(spark):
     got = {r["source"]: r["target"] for r in source_targets(sizes, (5, 2, 1), 1.5, 2.0).collect()}
     want = fill({"a": 100, "b": 1, "c": 5, None: 3})
     assert all(math.isclose(got[s], want[s], rel_tol=1e-12) for s in want)
+
+
+@pytest.mark.parametrize("same_text", [True, False])
+def test_rows_of_equal_id_and_size_are_cut_apart(spark, same_text):
+    schema = "doc_id long, text string, source string, `a-b` int"
+    data = [(None, "w w w" if same_text else f"w w {i}", "a", i) for i in range(1000)]
+    data += [(i, "x y", "b", 0) for i in range(200)]
+    docs = spark.createDataFrame(data, schema)
+    for parts in (1, 6):
+        mix = Mix(docs.repartition(parts), weights=(1.0, 1.0), most=5.0, block_words=500)
+        got = mix.taken().collect()
+        taken = {s: sum(r["taken"] for r in got if r["source"] == s) for s in "ab"}
+        want = {r["source"]: r["target"] for r in got}
+        assert abs(taken["a"] - want["a"]) <= 1.5 and abs(taken["b"] - want["b"]) <= 1, (taken, want)
+        assert len(got) == 1200
+        drawn = {r["source"]: r["n"] for r in mix.rows().groupBy("source").agg(F.count("*").alias("n")).collect()}
+        assert drawn == {"a": taken["a"] // 3, "b": taken["b"] // 2}
