@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from .common import documents, keep_table, ship
 from .tokens import slices
@@ -125,6 +126,11 @@ def _score(model, buckets: int):
     return run
 
 
+def _column(name: str) -> Column:
+    """The column of exactly this name, whatever marks it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def least_of_top(keys: DataFrame, k: int, bins: int = 4096) -> float | None:
     """The k-th largest value of the double column ``key``; only counts of bins are collected."""
     low, high = keys.agg(F.min("key"), F.max("key")).first()
@@ -180,7 +186,8 @@ def resample(
     Null or empty text has no words and is never drawn.  Labels with a null are not used, an
     id with several labels takes the worst.  Without a good label, or with no label at all,
     nothing is known and every document with words stays.  A null id is drawn like others;
-    repeated rows are drawn together.  An empty table gives no rows.
+    repeated rows are drawn together.  An empty table gives no rows.  Columns of any name and
+    type are carried; the weight is ``__log_weight``, with more ``_`` if that name is taken.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -197,9 +204,12 @@ def resample(
         labels = labels.where(F.pmod(F.xxhash64(F.lit(seed), "__id"), F.lit(1 << 32)) < share)
     labels = F.broadcast(labels)
 
-    taught = docs.join(labels, F.col(id_col) == F.col("__id"))
+    # the caller's columns go into one, so that no name of theirs meets one of ours
+    row = F.struct(*[_column(c) for c in docs.columns]).alias("row")
+    own = [_column(id_col).alias("id"), _column(text_col).alias("text")]
+    taught = docs.select(*own).join(labels, F.col("id") == F.col("__id"))
     parts = (
-        taught.select(F.col(text_col).alias("text"), "__good")
+        taught.select("text", "__good")
         .mapInArrow(_count(buckets), "part int, counts binary")
         .groupBy("part")
         .applyInArrow(_add, "part int, counts binary")
@@ -216,19 +226,22 @@ def resample(
     ratios = log_ratios(raw_and_good[0], raw_and_good[1], prior, evidence)
     model = spark.sparkContext.broadcast(ratios)
 
-    text_hash = F.xxhash64(F.col(text_col))
-    keyed = docs.join(labels, F.col(id_col) == F.col("__id"), "left").select(
-        F.col(text_col).alias("text"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    keyed = docs.select(*own, row).join(labels, F.col("id") == F.col("__id"), "left").select(
+        "text",
+        "row",
         F.coalesce("__good", F.lit(False)).alias("good"),
-        F.xxhash64(F.lit(seed), F.col(id_col), text_hash).alias("luck"),
+        F.xxhash64(F.lit(seed), "id", F.xxhash64("text")).alias("luck"),
+    )
+    kinds = StructType(
+        [
+            keyed.schema["row"],
+            StructField("good", BooleanType()),
+            StructField("luck", LongType()),
+            StructField("n_words", LongType()),
+            StructField("mean_ratio", DoubleType()),
+        ]
     )
-    kinds = keyed.schema
-    scored = keyed.mapInArrow(
-        _score(model, buckets),
-        f"row {kinds['row'].dataType.simpleString()}, good boolean, luck long, "
-        "n_words long, mean_ratio double",
-    ).where("n_words > 0")
+    scored = keyed.mapInArrow(_score(model, buckets), kinds).where("n_words > 0")
     uniform = (F.pmod("luck", F.lit(1 << 52)) + 0.5) / float(1 << 52)
     gumbel = -F.log(-F.log(uniform))
     scored = scored.select(
@@ -242,7 +255,10 @@ def resample(
     else:
         k = scored.where(F.col("log_weight") >= reached).count()
         drawn = scored.where(F.col("key") >= least_of_top(scored.select("key"), k))
-    return drawn.select("row.*", F.col("log_weight").alias("__log_weight"))
+    name = "__log_weight"
+    while name in {c.lower() for c in docs.columns}:
+        name = "_" + name
+    return drawn.select("row.*", F.col("log_weight").alias(name))
 
 
 def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,3 +70,13 @@ def test_models():
     assert sorted(set(text.tolist())) == [0, 2]
     ratios = log_ratios(np.array([0.0, 500, 0]), np.array([100.0, 1000, 1]), 1.0, 2.0)
     assert ratios[0] < -3 and ratios[1] == 0 and ratios[2] == 0
+
+
+def test_columns_of_any_name_are_carried(spark):
+    names = ["doc_id", "text", "a-b", "a.b", "source url", "__id", "__good", "__log_weight", "row", "id", "key"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names[2:])
+    rows = [(i, f"some words {i}", *[f"{c}{i}" for c in names[2:]]) for i in range(8)]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 0, 1)], LABELS)
+    got = resample(spark.createDataFrame(rows, schema), labels, buckets=1 << 8)
+    assert got.columns == [*names, "___log_weight"]
+    assert {tuple(r)[:-1] for r in got.collect()} <= set(rows) and got.count() > 0
