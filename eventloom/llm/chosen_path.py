@@ -416,7 +416,10 @@ def similarity_join(
         .withColumn("group", F.coalesce("group", "class"))
     )
     linked = keep_table(linked, "join-linked")
-    least = linked.groupBy("group").agg(F.min("copy_id").alias("class_id"))
+    # a table of its own, so that the join can split a large group
+    least = keep_table(
+        linked.groupBy("group").agg(F.min("copy_id").alias("class_id")), "join-least"
+    )
     linked = keep_table(
         linked.join(least, "group").select(
             "class", "class_id", "copy_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
@@ -436,16 +439,22 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     joined = similarity_join(docs, **options)
     gone = keep_table(
         joined.where(F.col("doc_id") != F.col("class_id"))
-        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+        .select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
         .distinct(),
         "join-gone",
     )
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    same = (F.col(id_col).cast("long") == F.col("__id")) & (
-        F.xxhash64(F.col(text_col)) == F.col("__hash")
+    def column(name: str):
+        return F.col("`" + name.replace("`", "``") + "`")
+
+    # the caller's columns go into one, so that no name of theirs meets one of ours
+    keyed = docs.select(
+        F.struct(*[column(c) for c in docs.columns]).alias("row"),
+        column(id_col).cast("long").alias("id"),
+        F.xxhash64(column(text_col)).alias("hash"),
     )
-    return docs.join(gone, same, "left_anti")
+    return keyed.join(gone, ["id", "hash"], "left_anti").select("row.*")
 
 
 def op7_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,3 +107,13 @@ def test_shingles_stay_within_texts():
 def test_runs_reach_the_recall():
     assert 1 - (1 - 0.8**3) ** runs_for(0.9999, 0.8) >= 0.9999
     assert 10 < least_matches(42, 0.8) < 30
+
+
+def test_drop_near_copies_carries_columns_of_any_name(spark):
+    names = ["doc_id", "text", "a-b", "a.b", "source url", "__id", "__hash", "id", "hash", "row"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names[2:])
+    texts = ["one two three four five six"] * 3 + ["seven eight nine ten eleven twelve", None]
+    rows = [(i, t, *[f"{c}{i}" for c in names[2:]]) for i, t in enumerate(texts)]
+    got = drop_near_copies(spark.createDataFrame(rows, schema))
+    assert got.columns == names
+    assert {tuple(r) for r in got.collect()} == {rows[0], rows[3], rows[4]}
