@@ -17,6 +17,7 @@ PIECES = (
     "doc_id long, piece int, start long, length long, ids binary, "
     "sequence_id long, offset long, settled boolean"
 )
+SECOND_ROUND = 20_000  # pieces of a task of the second round
 
 
 # ---- one bin problem -------------------------------------------------------
@@ -288,9 +289,12 @@ def _first_round(path: str, capacity: int, end_id: int, window: int, carry: int)
 def _second_round(capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = (1 << 62) + (TaskContext.get().partitionId() << 32)
+        # a task's rows, some SECOND_ROUND pieces, are packed together however they are batched
+        rows: list[tuple] = []
         for batch in batches:
-            held = _Window(list(zip(*(batch.column(i).to_pylist() for i in range(5)))))
-            out, _, base = held.pack(capacity, base, 0)
+            rows += zip(*(batch.column(i).to_pylist() for i in range(5)))
+        out, _, _ = _Window(rows).pack(capacity, base, 0)
+        if out is not None:
             yield out
 
     return run
@@ -326,7 +330,7 @@ def pack(
         "pack-pieces",
     )
     left = first.where(~F.col("settled"))
-    tasks = max(1, -(-left.count() // 20_000))
+    tasks = max(1, -(-left.count() // SECOND_ROUND))
     again = left.repartition(tasks).mapInArrow(_second_round(length), PIECES)
     return first.where("settled").unionByName(again).drop("settled")
 

@@ -120,3 +120,18 @@ def test_chunks_equal_whole_texts(most):
     want = [e.ids for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     assert counts.tolist() == [len(w) for w in want]
     assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_second_round_packs_a_task_whatever_its_batches(spark):
+    rng = random.Random(17)
+    texts = [" ".join(rng.choices("alpha beta gamma delta".split(), k=rng.randint(1, 200))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    sequences = []
+    for rows in ("10000", "7"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        try:
+            got = pack(docs, length=256, carry_bins=10_000).select("sequence_id").distinct().count()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        sequences.append(got)
+    assert sequences[0] == sequences[1]
