@@ -222,9 +222,9 @@ WITH d AS (
          regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body
   FROM documents),
 g AS (
-  SELECT *, first_value(doc_id) OVER w AS keep_id,
+  SELECT *, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS place,
          count(*) OVER (PARTITION BY body) AS group_size
   FROM d WINDOW w AS (PARTITION BY body ORDER BY n DESC, doc_id))
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM g
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM g
 """,
 }
