@@ -25,9 +25,14 @@ SENTENCES = (
     ("bsd_grant", "redistribution and use in source and binary forms with or without modification"),
     ("bsd_source", "redistributions of source code must retain the above copyright notice"),
     ("bsd_binary", "redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd_advert", "all advertising materials mentioning features or use of this software must display"),
     ("bsd_names", "neither the name of .* nor the names of its contributors may be used"),
     ("bsd_as_is", "this software is provided by .* as is and any express or implied warranties"),
     ("isc_grant", "permission to use copy modify and( or)? distribute this software for any purpose with or without fee"),
+    ("zlib_grant", "permission is granted to anyone to use this software for any purpose including commercial applications"),
+    ("boost_grant", "permission is hereby granted free of charge to any person or organization obtaining a copy"),
+    ("boost_name", "boost software license( -)?( version)? 1\\.0"),
+    ("apache_or_mit", "licensed under (either (of )?)?(the )?apache license( version)? 2\\.0 .*or (the )?mit license"),
     ("apache_2", "licensed under (the )?apache license( version)? 2\\.0"),
     ("apache_terms", "you may not use this file except in compliance with the license"),
     ("apache_copy", "you may obtain a copy of the license at"),
@@ -40,9 +45,13 @@ SENTENCES = (
     ("gpl_2", "gnu general public license( version| v) ?2"),
     ("gpl", "gnu general public license"),
     ("version_3", "^either version 3 of the license"),
+    ("version_2_1", "^either version 2\\.1 of the license"),
     ("version_2", "^either version 2 of the license"),
     ("later", "or at your option any later version"),
     ("mpl_2", "mozilla public license( version| v)?\\.? ?2\\.0"),
+    ("epl_2", "eclipse public license( -)?( version| v)?\\.? ?2\\.0"),
+    ("epl_1", "eclipse public license( -)?( version| v)?\\.? ?1\\.0"),
+    ("artistic_2", "artistic license( version)? 2\\.0"),
     ("cc_by_nc_nd_4", "cc by-nc-nd 4\\.0"),
     ("cc_by_nc_sa_4", "cc by-nc-sa 4\\.0"),
     ("cc_by_nc_4", "cc by-nc 4\\.0|creative commons attribution-noncommercial 4\\.0"),
@@ -51,20 +60,38 @@ SENTENCES = (
     ("cc0", "cc0 1\\.0|creative commons zero"),
     ("mit_name", "(released|licensed|available|distributed) under the (terms of the )?mit license"),
     ("bsd_name", "(released|licensed|available|distributed) under the (terms of the )?bsd license"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("public_domain", "(released into|dedicated to|placed in) the public domain"),
     ("all_rights", "all rights reserved"),
     ("copyright", "^copyright( c)? [0-9]{4}"),
 )
 
+# Licences named in a line "SPDX-License-Identifier: ...".
+SPDX = (
+    "Apache-2.0 OR MIT", "MIT OR Apache-2.0",
+    "MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause", "ISC", "Zlib", "BSL-1.0",
+    "Unlicense", "MPL-2.0", "EPL-1.0", "EPL-2.0", "Artistic-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+    "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later",
+    "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+    "AGPL-3.0-only", "AGPL-3.0-or-later",
+)
+
 # Licences and the sentences they need in this order, stricter rules first.
 RULES = (
     ("MIT", ("mit_grant", "mit_notice", "mit_as_is", "mit_liability")),
     ("MIT", ("mit_grant", "mit_notice", "mit_as_is")),
+    ("BSD-4-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_advert", "bsd_names", "bsd_as_is")),
+    ("BSD-4-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_advert", "bsd_names")),
     ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_names", "bsd_as_is")),
     ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_names")),
     ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_as_is")),
     ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary")),
     ("ISC", ("isc_grant",)),
+    ("Zlib", ("zlib_grant",)),
+    ("BSL-1.0", ("boost_name", "boost_grant")),
+    ("BSL-1.0", ("boost_name",)),
+    ("BSL-1.0", ("boost_grant",)),
+    ("Apache-2.0 OR MIT", ("apache_or_mit",)),
     ("Apache-2.0", ("apache_2", "apache_terms", "apache_copy")),
     ("Apache-2.0", ("apache_2",)),
     ("GPL-3.0-or-later", ("gpl", "version_3", "later")),
@@ -73,13 +100,22 @@ RULES = (
     ("GPL-2.0-or-later", ("gpl_2", "later")),
     ("GPL-3.0-only", ("gpl_3",)),
     ("GPL-2.0-only", ("gpl_2",)),
+    ("LGPL-3.0-or-later", ("lgpl", "version_3", "later")),
+    ("LGPL-2.1-or-later", ("lgpl", "version_2_1", "later")),
+    ("LGPL-3.0-or-later", ("lgpl_3", "later")),
+    ("LGPL-2.1-or-later", ("lgpl_2_1", "later")),
     ("LGPL-3.0-only", ("lgpl_3",)),
     ("LGPL-2.1-only", ("lgpl_2_1",)),
     ("LGPL", ("lgpl",)),
+    ("AGPL-3.0-or-later", ("agpl", "version_3", "later")),
+    ("AGPL-3.0-or-later", ("agpl_3", "later")),
     ("AGPL-3.0-only", ("agpl_3",)),
     ("AGPL", ("agpl",)),
     ("GPL", ("gpl",)),
     ("MPL-2.0", ("mpl_2",)),
+    ("EPL-2.0", ("epl_2",)),
+    ("EPL-1.0", ("epl_1",)),
+    ("Artistic-2.0", ("artistic_2",)),
     ("CC-BY-NC-ND-4.0", ("cc_by_nc_nd_4",)),
     ("CC-BY-NC-SA-4.0", ("cc_by_nc_sa_4",)),
     ("CC-BY-NC-4.0", ("cc_by_nc_4",)),
@@ -88,28 +124,45 @@ RULES = (
     ("CC0-1.0", ("cc0",)),
     ("MIT", ("mit_name",)),
     ("BSD", ("bsd_name",)),
+    ("Unlicense", ("unlicense", "public_domain")),
+    ("Unlicense", ("unlicense",)),
     ("public-domain", ("public_domain",)),
     ("proprietary", ("copyright", "all_rights")),
     ("proprietary", ("all_rights",)),
 )
 
+
+
+def _spdx_id(name: str) -> str:
+    return "spdx_" + name.lower().replace("-", "_").replace(".", "_").replace(" ", "_")
+
+
+# A named licence ends at a blank: of expressions that are not listed the first one counts.
+SENTENCES += tuple(
+    (_spdx_id(n), "spdx-license-identifier " + n.lower().replace(".", "\\.") + "( |$)") for n in SPDX
+)
+RULES += tuple(
+    ("Apache-2.0 OR MIT" if " OR " in n else n, (_spdx_id(n),)) for n in SPDX
+)
+
 # Every known sentence holds one of these words; a text without any is not cut at all.
-HINT = "(?i)licen[sc]e|copyright|permission|redistribut|cc0|cc by|warranty|public domain|rights reserved|no event|any later|neither the name|as is|creative commons"
+HINT = "(?i)licen[sc]e|copyright|permission|redistribut|cc0|cc by|warranty|public domain|rights reserved|no event|any later|neither the name|as is|creative commons|advertising materials"
 # With unwrap: the words of a hint may be on two lines, a version may follow other words.
 WRAPPED_HINT = HINT.replace(" ", "[^a-z0-9]+")
 WRAPPED_SENTENCES = tuple(
-    (n, p.removeprefix("^") if n in ("version_3", "version_2") else p) for n, p in SENTENCES
+    (n, p.removeprefix("^") if n.startswith("version_") else p) for n, p in SENTENCES
 )
 
 
 def _wrapped_rules() -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """Rules of whole notices, stricter first: headers of grants, later mentions of the GPL."""
+    """Rules of whole notices, stricter first: headers of grants, later mentions of a GPL."""
     out = []
     for name, chain in RULES:
         if chain[0] in ("mit_grant", "bsd_grant", "isc_grant"):
             out += [(name, ("copyright", "all_rights", *chain)), (name, ("all_rights", *chain))]
-        if name.startswith("GPL-"):
-            out += [(name, (*chain, "gpl", "gpl")), (name, (*chain, "gpl"))]
+        family = name.split("-")[0].lower()
+        if family in ("gpl", "lgpl", "agpl") and "-" in name and not chain[0].startswith("spdx"):
+            out += [(name, (*chain, family, family)), (name, (*chain, family))]
         out.append((name, chain))
     return tuple(out)
 
