@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,8 +60,13 @@ class Grams:
 
     def log_scores(self, totals: np.ndarray, all_words: int) -> np.ndarray:
         """Sum of log scores per text; ``totals`` are the counts of ``distinct`` over all."""
-        order, n = self.which.shape
+        n = self.which.shape[1]
         seen = np.where(self.which >= 0, totals[self.which], 0) - self.own() if n else self.which
+        return self.log_sums(seen, all_words)
+
+    def log_sums(self, seen: np.ndarray, all_words: int) -> np.ndarray:
+        """The same from ``seen``, per order and position the count in other texts."""
+        order, n = self.which.shape
         rest = np.maximum(all_words - self.counts, 1)[self.text]
         # a word that no other text holds counts as one
         score = np.log(np.maximum(seen[0], 1) / rest) if n else np.zeros(0)
@@ -257,6 +263,98 @@ def backoff_scores(
     )
 
 
+# ---- the same with rows for n-grams ----------------------------------------
+
+
+def _gram_rows(order: int):
+    """row, gram, own: the distinct n-grams of each text and how often it holds them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                grams = Grams(part.column(1), order)
+                held = max(1, len(grams.distinct))
+                here = grams.which >= 0
+                pairs = (grams.text * held + grams.which)[here]
+                pairs, own = np.unique(pairs, return_counts=True)
+                row = part.column(0).to_numpy()
+                yield pa.record_batch(
+                    [
+                        pa.array(row[pairs // held], pa.int64()),
+                        pa.array(grams.distinct[pairs % held].view(np.int64), pa.int64()),
+                        pa.array(own, pa.int64()),
+                    ],
+                    names=["row", "gram", "own"],
+                )
+
+    return run
+
+
+def _score_rows(order: int, all_words: int):
+    """doc_id, n_words, log_score of texts with the counts of their n-grams in other texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                grams = Grams(part.column(1), order)
+                held = max(1, len(grams.distinct))
+                lists = part.column(2)
+                text = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).fill_null(0))
+                found = lists.flatten()
+                hashes = found.field("gram").to_numpy().view(np.uint64)
+                keys = text * held + np.searchsorted(grams.distinct, hashes)
+                by_key = np.argsort(keys)
+                keys = np.append(keys[by_key], np.iinfo(np.int64).max)
+                counts = np.append(found.field("seen").to_numpy()[by_key], 0)
+                asked = grams.text * held + grams.which
+                at = np.searchsorted(keys, asked)
+                seen = np.where((keys[at] == asked) & (grams.which >= 0), counts[at], 0)
+                yield pa.record_batch(
+                    [
+                        part.column(0),
+                        pa.array(grams.counts, pa.int64()),
+                        pa.array(grams.log_sums(seen, all_words), pa.float64()),
+                    ],
+                    names=["doc_id", "n_words", "log_score"],
+                )
+
+    return run
+
+
+def relational_scores(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", order: int = 3
+) -> DataFrame:
+    """What ``backoff_scores`` returns, by a count table joined to a row per n-gram of a text.
+
+    Needs far more disk, as every n-gram of a text is a row of two shuffles.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    texts = keep_table(
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            F.col(text_col).alias("text"),
+            F.col(id_col).cast("long").alias("doc_id"),
+        ),
+        "backoff-texts",
+    )
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
+    all_words = int(texts.agg(F.sum(words)).first()[0] or 0)
+    rows = texts.select("row", "text").mapInArrow(_gram_rows(order), "row long, gram long, own long")
+    # an n-gram of one text has no count in others
+    counts = rows.groupBy("gram").agg(F.sum("own").alias("total"), F.count(F.lit(1)).alias("texts"))
+    counts = keep_table(counts.where("texts > 1").select("gram", "total"), "backoff-counts")
+    seen = rows.join(counts, "gram").select(
+        "row", F.struct("gram", (F.col("total") - F.col("own")).alias("seen")).alias("found")
+    )
+    lists = seen.groupBy("row").agg(F.collect_list("found").alias("found"))
+    return (
+        texts.join(lists, "row", "left")
+        .select("doc_id", "text", "found")
+        .mapInArrow(_score_rows(order, all_words), "doc_id long, n_words long, log_score double")
+    )
+
+
 def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_scores(documents(spark, sf_dir))
 
