@@ -17,7 +17,7 @@ PIECES = (
     "doc_id long, piece int, start long, length long, ids binary, "
     "sequence_id long, offset long, settled boolean"
 )
-SECOND_ROUND = 20_000  # pieces of a task of the second round
+SECOND_ROUND = 10_000  # pieces of a task of the second round
 
 
 # ---- one bin problem -------------------------------------------------------
@@ -289,13 +289,20 @@ def _first_round(path: str, capacity: int, end_id: int, window: int, carry: int)
 def _second_round(capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = (1 << 62) + (TaskContext.get().partitionId() << 32)
-        # a task's rows, some SECOND_ROUND pieces, are packed together however they are batched
-        rows: list[tuple] = []
-        for batch in batches:
-            rows += zip(*(batch.column(i).to_pylist() for i in range(5)))
-        out, _, _ = _Window(rows).pack(capacity, base, 0)
-        if out is not None:
-            yield out
+        # a task's rows, some SECOND_ROUND pieces, are packed together however they are batched;
+        # their ids stay in Arrow's memory
+        held = list(batches)
+        if not held:
+            return
+        table = pa.Table.from_batches(held).select(range(5))
+        bin_of, offset, _ = place(table.column("length").to_numpy(), capacity)
+        for name, column in (
+            ("sequence_id", pa.array(bin_of + base)),
+            ("offset", pa.array(offset)),
+            ("settled", pa.array(np.ones(len(offset), bool))),
+        ):
+            table = table.append_column(name, column)
+        yield from table.to_batches()
 
     return run
 
