@@ -5,6 +5,9 @@ form.  Documents are gathered in windows.  A window sends each hash bucket its d
 n-grams with their counts; the bucket adds up its count table and answers each window, in the
 same order, with the totals.  The window joins the answers to its positions and sums the logs
 of each document.  A document is scored by the counts of all others: its own are taken off.
+
+The buckets are asked in ``PARTS``, one after another.  Answers are kept as tables, so that the
+n-grams of one part only lie on disk at a time.
 """
 
 from __future__ import annotations
@@ -25,24 +28,43 @@ from .tokens import slices
 from .words import mix, word_hashes
 
 BACKOFF = 0.4
+PARTS = 2  # a power of two
+
+
+def gram_hashes(texts: pa.Array, order: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Words per text; per order the n-grams that end at each position; which of these exist."""
+    words, counts = word_hashes(texts)
+    n = len(words)
+    place = np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts)
+    hashes, valid = [], []
+    for k in range(1, order + 1):
+        salted = np.full(n, k, np.uint64)
+        grams = np.zeros(n, np.uint64)
+        if n >= k:  # ends at its position, starts k - 1 words before
+            grams[k - 1 :] = mix(salted[k - 1 :], *[words[i : n - k + 1 + i] for i in range(k)])
+        hashes.append(grams)
+        valid.append(place >= k - 1)
+    return counts, hashes, valid
+
+
+def part_grams(texts: pa.Array, order: int, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct n-grams of the texts in a part of the hashes, and how often they occur."""
+    _, hashes, valid = gram_hashes(texts, order)
+    held = []
+    for grams, here in zip(hashes, valid):
+        if parts > 1:
+            here = here & (grams >> np.uint64(65 - parts.bit_length()) == np.uint64(part))
+        held.append(grams[here])
+    return np.unique(np.concatenate(held), return_counts=True)
 
 
 class Grams:
     """n-grams of some texts: of each position and order, and of each text."""
 
     def __init__(self, texts: pa.Array, order: int):
-        words, self.counts = word_hashes(texts)
-        n = len(words)
+        self.counts, hashes, self.valid = gram_hashes(texts, order)
+        n = len(hashes[0])
         self.text = np.repeat(np.arange(len(self.counts)), self.counts)
-        place = np.arange(n) - np.repeat(np.cumsum(self.counts) - self.counts, self.counts)
-        hashes, self.valid = [], []
-        for k in range(1, order + 1):
-            salted = np.full(n, k, np.uint64)
-            grams = np.zeros(n, np.uint64)
-            if n >= k:  # ends at its position, starts k - 1 words before
-                grams[k - 1 :] = mix(salted[k - 1 :], *[words[i : n - k + 1 + i] for i in range(k)])
-            hashes.append(grams)
-            self.valid.append(place >= k - 1)
         valid = np.concatenate(self.valid) if n else np.zeros(0, bool)
         flat = np.concatenate(hashes)[valid] if n else np.zeros(0, np.uint64)
         self.distinct, which, self.times = np.unique(flat, return_inverse=True, return_counts=True)
@@ -135,14 +157,14 @@ def _texts(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all().combine_chunks()
 
 
-def _ask(order: int, bucket_bits: int):
-    """Per window and bucket the distinct n-grams and their counts; and the words."""
+def _ask(order: int, bucket_bits: int, part: int, parts: int):
+    """Per window and bucket of a part of all buckets the distinct n-grams and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for window, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                grams = Grams(_texts(data).column(1).combine_chunks(), order)
-                top = (grams.distinct >> np.uint64(64 - bucket_bits)).astype(np.int64)
+                grams, times = part_grams(_texts(data).column(1).combine_chunks(), order, part, parts)
+                top = (grams >> np.uint64(64 - bucket_bits)).astype(np.int64)
                 starts = np.flatnonzero(np.diff(top, prepend=-1))
                 ends = [*starts[1:].tolist(), len(top)]
                 starts = starts.tolist()
@@ -152,14 +174,12 @@ def _ask(order: int, bucket_bits: int):
                         pa.array([window] * len(starts), pa.int64()),
                         pa.array(
                             [
-                                pack_grams(grams.distinct[a:b], int(top[a]) << (64 - bucket_bits))
+                                pack_grams(grams[a:b], int(top[a]) << (64 - bucket_bits))
                                 for a, b in zip(starts, ends)
                             ],
                             pa.binary(),
                         ),
-                        pa.array(
-                            [_pack(grams.times[a:b].astype("<u4")) for a, b in zip(starts, ends)], pa.binary()
-                        ),
+                        pa.array([_pack(times[a:b].astype("<u4")) for a, b in zip(starts, ends)], pa.binary()),
                     ],
                     names=["bucket", "window", "grams", "times"],
                 )
@@ -179,7 +199,7 @@ def _answer(table: pa.Table) -> pa.Table:
         {
             "window": table.column("window"),
             "bucket": table.column("bucket"),
-            "totals": pa.array([_pack(t.astype("<i8")) for t in np.split(totals, cuts)], pa.binary()),
+            "data": pa.array([_pack(t.astype("<i8")) for t in np.split(totals, cuts)], pa.binary()),
         }
     )
 
@@ -249,13 +269,13 @@ def backoff_scores(
     )
     all_words = int(counted.agg(F.sum("n")).first()[0] or 0)
     bucket_bits = max(4, (all_words * order // bucket_grams).bit_length())
-    asked = windows.mapInArrow(
-        _ask(order, bucket_bits), "bucket long, window long, grams binary, times binary"
-    )
-    answers = asked.groupBy("bucket").applyInArrow(_answer, "window long, bucket long, totals binary")
-    both = windows.select("window", F.lit(-1).cast("long").alias("bucket"), F.col("texts").alias("data")).unionByName(
-        answers.withColumnRenamed("totals", "data")
-    )
+    both = windows.select("window", F.lit(-1).cast("long").alias("bucket"), F.col("texts").alias("data"))
+    for part in range(PARTS):
+        asked = windows.mapInArrow(
+            _ask(order, bucket_bits, part, PARTS), "bucket long, window long, grams binary, times binary"
+        )
+        answers = asked.groupBy("bucket").applyInArrow(_answer, "window long, bucket long, data binary")
+        both = both.unionByName(keep_table(answers, f"backoff-answers{part}"))
     return (
         both.repartition("window")
         .sortWithinPartitions("window", "bucket")
