@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, keep_table, ship
+from .common import documents, drop_table, keep_table, ship
 from .components import components
 from .tokens import slices
 from .words import mix, shingles, word_hashes
@@ -133,26 +133,30 @@ def _sets_again(width: int):
 
 
 def _buckets(classes: DataFrame, runs: int, most: int) -> DataFrame:
-    """class, run, bucket, size of all buckets with company."""
+    """class, run, bucket, size of all buckets with company, as a kept table."""
     at = F.col("run") * DEPTH
     paths = [[F.get("first", at + k) for k in range(d + 1)] for d in range(DEPTH)]
     left = classes.select(
         "class", "first", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run")
     ).select("class", "run", *[F.xxhash64("run", *p).alias(f"path{d}") for d, p in enumerate(paths)])
-    done = []
+    done, levels = [], []
     for depth in range(DEPTH):
         path = f"path{depth}"
         sizes = left.groupBy(path).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         # a table of its own, so that the join can split the classes of a hot path
         sizes = keep_table(sizes, f"join-sizes{depth}")
         left = keep_table(left.join(sizes, path), f"join-level{depth}")
+        levels += [sizes, left]
         small = F.lit(True) if depth == DEPTH - 1 else F.col("size") <= most
         done.append(left.where(small).select("class", "run", F.col(path).alias("bucket"), "size"))
         left = left.where(~small).drop("size")
     found = done[0]
     for more in done[1:]:
         found = found.unionByName(more)
-    return found
+    kept = keep_table(found, "join-buckets")
+    for table in levels:
+        drop_table(table)
+    return kept
 
 
 def _cells(buckets: DataFrame) -> DataFrame:
@@ -368,7 +372,7 @@ def similarity_join(
         ),
         "join-classes",
     )
-    buckets = keep_table(_buckets(classes.where("n > 0"), runs, BLOCK // 4), "join-buckets")
+    buckets = _buckets(classes.where("n > 0"), runs, BLOCK // 4)
     labels = buckets.groupBy("class").agg(
         F.map_from_entries(F.collect_list(F.struct("run", "bucket"))).alias("met")
     )
@@ -384,6 +388,8 @@ def similarity_join(
         "class binary, run int, cell long, block int, cross boolean, n long, labels array<long>",
     )
     likely = keep_table(likely, "join-likely")
+    drop_table(buckets)
+    drop_table(candidates)
 
     wanted = classes.join(likely.select("class").distinct(), "class", "left_semi")
     wanted = keep_table(wanted.select(F.col("copy_id").alias("id"), "class"), "join-wanted")
@@ -402,6 +408,8 @@ def similarity_join(
         _verify(runs, exact), "class binary, with binary, links long"
     )
     found = keep_table(found, "join-found")
+    for table in (likely, wanted, sets):
+        drop_table(table)
 
     groups = components(
         found.where(F.col("class") != F.col("with")).select(
@@ -420,13 +428,15 @@ def similarity_join(
     least = keep_table(
         linked.groupBy("group").agg(F.min("copy_id").alias("class_id")), "join-least"
     )
-    linked = keep_table(
+    result = keep_table(
         linked.join(least, "group").select(
             "class", "class_id", "copy_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
         ),
         "join-result",
     )
-    return sketches.select("doc_id", "text_hash", "class").join(linked, "class").drop("class")
+    for table in (classes, found, linked, least):
+        drop_table(table)
+    return sketches.select("doc_id", "text_hash", "class").join(result, "class").drop("class")
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
